@@ -67,6 +67,7 @@ _VALUES = mix(np.arange(1, 257, dtype=np.uint64))
 #: A-Z become a-z; bytes that no word has become 0.
 _FOLDED = np.array([c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 0 for c in range(256)], np.uint8)
 _VALUES_FOLDED = np.where(_FOLDED > 0, _VALUES[_FOLDED], np.uint64(0))
+_STEP = 0xD6E8FEB86659FD93
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -116,11 +117,9 @@ def shingles(hashed: np.ndarray, owner: np.ndarray, n_texts: int, width: int = 5
     at = counts_by(owner, n_texts)
     size = np.diff(at)
     n = len(hashed)
-    q, factor = np.zeros(n, np.uint64), np.uint64(1)
-    for j in range(width):
-        if n > j:
-            q[: n - j] += hashed[j:] * factor
-        factor = factor * np.uint64(0xD6E8FEB86659FD93)
+    q = np.zeros(n, np.uint64)
+    for j in range(min(width, n)):
+        q[: n - j] += hashed[j:] * np.uint64(pow(_STEP, j, 1 << 64))
     full = np.flatnonzero((np.arange(n) + width) <= at[1:][owner]) if n else np.zeros(0, np.int64)
     out, who = mix(q[full]), owner[full]
     short = np.flatnonzero((size > 0) & (size < width))
@@ -130,7 +129,7 @@ def shingles(hashed: np.ndarray, owner: np.ndarray, n_texts: int, width: int = 5
             h = np.uint64(size[t])
             with np.errstate(over="ignore"):
                 for x in hashed[at[t] : at[t + 1]]:
-                    h = h * np.uint64(0xD6E8FEB86659FD93) + x
+                    h = h * np.uint64(_STEP) + x
             extra[k] = h
         out, who = np.concatenate((out, mix(extra))), np.concatenate((who, short))
         order = np.argsort(who, kind="stable")

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from corpusloom.llm.decontamination import op7_decontamination
+from corpusloom.llm.langid import op1_language_id
+from corpusloom.llm.quality import op3_quality
+from corpusloom.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op7_decontamination,)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_quality, op7_decontamination, op10_toxicity)}
 ORACLES: dict[str, str] = {}
