@@ -6,8 +6,10 @@ from corpusloom.llm.decontamination import op7_decontamination
 from corpusloom.llm.langid import op1_language_id
 from corpusloom.llm.neardup import op6_near_duplicates
 from corpusloom.llm.packing import op2_packing
+from corpusloom.llm.pii import op9_pii
 from corpusloom.llm.quality import op3_quality
 from corpusloom.llm.toxicity import op10_toxicity
+from corpusloom.llm.transport import op4_media
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_packing, op3_quality, op6_near_duplicates, op7_decontamination, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_packing, op3_quality, op4_media, op6_near_duplicates, op7_decontamination, op9_pii, op10_toxicity)}
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,70 @@
+import hashlib
+import zlib
+
+import numpy as np
+
+from corpusloom.llm import transport as T
+
+
+def test_round_trip_of_sizes():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 162, 163, 175, 176, 346, 347, 575, 576, 577, 9215, 9216, 9217, 100_000):
+        payload = T.pad(rng.integers(0, 256, n, dtype=np.uint8).tobytes())
+        assert len(payload) % 576 == 0 and payload
+        media = T.mux(payload)
+        assert len(media) % 188 == 0
+        s = T.demux(media)
+        assert T.payload_of(s) == payload and not (s.damaged or s.discontinuities or s.skipped or s.repeated)
+        assert s.programs == {1: {"pmt_pid": 0x100, "pcr_pid": 0x101, "streams": {0x101: 6}}}
+        assert [u["pts"] for u in s.units] == [90_000 + 3003 * k for k in range(-(-len(payload) // T.UNIT_BYTES))]
+        assert [u["random_access"] for u in s.units] == [k % T.GROUP == 0 for k in range(len(s.units))]
+
+
+def test_any_length_fills_its_packets():
+    for n in range(1, 400):
+        payload = bytes([n & 255]) * n
+        assert T.payload_of(T.demux(T.mux(payload))) == payload
+
+
+def test_damage_is_counted():
+    payload = T.pad(bytes(range(256)) * 200)
+    media = T.mux(payload)
+    packets = [media[k : k + 188] for k in range(0, len(media), 188)]
+    s = T.demux(b"".join(packets[:10] + packets[11:]))  # a lost packet
+    assert s.discontinuities == 1 and s.damaged == 1 and len(s.units) == len(T.demux(media).units) - 1
+    s = T.demux(b"".join(packets[:10] + [packets[9]] + packets[10:]))  # a packet twice
+    assert s.repeated == 1 and T.payload_of(s) == payload
+    s = T.demux(b"\x00G\x01" + media[:1880] + b"junk" + media[1880:] + b"G12")  # lost sync
+    assert s.skipped == 10 and T.payload_of(s) == payload
+    bad = bytearray(packets[0])
+    bad[12] ^= 1
+    assert T.demux(bytes(bad)).damaged == 1 and not T.demux(bytes(bad)).programs  # a table's checksum
+    marked = bytearray(packets[5])
+    marked[1] |= 0x80
+    assert T.demux(b"".join(packets[:5] + [bytes(marked)] + packets[6:])).damaged == 2
+    assert T.demux(b"").units == [] and T.demux(b"G" * 187).skipped == 187
+
+
+def test_crc_of_a_known_string():
+    assert T.crc32_mpeg(b"123456789") == 0x0376E6E7
+
+
+def test_query(spark):
+    d = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()}
+    rows = T.op4_media(spark, d).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        payload = T.pad(texts[r.doc_id].encode())
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(texts[r.doc_id].encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-576:]))
+        media = T.mux(payload)
+        assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
+
+
+def test_edges(spark):
+    docs = spark.createDataFrame([(1, None, "m"), (2, "", "n"), (3, "x" * 200_000, "o"), (None, "x", "p"), (4, "x", "q")], "doc_id long, text string, extra string")
+    got = T.read_media(T.to_media(docs, ["doc_id"]), ["doc_id", "n_bytes"]).collect()
+    assert [r.n_bytes for r in got] == [0, 0, 200_000, 1, 1]
+    assert got[0].feature == got[1].feature and got[3].media_sha256 == got[4].media_sha256
+    assert bytes(got[2].payload[:200_000]) == b"x" * 200_000 and len(got[2].stamps) == 22
+    assert T.to_media(docs.where("false"), ["doc_id"]).count() == 0
