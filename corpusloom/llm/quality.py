@@ -89,7 +89,8 @@ class Kernel:
         return np.column_stack([np.ones(len(x)), np.sqrt(2 / FEATURES) * np.cos(z @ w + b)])
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return self.features(x) @ self.weights if self.weights is not None else np.zeros(len(x))
+        # rounded, as a matrix product may differ in the last digit from row to row
+        return np.round(self.features(x) @ self.weights, 9) if self.weights is not None else np.zeros(len(x))
 
 
 def _sums(rows: DataFrame, terms) -> dict[int, float]:
