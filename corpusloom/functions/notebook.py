@@ -12,6 +12,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.text import without_embeds, without_images
 
@@ -76,7 +77,7 @@ def markdown_of(raw: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def to_markdown(raw: pd.Series) -> pd.Series:
     return raw.map(markdown_of)
 
