@@ -91,24 +91,26 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def personalised_pagerank(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
     """(host, rank): edges are src, dst and weight; seeds are host and mass, in any scale.
 
-    What hosts without links hold goes back to the seeds. Ranks sum to 1. Every fifth iteration is
-    stored, which cuts the lineage.
+    What hosts without links hold goes back to the seeds. That only scales the ranks, so it is
+    left out of the iterations, and the ranks are scaled to sum to 1 at the end. Every fifth
+    iteration is stored, which cuts the lineage.
     """
     total = seeds.agg(F.sum("mass")).first()[0]
     if not total:
         return seeds.select("host", F.lit(0.0).alias("rank"))
     start = stored(seeds.groupBy("host").agg((F.sum("mass") / total).alias("restart")), "seeds")
     out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
-    shares = stored(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")), "shares")
-    ranks = start.select("host", F.col("restart").alias("rank"))
+    shares = stored(edges.join(out, "src").select("src", F.col("dst").alias("host"), (damping * F.col("weight") / F.col("out")).alias("share")), "shares")
+    again = start.select("host", ((1 - damping) * F.col("restart")).alias("rank"))
+    ranks = again
     for k in range(iterations):
-        moved = ranks.join(shares, ranks["host"] == shares["src"]).groupBy("dst").agg((damping * F.sum(F.col("rank") * F.col("share"))).alias("in"))
-        kept = moved.agg(F.coalesce(F.sum("in"), F.lit(0.0)).alias("kept"))  # one row
-        both = moved.withColumnRenamed("dst", "host").join(start, "host", "full_outer")
-        ranks = both.crossJoin(F.broadcast(kept)).select("host", (F.coalesce("in", F.lit(0.0)) + F.coalesce("restart", F.lit(0.0)) * (1 - F.col("kept"))).alias("rank"))
+        moved = ranks.select(F.col("host").alias("src"), "rank").join(shares, "src").select("host", (F.col("rank") * F.col("share")).alias("rank"))
+        ranks = moved.union(again).groupBy("host").agg(F.sum("rank").alias("rank"))
         if k % 5 == 4:
             ranks = stored(ranks, "ranks")
-    return ranks
+    ranks = stored(ranks, "ranks")
+    whole = ranks.agg(F.sum("rank")).first()[0]
+    return ranks.select("host", (F.col("rank") / whole).alias("rank"))
 
 
 def judge(pages: DataFrame, rules=RULES, url: str = "url", html: str = "html", key: str = "page_id") -> DataFrame:

@@ -55,7 +55,7 @@ def repository_corpus(spark: SparkSession, trees: str, repos: DataFrame, lang: s
     sinks.write_index(repos.withColumn("name", F.concat_ws("/", "author", "repo")), "name", f"{out}/meta/github_{lang}_index")
     repos.write.mode("overwrite").json(f"{out}/meta/{lang}-repos")
     found = kept.agg(F.count("*").alias("num_examples"), F.sum("num_tokens").alias("num_tokens"))
-    total = repos.agg(F.count("*").alias("num_repos")).crossJoin(found).withColumn("lang", F.lit(lang))  # one row by one row
+    total = found.select(F.lit(repos.count()).cast("bigint").alias("num_repos"), "num_examples", "num_tokens", F.lit(lang).alias("lang"))
     sinks.upsert_stats(total, f"{out}/meta/github-stats")
     return total
 

@@ -43,7 +43,7 @@ def test_pagerank_equals_power_iteration(spark):
     names = [f"h{k}.x" for k in range(12)]
     edges = [(names[a], names[b], float(w)) for a, b, w in {(a, b): (int(a), int(b), w) for a, b, w in zip(rng.integers(0, 10, 30), rng.integers(0, 12, 30), rng.integers(1, 5, 30)) if a != b}.values()]
     seeds = [(names[0], 1.0), (names[3], 3.0)]
-    got = {r.host: r["rank"] for r in L.personalised_pagerank(spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame(seeds, "host string, mass double")).collect()}
+    got = {r.host: r["rank"] for r in L.personalised_pagerank(spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame(seeds, "host string, mass double"), iterations=80).collect()}
     at = {x: k for k, x in enumerate(names)}
     m, restart = np.zeros((12, 12)), np.zeros(12)
     for a, b, w in edges:
@@ -52,10 +52,10 @@ def test_pagerank_equals_power_iteration(spark):
     for x, w in seeds:
         restart[at[x]] += w / 4
     rank = restart.copy()
-    for _ in range(L.ITERATIONS):
+    for _ in range(80):
         moved = L.DAMPING * m @ rank
-        rank = moved + restart * (1 - moved.sum())
-    assert all(abs(got.get(x, 0) - rank[k]) < 1e-9 for x, k in at.items()) and abs(sum(got.values()) - 1) < 1e-9
+        rank = moved + restart * (1 - moved.sum())  # what has nowhere to go goes back to the seeds
+    assert all(abs(got.get(x, 0) - rank[k]) < 1e-5 for x, k in at.items()) and abs(sum(got.values()) - 1) < 1e-9
 
 
 def test_distrust_flows_to_those_who_link(spark):
