@@ -30,6 +30,9 @@ FIRST_PTS, FRAME, DELAY = 90_000, 3003, 9000
 PAT_PID, PMT_PID, STREAM_PID, NULL_PID = 0, 0x100, 0x101, 0x1FFF
 PROGRAM, STREAM_TYPE, STREAM_ID = 1, 0x06, 0xBD  # private data in elementary packets
 _START = b"\x00\x00\x01"
+FAULTS = ("skipped", "damaged", "scrambled", "discontinuities", "repeated")
+#: Bytes of texts or streams that a task turns over at once, or one longer.
+SLICE = 1 << 20
 
 
 def _crc_table() -> list[int]:
@@ -270,46 +273,57 @@ def to_media(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
 
         return each
 
-    return over_texts(docs, keep, "n_bytes bigint, media binary", make, text)
+    return over_texts(docs, keep, "n_bytes bigint, media binary", make, text, SLICE)
 
 
-def read_media(media: DataFrame, keep: list[str], column: str = "media") -> DataFrame:
-    """The kept columns and what the stream holds: payload, programs, timestamps and faults.
+_STAMP = pa.struct([("pid", pa.int32()), ("packet", pa.int64()), ("pts", pa.int64()), ("dts", pa.int64()), ("random_access", pa.bool_())])
+_PROGRAM = pa.struct([("number", pa.int32()), ("pmt_pid", pa.int32()), ("pcr_pid", pa.int32()), ("streams", pa.list_(pa.struct([("pid", pa.int32()), ("type", pa.int32())])))])
 
-    stamps has pts, dts, first packet and random-access mark of each elementary packet.
+
+def _programs(s: Stream) -> list[dict]:
+    return [{"number": n, "pmt_pid": g["pmt_pid"], "pcr_pid": g["pcr_pid"], "streams": [{"pid": p, "type": t} for p, t in g["streams"].items()]} for n, g in s.programs.items()]
+
+
+#: Result columns: DDL type, Arrow type, and the value from the stored bytes, what demux() found, and the payload.
+RESULTS = {
+    "payload": ("binary", pa.binary(), lambda raw, s, payload: payload),
+    "feature": ("string", pa.string(), lambda raw, s, payload: feature(s, payload)),
+    "programs": ("array<struct<number:int,pmt_pid:int,pcr_pid:int,streams:array<struct<pid:int,type:int>>>>", pa.list_(_PROGRAM), lambda raw, s, payload: _programs(s)),
+    "stamps": ("array<struct<pid:int,packet:bigint,pts:bigint,dts:bigint,random_access:boolean>>", pa.list_(_STAMP), lambda raw, s, payload: [{k: u[k] for k in _STAMP.names} for u in s.units]),
+    "faults": ("struct<skipped:bigint,damaged:bigint,scrambled:bigint,discontinuities:bigint,repeated:bigint>", pa.struct([(k, pa.int64()) for k in FAULTS]), lambda raw, s, payload: {k: getattr(s, k) for k in FAULTS}),
+    "media_bytes": ("bigint", pa.int64(), lambda raw, s, payload: len(raw)),
+    "media_sha256": ("string", pa.string(), lambda raw, s, payload: hashlib.sha256(raw).hexdigest()),
+    "payload_sha256": ("string", pa.string(), lambda raw, s, payload: hashlib.sha256(payload).hexdigest()),
+    "tail_crc32": ("bigint", pa.int64(), lambda raw, s, payload: zlib.crc32(payload[-BLOCK:])),
+    "payload_bytes": ("bigint", pa.int64(), lambda raw, s, payload: len(payload)),
+}
+
+
+def read_media(media: DataFrame, keep: list[str], column: str = "media", results: tuple[str, ...] = tuple(RESULTS)) -> DataFrame:
+    """The kept columns and, of RESULTS, what is asked for: payload, programs, timestamps, faults, digests.
+
+    stamps has pts, dts, first packet and random-access mark of each elementary packet. Streams are
+    parsed one at a time; columns that aren't asked for are never made, so payloads stay in the
+    task if only their digests are wanted.
     """
-    stamp = pa.struct([("pid", pa.int32()), ("packet", pa.int64()), ("pts", pa.int64()), ("dts", pa.int64()), ("random_access", pa.bool_())])
-    program = pa.struct([("number", pa.int32()), ("pmt_pid", pa.int32()), ("pcr_pid", pa.int32()), ("streams", pa.list_(pa.struct([("pid", pa.int32()), ("type", pa.int32())])))])
 
     def make():
         def each(part):
-            found = [demux(b or b"") for b in part.column(column).to_pylist()]
-            payloads = [payload_of(s) for s in found]
-            return {
-                "payload": pa.array(payloads, pa.binary()),
-                "feature": pa.array([feature(s, p) for s, p in zip(found, payloads)], pa.string()),
-                "programs": pa.array([[{"number": n, "pmt_pid": g["pmt_pid"], "pcr_pid": g["pcr_pid"], "streams": [{"pid": p, "type": t} for p, t in g["streams"].items()]} for n, g in s.programs.items()] for s in found], pa.list_(program)),
-                "stamps": pa.array([[{k: u[k] for k in ("pid", "packet", "pts", "dts", "random_access")} for u in s.units] for s in found], pa.list_(stamp)),
-                "faults": pa.array([{"skipped": s.skipped, "damaged": s.damaged, "scrambled": s.scrambled, "discontinuities": s.discontinuities, "repeated": s.repeated} for s in found]),
-                "media_bytes": pa.array([len(b or b"") for b in part.column(column).to_pylist()], pa.int64()),
-                "media_sha256": pa.array([hashlib.sha256(b or b"").hexdigest() for b in part.column(column).to_pylist()], pa.string()),
-                "payload_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in payloads], pa.string()),
-                "tail_crc32": pa.array([zlib.crc32(p[-BLOCK:]) for p in payloads], pa.int64()),
-                "payload_bytes": pa.array([len(p) for p in payloads], pa.int64()),
-            }
+            out: dict[str, list] = {c: [] for c in results}
+            for b in part.column(column):
+                raw = b.as_py() or b""
+                s = demux(raw)
+                payload = payload_of(s)
+                for c in results:
+                    out[c].append(RESULTS[c][2](raw, s, payload))
+            return {c: pa.array(v, RESULTS[c][1]) for c, v in out.items()}
 
         return each
 
-    added = """payload binary, feature string,
-        programs array<struct<number:int,pmt_pid:int,pcr_pid:int,streams:array<struct<pid:int,type:int>>>>,
-        stamps array<struct<pid:int,packet:bigint,pts:bigint,dts:bigint,random_access:boolean>>,
-        faults struct<skipped:bigint,damaged:bigint,scrambled:bigint,discontinuities:bigint,repeated:bigint>,
-        media_bytes bigint, media_sha256 string, payload_sha256 string, tail_crc32 bigint, payload_bytes bigint"""
-    return over_texts(media, keep, added, make, column)
+    return over_texts(media, keep, ", ".join(f"{c} {RESULTS[c][0]}" for c in results), make, column, SLICE)
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trailing columns of each document's stream, which is stored and read back."""
+    """The digests of each document's stream, which is stored and read back."""
     media = stored(to_media(table(spark, sf_dir, "documents"), ["doc_id"]), "media")
-    found = read_media(media, ["doc_id", "n_bytes"])
-    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return read_media(media, ["doc_id", "n_bytes"], results=("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"))
