@@ -28,6 +28,8 @@ ORDERS, BUCKETS = (1, 2, 3, 4), 1 << 16
 TRAIN_DOCS = 4000
 #: The matrix is broadcast; more languages than this are refused.
 MAX_LANGUAGES = 512
+#: Bytes of text that a task turns into n-grams at once, or one longer text.
+SLICE = 1 << 19
 #: Long texts count as if they had this many n-grams, so that scores don't all saturate.
 EVIDENCE = 60.0
 SMOOTHING = 0.5
@@ -130,7 +132,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     def count(batches):
         """One row for each language and task: sums over the whole partition."""
         total: dict[str, np.ndarray] = {}
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             bucket, who, _ = grams(part.column("text"))
             names = part.column("lang").to_pylist()
             code = {x: k for k, x in enumerate(dict.fromkeys(names))}
@@ -169,7 +171,7 @@ def identify(docs: DataFrame, model: NaiveBayes, keep: list[str], text: str = "t
 
         return each
 
-    return over_texts(docs, keep, f"`{into[0]}` string, `{into[1]}` double", make, text, limit=1 << 20)
+    return over_texts(docs, keep, f"`{into[0]}` string, `{into[1]}` double", make, text, limit=SLICE)
 
 
 def remainder(key: str, by: int) -> Column:
