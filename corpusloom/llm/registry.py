@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import chat
+from corpusloom.llm import chat, decontamination
 from corpusloom.llm.chat import op5_chat
 from corpusloom.llm.decontamination import op7_decontamination
 from corpusloom.llm.langid import op1_language_id
@@ -19,4 +19,4 @@ _OPERATORS = (
     op6_near_duplicates, op7_decontamination, op8_url_filter, op9_pii, op10_toxicity,
 )
 QUERIES = {f.__name__: f for f in _OPERATORS}
-ORACLES: dict[str, str] = {"op5_chat": chat.ORACLE}
+ORACLES: dict[str, str] = {"op5_chat": chat.ORACLE, "op7_decontamination": decontamination.ORACLE}
