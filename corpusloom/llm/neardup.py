@@ -12,9 +12,12 @@ left out. Two texts agree in a register with the probability of their similarity
 
 Candidates. Bands of registers are bucket keys. Within a bucket all texts are compared with
 one of them (its centre), not with each other. Linked texts are then joined into classes;
-a bucket that still spans several classes is compared across classes, after refinement by
-further registers where it is large. So copies by the thousand cost a comparison each, and a
-link across classes isn't lost to the choice of a centre.
+a bucket that still spans several classes is compared across classes: all pairs of a small one;
+a large one is first refined by further bands, which joins most copies by a comparison each.
+What then is still in several classes of a large bucket is joined by prefixes: of two similar
+multisets, in any common order of their shingles, the first fifths have a shingle in common, so
+an order by frequency, rare ones first, gives few candidates and misses no link. So copies by the
+thousand cost a comparison each, and no link of texts that share a band is lost.
 
 Null texts and texts without words are classes of their own, but equal texts (null aside) are
 always one class. Repeated rows are equal texts. Keys may repeat or be null.
@@ -35,9 +38,15 @@ from corpusloom.session import stored, table
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bands and registers of a band: similar texts at 0.8 share a band with probability 1 - 3e-6.
 BANDS, ROWS = 32, 5
-#: Up to this size, the classes within a bucket are compared at once; beyond it, the bucket is refined.
+#: Up to this size, the classes within a bucket are compared at once; beyond it, the bucket is refined, and then joined by prefixes.
 SMALL_BUCKET = 24
 REFINEMENTS = 3
+#: Slots (a power of two), in blocks, in which shingles are counted for the order of prefixes; any counts give a right order.
+SLOTS, BLOCK = 1 << 18, 1 << 12
+#: A shingle that begins more texts than this is dealt over several tasks.
+SALTED = 1024
+#: Texts of which prefixes are made at once.
+HEADS_AT_ONCE = 256
 #: Ids are broadcast up to this many (16 MB).
 BROADCAST_IDS = 2_000_000
 
@@ -232,29 +241,141 @@ def near_classes(texts: DataFrame, sig: DataFrame, similarity: float = SIMILARIT
     members = _shared(sig.select("id", F.posexplode("bands").alias("band", "bucket")))
     pairs = stored(_stars(members), "pairs")
     roots = components(verified(pairs, texts, similarity))
-    for level in range(REFINEMENTS + 1):
+    large = None
+    for level in range(REFINEMENTS):
         roots = stored(roots, "roots")
         classes = members.join(roots, "id", "left").select("bucket", "band", "id", F.coalesce("root", "id").alias("class"))
         spread = classes.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
         open_ = stored(classes.join(spread.select("bucket", "n"), "bucket"), "open")
         if open_.isEmpty():
             break
-        # small buckets, and all at the last level: across classes, each pair once
-        small = open_ if level == REFINEMENTS else open_.where(F.col("n") <= SMALL_BUCKET)
+        if level == 0:
+            large = open_.where(F.col("n") > SMALL_BUCKET).select("bucket", "id")
+        # small buckets: across classes, each pair once
+        small = open_.where(F.col("n") <= SMALL_BUCKET)
         other = small.select("bucket", F.col("id").alias("id2"), F.col("class").alias("class2"))
         new = small.join(other, "bucket").where("class < class2").select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b"))
-        if level < REFINEMENTS:
-            # large ones are refined by the following band, and each part gets a centre
-            finer = open_.where(F.col("n") > SMALL_BUCKET).join(sig, "id")
-            following = F.get("bands", F.pmod(F.col("band") + level + 1, F.lit(BANDS)))
-            members = _shared(finer.select("id", "band", F.xxhash64("bucket", following).alias("bucket")))
-            new = new.union(_stars(members))
+        # large ones are refined by the following band, and each part gets a centre
+        finer = open_.where(F.col("n") > SMALL_BUCKET).join(sig, "id")
+        following = F.get("bands", F.pmod(F.col("band") + level + 1, F.lit(BANDS)))
+        members = _shared(finer.select("id", "band", F.xxhash64("bucket", following).alias("bucket")))
+        new = new.union(_stars(members))
         new = stored(new.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
         pairs = pairs.union(new)
         found = stored(verified(new, texts, similarity), "links")
         if not found.isEmpty():
             roots = components(found, roots)
-    return roots
+    if large is None:
+        return roots
+    roots = stored(roots, "roots")
+    # a refinement loses pairs that differ in a further band, so whole buckets are looked at again
+    classes = large.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("class"))
+    spread = classes.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    some = stored(classes.join(spread.select("bucket"), "bucket", "left_semi").select("id", "class").distinct(), "open")
+    if some.isEmpty():
+        return roots
+    new = stored(_prefix_pairs(some, texts, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    found = stored(verified(new, texts, similarity), "links")
+    return roots if found.isEmpty() else components(found, roots)
+
+
+def _elements(texts: DataFrame) -> DataFrame:
+    """(id, class, elements): the multiset of shingles as a set, the k-th of equal shingles being an element of its own."""
+
+    def make():
+        def each(part):
+            shingle, count, who, n = bags(part.column("text"))
+            first = np.cumsum(count) - count
+            nth = np.arange(int(count.sum())) - np.repeat(first, count)
+            made = mix(np.repeat(shingle, count) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            at = np.concatenate(([0], np.cumsum(np.bincount(who, count, n).astype(np.int64))))
+            return {"elements": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(made.view(np.int64)))}
+
+        return each
+
+    return over_texts(texts, ["id", "class"], "elements array<bigint>", make, limit=1 << 20)
+
+
+def _slots(values: np.ndarray) -> np.ndarray:
+    return (values.view(np.uint64) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _frequencies(elements: DataFrame) -> np.ndarray:
+    """In how many texts the elements of each slot occur, elements of a text in one slot counted each."""
+
+    def blocks(seen):
+        some = np.flatnonzero(seen.any(1))
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([x.tobytes() for x in seen[some]], pa.binary())], ["block", "counts"])
+
+    def count(batches):
+        seen = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for k in range(0, batch.num_rows, HEADS_AT_ONCE):
+                seen += np.bincount(_slots(batch.column("elements").slice(k, HEADS_AT_ONCE).flatten().to_numpy()), minlength=SLOTS)
+        yield blocks(seen.reshape(-1, BLOCK))
+
+    def total(batches):
+        seen = np.zeros((SLOTS // BLOCK, BLOCK), np.int64)
+        for batch in batches:
+            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
+                seen[block] += np.frombuffer(counts.as_buffer(), np.int64)
+        yield blocks(seen)
+
+    kind = "block int, counts binary"
+    often = np.zeros((SLOTS // BLOCK, BLOCK), np.int32)
+    summed = elements.select("elements").mapInArrow(count, kind).repartition("block").mapInArrow(total, kind).toArrow()
+    for block, counts in zip(summed.column("block").to_pylist(), summed.column("counts").to_pylist()):
+        often[block] = np.minimum(np.frombuffer(counts, np.int64), 2**31 - 1)
+    return often.reshape(-1)
+
+
+def _prefixes(elements: DataFrame, often: np.ndarray, similarity: float) -> DataFrame:
+    """(id, class, element, place, size): the first elements of each text, rare ones first, up to those that a similar text must share one of.
+
+    Elements that occur once in all are left out.
+    """
+
+    def heads(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, HEADS_AT_ONCE):
+                part = batch.slice(k, HEADS_AT_ONCE)
+                lists = part.column("elements")
+                values, size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+                owner = np.repeat(np.arange(len(size)), size)
+                n = often[_slots(values)]
+                order = np.lexsort((values, n, owner))
+                place = np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
+                last = size - np.ceil(similarity * size - 1e-6)
+                keep = (place <= last[owner]) & (n[order] > 1)
+                who = pa.array(owner[keep])
+                yield pa.RecordBatch.from_arrays([part.column("id").take(who), part.column("class").take(who), pa.array(values[order][keep]), pa.array(place[keep], pa.int32()), pa.array(size[owner[keep]], pa.int32())], ["id", "class", "element", "place", "size"])
+
+    return elements.mapInArrow(heads, "id bigint, class bigint, element bigint, place int, size int")
+
+
+def _prefix_pairs(some: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) of ids in some (id, class), of different classes, among them all of at least that similarity.
+
+    Texts that share an element of their prefixes are joined if their sizes, and what is left
+    of both from that element on, allow for the similarity; the first element that two texts share
+    always does. The largest class of an element is on one side only, so it isn't compared with itself;
+    that side is dealt by salt, and the other is repeated for each salt.
+    """
+    few = some.count() <= BROADCAST_IDS // 2
+    elements = stored(_elements(texts.join(F.broadcast(some) if few else some, "id")), "elements")
+    heads = stored(_prefixes(elements, _frequencies(elements), similarity), "prefixes")
+    spread = heads.groupBy("element", "class").agg(F.count("*").alias("n")).groupBy("element")
+    spread = stored(spread.agg(F.max_by("class", F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("classes")).where("classes > 1"), "spread")
+    salts = F.ceil(F.col("n") / SALTED).cast("int")
+    heads = stored(heads.join(spread.select("element", "top", salts.alias("salts")), "element"), "prefixes")
+    left = heads.where("class <> top").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    left = left.select("element", "salt", F.col("id").alias("id1"), F.col("class").alias("class1"), F.col("place").alias("place1"), F.col("size").alias("size1"))
+    right = heads.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+    rest = F.least(F.col("size1") - F.col("place1"), F.col("size") - F.col("place"))
+    allowed = (F.least("size1", "size") >= similarity * F.greatest("size1", "size") - 1e-6) & (rest * (1 + similarity) >= similarity * (F.col("size1") + F.col("size")) - 1e-6)
+    once = (F.col("class") == F.col("top")) | (F.col("class1") < F.col("class"))
+    both = left.join(right, (left["element"] == right["element"]) & (left["salt"] == right["salt"]) & once & allowed)
+    return both.select(F.greatest("id1", "id").alias("a"), F.least("id1", "id").alias("b")).distinct()
 
 
 def _shared(banded: DataFrame) -> DataFrame:

@@ -77,6 +77,30 @@ def test_groups_passages_and_edges(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in N.near_duplicate_classes(df).collect()} == want
 
 
+def test_links_within_large_buckets(spark):
+    # a common passage puts all texts into large buckets; pairs are at or just below 0.8, others below
+    rng = np.random.default_rng(7)
+    passage = " ".join(f"p{k}" for k in range(200))
+    docs, sides = [], []
+    for k in range(150):
+        m = int(rng.integers(1, 5))
+        u = 26 - m - int(rng.integers(0, 2))
+        shared = "".join(f" s{k}.{j}".replace(".", "x") for j in range(m))
+        pair = [passage + shared + "".join(f" u{k}x{side}x{j}" for j in range(u)) for side in range(2)]
+        a, b = map(bag, pair)
+        sides.append((a & b).total() / (a | b).total())
+        docs += [(2 * k + side, t) for side, t in enumerate(pair)]
+    tail = [f"c{j}" for j in range(26)]
+    for k in range(300, 340):  # a class within the same buckets
+        docs.append((k, passage + " " + " ".join(tail[:-1] + [f"d{k}"])))
+    order = rng.permutation(len(docs))
+    docs = [docs[k] for k in order]
+    want = brute(docs)
+    assert min(sides) < 0.8 <= max(sides) and len(set(want.values())) > 150
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in N.near_duplicate_classes(df).collect()} == want
+
+
 def test_deduplicate(spark):
     rows = [(2, "a b", "x", 0), (1, "a b", "y", 1), (None, "a b", "z", 2), (5, None, "n", 3), (5, None, "n", 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, bands string, row long")
