@@ -1,7 +1,7 @@
 """URL filtering: rules first, then trust and distrust that spread over links between hosts.
 
 Hosts link to the hosts of the absolute addresses in their pages' href and src attributes, and
-a host is tied to its parent domain both ways. Trust is a personalised PageRank that restarts
+a host is tied to its parent domain both ways, as is that to its own, up to two labels. Trust is a personalised PageRank that restarts
 at hosts with allowed pages; distrust is one over the reversed links that restarts at hosts with
 blocked pages, so whoever links to blocked hosts is distrusted. Links are summed by host before
 anything is joined; each iteration joins ranks with links and sums by host.
@@ -83,7 +83,14 @@ def host_edges(pages: DataFrame) -> DataFrame:
     links = pages.where("html IS NOT NULL AND host <> ''").select(F.col("host").alias("src"), target.alias("dst"))
     links = links.select("src", _ascii_lower(F.col("dst")).alias("dst")).where("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
     hosts = links.select(F.explode(F.array("src", "dst")).alias("host")).union(pages.select("host")).where("host <> ''").distinct()
-    parent = hosts.select("host", F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1).alias("parent")).where("parent <> ''")
+    # a host and all its ancestor domains, each tied to the next: the last k labels with the last k - 1, down to two.
+    # IPv4 addresses have no parents; what is longer than a domain name with a port can be is tied to its parent only
+    labels = hosts.where(~F.col("host").rlike(r"^\d+(\.\d+){3}(:\d*)?$")).select("host", F.split("host", r"\.", -1).alias("labels")).where("size(labels) > 2")
+    steps = F.when(F.length("host") <= 259, F.size("labels") - 2).otherwise(1)
+    tail = lambda k: F.array_join(F.slice("labels", k, F.size("labels") - k + 1), ".")
+    chain = labels.select("labels", F.posexplode(F.slice("labels", F.lit(1), steps)).alias("at", "label"))
+    parent = chain.select(tail(F.col("at") + 1).alias("host"), tail(F.col("at") + 2).alias("parent")).distinct()
+    parent = parent.where(F.col("host").rlike(r"^[^.]+\..+\..+$"))
     tied = parent.select(F.col("host").alias("src"), F.col("parent").alias("dst")).union(parent.select(F.col("parent").alias("src"), F.col("host").alias("dst")))
     return links.union(tied.withColumn("weight", F.lit(1.0))).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 

@@ -65,6 +65,17 @@ def test_distrust_flows_to_those_who_link(spark):
     assert got == {1: ("net/es/", "block"), 2: (None, "block"), 3: ("com/", "allow"), 4: (None, "allow"), 5: (None, "allow"), 6: (None, "block")}
 
 
+def test_distrust_of_a_domain_reaches_hosts_far_below(spark):
+    rows = [(1, "http://evil.net/es/", None), (2, "http://a.b.evil.net/x", None), (3, "http://a.b.good.org/x", None)]
+    rows += [(k, f"http://far{k}.org/", None) for k in range(4, 12)]
+    got = {r.page_id: (r.rule, r.verdict, r.distrust > 0) for r in L.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == ("net/es/", "block", True) and got[2] == (None, "block", True) and got[3] == (None, "allow", False)
+    pages = spark.createDataFrame([("a.b.evil.net", None), ("c.b.evil.net", None), ("x.org", None), ("localhost", None), ("1.2.3.4", None), ("9.2.3.4:80", None)], "host string, html string")
+    up = {(r.src, r.dst) for r in L.host_edges(pages).collect()}
+    want = {("a.b.evil.net", "b.evil.net"), ("c.b.evil.net", "b.evil.net"), ("b.evil.net", "evil.net")}
+    assert up == want | {(b, a) for a, b in want} and {r.weight for r in L.host_edges(pages).collect()} == {1.0}
+
+
 def test_query(spark):
     d = "/root/testdata/sf0.001"
     urls = {r.page_id: r.url for r in spark.read.parquet(f"{d}/pages.parquet").collect()}
