@@ -11,13 +11,12 @@ equal levels of a shingle give equal points in whichever text, and a point above
 left out. Two texts agree in a register with the probability of their similarity.
 
 Candidates. Bands of registers are bucket keys. Within a bucket all texts are compared with
-one of them (its centre), not with each other. Linked texts are then joined into classes;
-a bucket that still spans several classes is compared across classes: all pairs of a small one;
-a large one is first refined by further bands, which joins most copies by a comparison each.
-What then is still in several classes of a large bucket is joined by prefixes: of two similar
-multisets, in any common order of their shingles, the first fifths have a shingle in common, so
-an order by frequency, rare ones first, gives few candidates and misses no link. So copies by the
-thousand cost a comparison each, and no link of texts that share a band is lost.
+one of them (its centre), not with each other, and linked texts are joined into classes, so
+copies by the thousand cost a comparison each. The texts of buckets that still span several
+classes are then joined across classes by prefixes: of two similar multisets, in any common order
+of their shingles, the beginnings have a shingle in common, so an order by frequency, rare ones
+first, gives few candidates and misses no link. This holds for buckets of every size: no link of
+texts that share a band is lost.
 
 Null texts and texts without words are classes of their own, but equal texts (null aside) are
 always one class. Repeated rows are equal texts. Keys may repeat or be null.
@@ -25,22 +24,17 @@ always one class. Repeated rows are equal texts. Keys may repeat or be null.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrowtext import mix, over_texts, shingles, text_bytes, words, words_of
+from corpusloom.llm.arrowtext import counts_by, mix, over_texts, shingles, words_of
 from corpusloom.session import stored, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bands and registers of a band: similar texts at 0.8 share a band with probability 1 - 3e-6.
 BANDS, ROWS = 32, 5
-#: Up to this size, the classes within a bucket are compared at once; beyond it, the bucket is refined, and then joined by prefixes.
-SMALL_BUCKET = 24
-REFINEMENTS = 3
 #: Slots (a power of two), in blocks, in which shingles are counted for the order of prefixes; any counts give a right order.
 SLOTS, BLOCK = 1 << 18, 1 << 12
 #: A shingle that begins more texts than this is dealt over several tasks.
@@ -148,57 +142,61 @@ def banded(texts: DataFrame, keep: list[str], text: str = "text", bands: int = B
     return over_texts(texts, keep, "bands array<bigint>", make, text, limit=1 << 20)
 
 
-def word_bag(text: str, width: int = SHINGLE) -> Counter:
-    """The multiset of shingles, as words and not as hashes."""
-    data, at = text_bytes(pa.array([text], pa.string()))
-    _, _, begin, end = words(data, at)
-    low = bytes(data).translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256)))
-    parts = [low[b:e] for b, e in zip(begin.tolist(), end.tolist())]
-    if not parts:
-        return Counter()
-    return Counter(b" ".join(parts[k : k + width]) for k in range(max(1, len(parts) - width + 1)))
+def elements(texts: DataFrame, keep: list[str], text: str = "text", width: int = SHINGLE) -> DataFrame:
+    """The kept columns, and elements: the multiset of shingles as a set of unsigned 64-bit hashes, ascending and packed.
+
+    The k-th of equal shingles is an element of its own, so set overlap is multiset overlap.
+    """
+
+    def make():
+        def each(part):
+            shingle, count, who, n = bags(part.column(text), width)
+            first = np.cumsum(count) - count
+            nth = np.arange(int(count.sum())) - np.repeat(first, count)
+            made = mix(np.repeat(shingle, count) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            owner = np.repeat(who, count)
+            made = made[np.lexsort((made, owner))]
+            at = 8 * counts_by(owner, n)
+            return {"elements": pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(at), pa.py_buffer(made)]).cast(pa.binary())}
+
+        return each
 
+    return over_texts(texts, keep, "elements binary", make, text, limit=1 << 20)
 
-def overlap(a: Counter, b: Counter) -> float:
-    """Weighted Jaccard similarity; 0 if both are empty."""
-    if len(b) < len(a):
-        a, b = b, a
-    both = sum(min(n, b[s]) for s, n in a.items() if s in b)
-    total = a.total() + b.total() - both
-    return both / total if total else 0.0
+
+def overlap(a: np.ndarray, b: np.ndarray) -> float:
+    """Weighted Jaccard similarity of two multisets, given as their elements; 0 if both are empty."""
+    both = np.sort(np.concatenate((a, b)), kind="stable")
+    same = int(np.count_nonzero(both[1:] == both[:-1]))
+    total = len(both) - same
+    return same / total if total else 0.0
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Those of the distinct pairs (a, b) of text ids whose multisets overlap enough.
 
     Only texts that occur in a pair are carried on: their ids are broadcast if there are no more
-    than BROADCAST_IDS, and shuffled to the texts otherwise. Both sides are joined by shuffles;
-    AQE splits the partition of a frequent b.
+    than BROADCAST_IDS, and shuffled to the texts otherwise. Each gets its elements once. Both
+    sides are joined by shuffles; AQE splits the partition of a frequent b.
     """
     used = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
-    some = stored(texts.join(F.broadcast(used) if used.count() <= BROADCAST_IDS else used, "id", "left_semi"), "pair-texts")
-    left = pairs.join(some.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(some.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    some = texts.join(F.broadcast(used) if used.count() <= BROADCAST_IDS else used, "id", "left_semi")
+    some = stored(elements(some, ["id"]), "pair-elements")
+    left = pairs.join(some.select(F.col("id").alias("a"), F.col("elements").alias("of_a")), "a")
+    both = left.join(some.select(F.col("id").alias("b"), F.col("elements").alias("of_b")), "b")
 
     def check(batches):
-        last: dict[int, Counter] = {}
         for batch in batches:
+            of_a, of_b = batch.column("of_a"), batch.column("of_b")
             keep = []
-            ids = {c: batch.column(c).to_pylist() for c in "ab"}
             for k in range(batch.num_rows):
-                bag = {}
-                for side in "ab":
-                    i = ids[side][k]
-                    if i not in last:
-                        if len(last) > 32:
-                            last.clear()
-                        last[i] = word_bag(batch.column(f"text_{side}")[k].as_py())
-                    bag[side] = last[i]
-                keep.append(overlap(bag["a"], bag["b"]) >= similarity)
+                a, b = (np.frombuffer(c[k].as_buffer(), np.int64) for c in (of_a, of_b))
+                # sizes that differ by more than the similarity allows need no comparison
+                keep.append(min(len(a), len(b)) >= similarity * max(len(a), len(b)) - 1e-6 and overlap(a, b) >= similarity)
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in "ab"], ["a", "b"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a bigint, b bigint")
 
 
 def _is_star_forest(edges: DataFrame) -> bool:
@@ -238,69 +236,34 @@ def near_classes(texts: DataFrame, sig: DataFrame, similarity: float = SIMILARIT
     absent.
     """
     sig = sig.where("bands IS NOT NULL")
-    members = _shared(sig.select("id", F.posexplode("bands").alias("band", "bucket")))
+    members = _shared(sig.select("id", F.explode("bands").alias("bucket")))
     pairs = stored(_stars(members), "pairs")
-    roots = components(verified(pairs, texts, similarity))
-    large = None
-    for level in range(REFINEMENTS):
-        roots = stored(roots, "roots")
-        classes = members.join(roots, "id", "left").select("bucket", "band", "id", F.coalesce("root", "id").alias("class"))
-        spread = classes.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-        open_ = stored(classes.join(spread.select("bucket", "n"), "bucket"), "open")
-        if open_.isEmpty():
-            break
-        if level == 0:
-            large = open_.where(F.col("n") > SMALL_BUCKET).select("bucket", "id")
-        # small buckets: across classes, each pair once
-        small = open_.where(F.col("n") <= SMALL_BUCKET)
-        other = small.select("bucket", F.col("id").alias("id2"), F.col("class").alias("class2"))
-        new = small.join(other, "bucket").where("class < class2").select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b"))
-        # large ones are refined by the following band, and each part gets a centre
-        finer = open_.where(F.col("n") > SMALL_BUCKET).join(sig, "id")
-        following = F.get("bands", F.pmod(F.col("band") + level + 1, F.lit(BANDS)))
-        members = _shared(finer.select("id", "band", F.xxhash64("bucket", following).alias("bucket")))
-        new = new.union(_stars(members))
-        new = stored(new.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-        pairs = pairs.union(new)
-        found = stored(verified(new, texts, similarity), "links")
-        if not found.isEmpty():
-            roots = components(found, roots)
-    if large is None:
-        return roots
-    roots = stored(roots, "roots")
-    # a refinement loses pairs that differ in a further band, so whole buckets are looked at again
-    classes = large.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("class"))
-    spread = classes.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    some = stored(classes.join(spread.select("bucket"), "bucket", "left_semi").select("id", "class").distinct(), "open")
+    roots = stored(components(verified(pairs, texts, similarity)), "roots")
+    classes = stored(members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("class")), "bucket-classes")
+    # in a bucket of two texts, the pair has been compared; one whose texts are all in one class has nothing to add
+    spread = classes.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high AND n > 2")
+    spread = stored(spread.select("bucket"), "open-buckets")
+    some = stored(classes.join(spread, "bucket", "left_semi").select("id", "class").distinct(), "open")
     if some.isEmpty():
         return roots
-    new = stored(_prefix_pairs(some, texts, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    new = stored(prefix_pairs(some, texts, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
     found = stored(verified(new, texts, similarity), "links")
     return roots if found.isEmpty() else components(found, roots)
 
 
-def _elements(texts: DataFrame) -> DataFrame:
-    """(id, class, elements): the multiset of shingles as a set, the k-th of equal shingles being an element of its own."""
-
-    def make():
-        def each(part):
-            shingle, count, who, n = bags(part.column("text"))
-            first = np.cumsum(count) - count
-            nth = np.arange(int(count.sum())) - np.repeat(first, count)
-            made = mix(np.repeat(shingle, count) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            at = np.concatenate(([0], np.cumsum(np.bincount(who, count, n).astype(np.int64))))
-            return {"elements": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(made.view(np.int64)))}
-
-        return each
-
-    return over_texts(texts, ["id", "class"], "elements array<bigint>", make, limit=1 << 20)
+def _packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The elements of all rows end to end, and how many each row has."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+    values = np.frombuffer(column.buffers()[2], np.int64, (at[-1] - at[0]) // 8, at[0]) if at[-1] > at[0] else np.zeros(0, np.int64)
+    return values, np.diff(at) // 8
 
 
 def _slots(values: np.ndarray) -> np.ndarray:
     return (values.view(np.uint64) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
-def _frequencies(elements: DataFrame) -> np.ndarray:
+def _frequencies(listed: DataFrame) -> np.ndarray:
     """In how many texts the elements of each slot occur, elements of a text in one slot counted each."""
 
     def blocks(seen):
@@ -311,7 +274,7 @@ def _frequencies(elements: DataFrame) -> np.ndarray:
         seen = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for k in range(0, batch.num_rows, HEADS_AT_ONCE):
-                seen += np.bincount(_slots(batch.column("elements").slice(k, HEADS_AT_ONCE).flatten().to_numpy()), minlength=SLOTS)
+                seen += np.bincount(_slots(_packed(batch.column("elements").slice(k, HEADS_AT_ONCE))[0]), minlength=SLOTS)
         yield blocks(seen.reshape(-1, BLOCK))
 
     def total(batches):
@@ -323,65 +286,74 @@ def _frequencies(elements: DataFrame) -> np.ndarray:
 
     kind = "block int, counts binary"
     often = np.zeros((SLOTS // BLOCK, BLOCK), np.int32)
-    summed = elements.select("elements").mapInArrow(count, kind).repartition("block").mapInArrow(total, kind).toArrow()
+    summed = listed.select("elements").mapInArrow(count, kind).repartition("block").mapInArrow(total, kind).toArrow()
     for block, counts in zip(summed.column("block").to_pylist(), summed.column("counts").to_pylist()):
         often[block] = np.minimum(np.frombuffer(counts, np.int64), 2**31 - 1)
     return often.reshape(-1)
 
 
-def _prefixes(elements: DataFrame, often: np.ndarray, similarity: float) -> DataFrame:
-    """(id, class, element, place, size): the first elements of each text, rare ones first, up to those that a similar text must share one of.
+def _prefixes(listed: DataFrame, often: np.ndarray, similarity: float) -> DataFrame:
+    """(id, class, element, place, size, early): the first elements of each text, rare ones first.
 
+    A similar text of no more elements shares one of them; one of no fewer shares one of the early ones.
     Elements that occur once in all are left out.
     """
+    of_equal = 2 * similarity / (1 + similarity)
 
     def heads(batches):
         for batch in batches:
             for k in range(0, batch.num_rows, HEADS_AT_ONCE):
                 part = batch.slice(k, HEADS_AT_ONCE)
-                lists = part.column("elements")
-                values, size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+                values, size = _packed(part.column("elements"))
                 owner = np.repeat(np.arange(len(size)), size)
                 n = often[_slots(values)]
                 order = np.lexsort((values, n, owner))
                 place = np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
-                last = size - np.ceil(similarity * size - 1e-6)
+                last, early = (size - np.ceil(x * size - 1e-6) for x in (similarity, of_equal))
                 keep = (place <= last[owner]) & (n[order] > 1)
                 who = pa.array(owner[keep])
-                yield pa.RecordBatch.from_arrays([part.column("id").take(who), part.column("class").take(who), pa.array(values[order][keep]), pa.array(place[keep], pa.int32()), pa.array(size[owner[keep]], pa.int32())], ["id", "class", "element", "place", "size"])
+                made = [pa.array(values[order][keep]), pa.array(place[keep], pa.int32()), pa.array(size[owner[keep]], pa.int32()), pa.array((place <= early[owner])[keep])]
+                yield pa.RecordBatch.from_arrays([part.column("id").take(who), part.column("class").take(who), *made], ["id", "class", "element", "place", "size", "early"])
 
-    return elements.mapInArrow(heads, "id bigint, class bigint, element bigint, place int, size int")
+    return listed.mapInArrow(heads, "id bigint, class bigint, element bigint, place int, size int, early boolean")
 
 
-def _prefix_pairs(some: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def prefix_pairs(some: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Distinct pairs (a, b) of ids in some (id, class), of different classes, among them all of at least that similarity.
 
-    Texts that share an element of their prefixes are joined if their sizes, and what is left
-    of both from that element on, allow for the similarity; the first element that two texts share
-    always does. The largest class of an element is on one side only, so it isn't compared with itself;
+    Of two similar texts in a common order of elements, the first element that they share is early in
+    the smaller one and in the prefix of the other; their sizes are at most a fifth apart, so they meet by
+    element and logarithm of size; and what is left of both from that element on must allow for the
+    similarity. The largest class of an element is on one side only, so it isn't compared with itself;
     that side is dealt by salt, and the other is repeated for each salt.
     """
     few = some.count() <= BROADCAST_IDS // 2
-    elements = stored(_elements(texts.join(F.broadcast(some) if few else some, "id")), "elements")
-    heads = stored(_prefixes(elements, _frequencies(elements), similarity), "prefixes")
-    spread = heads.groupBy("element", "class").agg(F.count("*").alias("n")).groupBy("element")
-    spread = stored(spread.agg(F.max_by("class", F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("classes")).where("classes > 1"), "spread")
+    listed = stored(elements(texts.join(F.broadcast(some) if few else some, "id"), ["id", "class"]), "elements")
+    heads = stored(_prefixes(listed, _frequencies(listed), similarity), "prefixes")
+    spread = heads.groupBy("element", "class").agg(F.count("*").alias("n"), F.max("early").alias("early")).groupBy("element")
+    spread = spread.agg(F.max_by("class", F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("classes"), F.max("early").alias("early"))
     salts = F.ceil(F.col("n") / SALTED).cast("int")
-    heads = stored(heads.join(spread.select("element", "top", salts.alias("salts")), "element"), "prefixes")
-    left = heads.where("class <> top").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    left = left.select("element", "salt", F.col("id").alias("id1"), F.col("class").alias("class1"), F.col("place").alias("place1"), F.col("size").alias("size1"))
+    spread = stored(spread.where("classes > 1 AND early").select("element", "top", salts.alias("salts")), "spread")
+    heads = heads.withColumn("scale", F.floor(F.log(F.col("size").cast("double")) / float(-np.log(similarity))).cast("int"))
+    heads = stored(heads.join(spread, "element"), "prefixes")
+    near = F.explode(F.array(*(F.col("scale") + k for k in (-1, 0, 1))))
+    left = heads.where("class <> top").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).withColumn("scale", near)
+    left = left.select("element", "salt", "scale", *(F.col(c).alias(f"{c}1") for c in ("id", "class", "place", "size", "early")))
     right = heads.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
     rest = F.least(F.col("size1") - F.col("place1"), F.col("size") - F.col("place"))
     allowed = (F.least("size1", "size") >= similarity * F.greatest("size1", "size") - 1e-6) & (rest * (1 + similarity) >= similarity * (F.col("size1") + F.col("size")) - 1e-6)
+    smaller_early = F.when(F.col("size1") < F.col("size"), F.col("early1")).when(F.col("size1") > F.col("size"), F.col("early")).otherwise(F.col("early1") & F.col("early"))
     once = (F.col("class") == F.col("top")) | (F.col("class1") < F.col("class"))
-    both = left.join(right, (left["element"] == right["element"]) & (left["salt"] == right["salt"]) & once & allowed)
+    same = [left[c] == right[c] for c in ("element", "salt", "scale")]
+    both = left.join(right, same[0] & same[1] & same[2] & once & smaller_early & allowed)
     return both.select(F.greatest("id1", "id").alias("a"), F.least("id1", "id").alias("b")).distinct()
 
 
 def _shared(banded: DataFrame) -> DataFrame:
-    """(id, band, bucket, centre) of the buckets that several ids share; the centre is the least id."""
+    """(id, bucket, centre) of the buckets that several ids share; the centre is the least id."""
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("centre")).where("n > 1")
-    return stored(banded.join(shared.select("bucket", "centre"), "bucket").select("id", "band", "bucket", "centre"), "buckets")
+    shared = stored(shared.select("bucket", "centre"), "shared")  # stored, so that AQE may split the rows of one bucket
+    return stored(banded.join(shared, "bucket").select("id", "bucket", "centre"), "buckets")
 
 
 def _stars(members: DataFrame) -> DataFrame:

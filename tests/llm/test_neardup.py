@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from corpusloom.llm import neardup as N
 from tests.llm.test_decontamination import split
@@ -67,14 +68,12 @@ def cases():
     return docs
 
 
-def test_groups_passages_and_edges(spark, monkeypatch):
+def test_groups_passages_and_edges(spark):
     docs = cases()
     df = spark.createDataFrame(docs, "doc_id long, text string")
     want = brute(docs)
     assert want[7] == 6 and want[8] == 8 and want[3] == 2 and want[1] == 1 and want[181] == 180 and want[182] == 182
     assert {r.doc_id: r.class_id for r in N.near_duplicate_classes(df).collect()} == want
-    monkeypatch.setattr(N, "SMALL_BUCKET", 3)  # large buckets everywhere: refinement
-    assert {r.doc_id: r.class_id for r in N.near_duplicate_classes(df).collect()} == want
 
 
 def test_links_within_large_buckets(spark):
@@ -101,6 +100,44 @@ def test_links_within_large_buckets(spark):
     assert {r.doc_id: r.class_id for r in N.near_duplicate_classes(df).collect()} == want
 
 
+def template_corpus(pairs=500):
+    """Texts of one long template, all alike at 0.786, and with one other each at 0.807."""
+    template = [f"t{j}" for j in range(410)]
+    docs = []
+    for k in range(pairs):
+        for side in range(2):
+            w = list(template)
+            for j in range(8):  # each word that is replaced changes five shingles
+                w[20 + 40 * j] = f"own{k}" if j < 1 else f"own{k}x{side}" if j < 8 else w[20 + 40 * j]
+            docs.append((2 * k + side, " ".join(w) + " " + " ".join(f"e{k}x{i}" if i > 3 else f"e{k}x{side}x{i}" for i in range(8))))
+    return docs
+
+
+def test_template_corpus_loses_no_link(spark):
+    docs = template_corpus()
+    bags = [bag(t) for _, t in docs[:6]]
+    alike = lambda a, b: (bags[a] & bags[b]).total() / (bags[a] | bags[b]).total()
+    assert 0.75 < alike(0, 2) < 0.8 <= alike(0, 1) < 0.85, (alike(0, 2), alike(0, 1))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.class_id for r in N.near_duplicate_classes(df).collect()}
+    assert got == {k: k - k % 2 for k, _ in docs}
+
+
+def test_prefix_pairs_miss_no_similar_pair(spark):
+    rng = np.random.default_rng(3)
+    docs = []
+    for k in range(120):  # lengths differ, so that both sides of a pair may be the smaller
+        w = [f"b{j}" for j in range(int(rng.integers(60, 90)))]
+        for at in rng.integers(0, len(w), int(rng.integers(0, 3))):
+            w[at] = f"x{int(rng.integers(0, 40))}"
+        docs.append((k, " ".join(w)))
+    df = spark.createDataFrame(docs, "id long, text string")
+    got = {(r.a, r.b) for r in N.prefix_pairs(df.select("id", (F.col("id") % 50).alias("class")), df).collect()}
+    bags = dict((k, bag(t)) for k, t in docs)
+    want = {(a, b) for a in bags for b in range(a) if a % 50 != b % 50 and (bags[a] & bags[b]).total() >= 0.8 * (bags[a] | bags[b]).total()}
+    assert len(want) > 100 and want <= got
+
+
 def test_deduplicate(spark):
     rows = [(2, "a b", "x", 0), (1, "a b", "y", 1), (None, "a b", "z", 2), (5, None, "n", 3), (5, None, "n", 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, bands string, row long")
@@ -127,8 +164,12 @@ def test_signatures_are_unbiased_and_consistent():
     assert abs((both[0] == both[1]).mean() - true) < 0.015
 
 
-def test_overlap_counts_multiplicity():
-    assert N.overlap(Counter("aab"), Counter("abb")) == 0.5
-    assert N.overlap(Counter(), Counter()) == 0.0
+def test_overlap_counts_multiplicity(spark):
+    def made(*texts):
+        df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id long, text string")
+        return [np.frombuffer(r.elements, np.uint64) for r in N.elements(df, ["id"], width=1).orderBy("id").collect()]
+
+    a, b, none, null = made("a a b", "b a b", "", None)
+    assert (np.diff(a) > 0).all() and N.overlap(a, b) == 0.5 and N.overlap(a, a) == 1.0 and N.overlap(none, null) == 0.0
     shingle, count, who, n = N.bags(pa.array(["a a a a a a a", None, "b"]))
     assert n == 3 and sorted(count.tolist()) == [1, 3] and who.tolist() == [0, 2]
