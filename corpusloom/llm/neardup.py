@@ -12,8 +12,9 @@ left out. Two texts agree in a register with the probability of their similarity
 
 Candidates. Bands of registers are bucket keys. Within a bucket all texts are compared with
 one of them (its centre), not with each other, and linked texts are joined into classes, so
-copies by the thousand cost a comparison each. The texts of buckets that still span several
-classes are then joined across classes by prefixes: of two similar multisets, in any common order
+copies by the thousand cost a comparison each. Buckets that still span several classes get other
+centres in a few more turns, which join most of what is alike. The texts of those that are open even
+then are joined across classes by prefixes: of two similar multisets, in any common order
 of their shingles, the beginnings have a shingle in common, so an order by frequency, rare ones
 first, gives few candidates and misses no link. This holds for buckets of every size: no link of
 texts that share a band is lost.
@@ -35,6 +36,8 @@ from corpusloom.session import stored, table
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bands and registers of a band: similar texts at 0.8 share a band with probability 1 - 3e-6.
 BANDS, ROWS = 32, 5
+#: Further turns in which open buckets get another centre; they save comparisons later and decide nothing.
+TURNS = 2
 #: Slots (a power of two), in blocks, in which shingles are counted for the order of prefixes; any counts give a right order.
 SLOTS, BLOCK = 1 << 18, 1 << 12
 #: A shingle that begins more texts than this is dealt over several tasks.
@@ -237,13 +240,25 @@ def near_classes(texts: DataFrame, sig: DataFrame, similarity: float = SIMILARIT
     """
     sig = sig.where("bands IS NOT NULL")
     members = _shared(sig.select("id", F.explode("bands").alias("bucket")))
-    pairs = stored(_stars(members), "pairs")
-    roots = stored(components(verified(pairs, texts, similarity)), "roots")
-    classes = stored(members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("class")), "bucket-classes")
-    # in a bucket of two texts, the pair has been compared; one whose texts are all in one class has nothing to add
-    spread = classes.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high AND n > 2")
-    spread = stored(spread.select("bucket"), "open-buckets")
-    some = stored(classes.join(spread, "bucket", "left_semi").select("id", "class").distinct(), "open")
+    pairs = stored(members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    roots = components(verified(pairs, texts, similarity))
+    for turn in range(TURNS + 1):
+        roots = stored(roots, "roots")
+        classes = stored(members.select("bucket", "id").join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("class")), "bucket-classes")
+        # in a bucket of two texts, the pair has been compared; one whose texts are all in one class has nothing to add
+        spread = classes.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"), F.min_by(F.struct("id", "class"), F.xxhash64("id", "bucket", F.lit(turn))).alias("centre"))
+        spread = stored(spread.where("low <> high AND n > 2").select("bucket", "centre"), "open-buckets")
+        members = stored(classes.join(spread, "bucket").select("bucket", "id", "class", "centre"), "open")
+        if turn == TURNS or members.isEmpty():
+            break
+        new = members.where(F.col("class") != F.col("centre.class")).select(F.greatest("id", "centre.id").alias("a"), F.least("id", "centre.id").alias("b"))
+        new = stored(new.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs.union(new)
+        found = stored(verified(new, texts, similarity), "links")
+        if found.isEmpty():
+            break
+        roots = components(found, roots)
+    some = stored(members.select("id", "class").distinct(), "open")
     if some.isEmpty():
         return roots
     new = stored(prefix_pairs(some, texts, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
@@ -356,10 +371,6 @@ def _shared(banded: DataFrame) -> DataFrame:
     return stored(banded.join(shared, "bucket").select("id", "bucket", "centre"), "buckets")
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    return members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-
-
 def _classes(rows: DataFrame) -> DataFrame:
     """(row, root) for stored rows (row, text, bands): the least row of the class."""
     copies = rows.select("row", F.sha2("text", 256).alias("digest"))
