@@ -1,14 +1,21 @@
 """Personal data: exact patterns, and a character-level bidirectional LSTM with CRF transitions.
 
-The patterns label spans in a bounded sample of documents; the network is trained on windows of
-characters around them, in numpy. Every kind of span holds a digit or an ``@``, so windows with
-neither hold none; all others, overlapping by half, are decoded, and the decoded spans of a
-document are reconciled: parts of one span that neighbouring windows saw are merged, a span
-that another window saw whole beats a cut one, and where kinds disagree the longer span stays.
-Pattern spans always stay; the network adds spans that overlap none of them.
+The patterns find plain emails, addresses, cards and phone numbers. The network finds what they miss:
+the same kinds in other writing (defanged, spaced, without a plus, one card after another), and
+secrets, for which there is no pattern. It is trained in numpy on labelled spans of two sources:
+windows of a bounded sample of documents with the patterns' spans and with the values that are assigned to
+names such as token, and windows into which made-up spans in other writing, and made-up text that only
+looks like them, are put.
+
+Every kind of span holds a digit or an ``@``; a decoded piece without either is no span. So windows with
+neither can add nothing and aren't decoded. All others, which overlap, are decoded, with transitions into
+a span's inside barred but from that kind, and the decoded spans of a document are reconciled: parts of
+one span that neighbouring windows saw are merged, a span that another window saw whole beats a cut
+one, and where kinds disagree the longer span stays. Pattern spans always stay; the network adds spans
+that overlap none of them, that have the digits of their kind and, of a card, the check digit.
 
 A null text counts as empty and has no spans. Offsets are code points, ends exclusive.
-Repeated rows get equal spans. If no pattern matches in the sample, the network adds nothing.
+Repeated rows get equal spans. If no text of the sample has a digit or ``@``, the network adds nothing.
 """
 
 from __future__ import annotations
@@ -25,21 +32,26 @@ from pyspark.sql import functions as F
 from corpusloom.llm.arrowtext import over_texts, slices
 from corpusloom.session import table
 
-KINDS = ("email", "ip", "card", "phone")
+#: Kinds of the patterns, and those that only the network finds.
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 #: Possessive forms of the contract's patterns: equal matches, in linear time.
 _EMAIL_HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _EMAIL_NAME = re.compile(r"[A-Za-z0-9._%+-]+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: Labels of secrets for training: values assigned to a name that tells what they are.
+_ASSIGNED = re.compile(r"""(?i)\b(?:token|key|secret|password|passwd|credential)s?["']?[\x20\t]*[=:][\x20\t]*["']?([A-Za-z0-9_+/=-]{16,128})""")
 _GATE = "[0-9@]"
 
-WINDOW, STRIDE = 64, 32
-#: At most so many windows of about so many documents train the network.
-TRAIN_WINDOWS, TRAIN_DOCS = 4096, 4000
-EMBED, HIDDEN, STEPS, BATCH, RATE, SEED = 8, 20, 400, 32, 0.03, 5
+#: Characters of a window, and from one to the next.
+WINDOW, STRIDE = 96, 32
+#: At most so many windows of about so many documents train the network, and so many that something is put into.
+TRAIN_WINDOWS, TRAIN_DOCS, MADE_WINDOWS = 4096, 4000, 4096
+EMBED, HIDDEN, STEPS, BATCH, RATE, SEED = 8, 24, 400, 32, 0.03, 5
 #: A decoded span must look like its kind: (least digits, most digits, least length); an email also needs an @, a card the check digit.
-SHAPES = {"email": (0, 99, 6), "ip": (4, 12, 7), "card": (15, 19, 15), "phone": (8, 15, 9)}
+SHAPES = {"email": (0, 99, 6), "ip": (4, 12, 7), "card": (16, 19, 16), "phone": (8, 15, 9), "secret": (2, 999, 16)}
 
 
 def _luhn(digits: str) -> bool:
@@ -77,8 +89,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def labelled_spans(text: str) -> list[tuple[str, int, int]]:
+    """What trains the network in a text: the pattern spans, and assigned secrets with letters and digits."""
+    secrets = [m.span(1) for m in _ASSIGNED.finditer(text) if len(_digits(m[1])) >= 2 and any(c.isalpha() for c in m[1])]
+    return base_spans(text) + [("secret", b, e) for b, e in secrets]
+
+
 # Characters as the network sees them.
-_SIGNS = "@.-+()%_ ,:;/=#\"'\n\t"
+_SIGNS = "@.-+()%_ ,:;/=#\"'\n\t[]"
 #: 0 pads; then digits, lower and upper case ASCII, other letters, other characters, and each sign.
 N_CODES = 6 + len(_SIGNS)
 _ASCII = np.full(128, 5, np.uint8)
@@ -93,15 +111,21 @@ def codes(text: str) -> np.ndarray:
 
 
 def windows_of(seen: np.ndarray) -> np.ndarray:
-    """Where the windows with a digit or an @ begin: a grid that covers the text, STRIDE apart."""
-    gate = np.flatnonzero((seen == 1) | (seen == 6))
-    cells = gate // STRIDE
-    return np.unique(np.maximum(0, np.concatenate((cells, cells - 1)))) * STRIDE
+    """Where the windows with a digit or an @ begin, on a grid of STRIDE."""
+    cells = np.flatnonzero((seen == 1) | (seen == 6)) // STRIDE
+    return np.unique(np.maximum(0, np.concatenate([cells - k for k in range(WINDOW // STRIDE)]))) * STRIDE
 
 
 N_TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 
 
+#: Steps into the inside of a kind are barred but from that kind; a window may begin inside.
+BARRED = np.zeros((N_TAGS, N_TAGS), np.float32)
+for _k in range(len(KINDS)):
+    BARRED[:, 2 * _k + 2] = -1e4
+    BARRED[2 * _k + 1 : 2 * _k + 3, 2 * _k + 2] = 0
+
+
 def tags_of(spans: list[tuple[str, int, int]], length: int) -> np.ndarray:
     """A tag per character; where kinds overlap, the longer span counts."""
     tags = np.zeros(length, np.uint8)
@@ -112,11 +136,82 @@ def tags_of(spans: list[tuple[str, int, int]], length: int) -> np.ndarray:
     return tags
 
 
+def _letters(rng, some: str, low: int, high: int) -> str:
+    return "".join(rng.choice(list(some), int(rng.integers(low, high + 1))))
+
+
+def _card(rng) -> str:
+    body = _letters(rng, "0123456789", 15, 15)
+    return next(body + c for c in "0123456789" if _luhn(body + c))
+
+
+def made_up(rng) -> list[tuple[str, str | None]]:
+    """Pieces of text with their kinds: personal data in some writing, or text that only looks like it."""
+    digit, lower, both = "0123456789", "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    what = int(rng.integers(0, 12))
+    pick = lambda *x: x[int(rng.integers(0, len(x)))]
+    quote, context = pick('"', "'", ""), pick("token = ", "key: ", "secret=", "password: ", "auth ", "", "", "", "")
+    if what == 0:
+        at, dot = pick("@", " @ ", "@ "), pick(".", "[.]", " . ", "(.)")
+        return [(_letters(rng, lower + digit + "._", 3, 12).strip("._") + "x" + at + _letters(rng, lower, 3, 9) + dot + pick("com", "net", "org", "example" + dot + "com"), "email")]
+    if what == 1:
+        return [(pick(".", "[.]", " . ", "(.)", " ."). join(str(int(x)) for x in rng.integers(0, 256, 4)), "ip")]
+    if what in (2, 3):
+        first, second = _card(rng), _card(rng)
+        if what == 2:
+            return [(first, "card"), (" ", None), (second, "card")]
+        return [(pick(".", "/", "_", "--", " - ", "\n", ":").join(first[k : k + 4] for k in range(0, 16, 4)), "card")]
+    if what == 4:
+        a, b, c = (_letters(rng, digit, n, n) for n in (3, 3, 4))
+        return [(pick(f"({a}) {b}-{c}", f"001 {a} {b} {c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"001-{a}-{b}-{c}"), "phone")]
+    if what in (5, 6):
+        body = pick(_letters(rng, digit + "abcdef", 24, 64), _letters(rng, digit + "ABCDEF", 24, 64), pick("sk_", "gh_", "", "") + _letters(rng, both, 20, 48))
+        return [(context + quote, None), (body[:-2] + _letters(rng, digit, 2, 2), "secret"), (quote, None)]
+    y, m, d = int(rng.integers(1900, 2100)), int(rng.integers(1, 13)), int(rng.integers(1, 29))
+    return [(pick(
+        f"{y}-{m:02}-{d:02}", f"{d:02}.{m:02}.{y}", f"Version {m}.{d}.", f"{d}.{m}.{y % 100}", f"{y},{d:02}{m}.{d:02}", f"{m}:{d:02}:{d:02}", _letters(rng, digit, 1, 7), _letters(rng, digit, 20, 40), _letters(rng, lower, 16, 40) + pick("", "1"),
+        f"{_letters(rng, lower, 3, 8).title()}{d}", f"/{_letters(rng, lower, 3, 8)}/{y}/{m}/{_letters(rng, lower, 3, 8)}.html", f"#{_letters(rng, digit + 'abcdef', 6, 6)}", f"@{_letters(rng, lower, 3, 9)}", f"{context}{quote}{_letters(rng, lower, 4, 9)}{quote}", f"{d} - {m} = {y}", f"({y})", f"p. {d}-{d + m}",
+    ), None)]
+
+
+def put_into(seen: np.ndarray, tags: np.ndarray, n: int = MADE_WINDOWS) -> tuple[np.ndarray, np.ndarray]:
+    """n windows without spans, drawn from the given ones, with something made up in each."""
+    rng = np.random.default_rng(SEED)
+    plain = seen[~tags.any(1)]
+    plain = plain if len(plain) else np.full((1, WINDOW), 2, np.uint8)
+    out, marks = plain[rng.integers(0, len(plain), n)].copy(), np.zeros((n, WINDOW), np.uint8)
+    for k in range(n):
+        pieces = made_up(rng)
+        text = "".join(t for t, _ in pieces)
+        at = int(rng.integers(-min(8, len(text) // 2), WINDOW - 4))  # may be cut at either end
+        text_codes, text_tags, done = codes(" " + text + " "), np.zeros(len(text) + 2, np.uint8), 1
+        for t, kind in pieces:
+            if kind:
+                text_tags[done : done + len(t)] = tags_of([(kind, 0, len(t))], len(t))
+            done += len(t)
+        b, e = max(0, -at), min(len(text_codes), WINDOW - at)
+        out[k, at + b : at + e], marks[k, at + b : at + e] = text_codes[b:e], text_tags[b:e]
+    return out, marks
+
+
 def cut(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
     padded = np.concatenate((values, np.zeros(WINDOW, values.dtype)))
     return padded[begins[:, None] + np.arange(WINDOW)]
 
 
+def best_tags(emissions: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Viterbi: of each window, the tags with the highest sum of emissions (time x windows x tags) and steps."""
+    score, back = emissions[0], []
+    for t in range(1, len(emissions)):
+        way = score[:, :, None] + step
+        back.append(way.argmax(1))
+        score = way.max(1) + emissions[t]
+    best = [score.argmax(1)]
+    for b in reversed(back):
+        best.append(np.take_along_axis(b, best[-1][:, None], 1)[:, 0])
+    return np.stack(best[::-1], 1)
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -179,17 +274,8 @@ class Tagger:
         return both @ self.p["out"] + self.p["bias"], (x, both, mf, mb)
 
     def decode(self, seen: np.ndarray) -> np.ndarray:
-        """The best tag sequence of each window (Viterbi)."""
-        e, _ = self.emissions(seen)
-        score, back = e[0], []
-        for t in range(1, len(e)):
-            way = score[:, :, None] + self.p["step"]
-            back.append(way.argmax(1))
-            score = way.max(1) + e[t]
-        best = [score.argmax(1)]
-        for b in reversed(back):
-            best.append(np.take_along_axis(b, best[-1][:, None], 1)[:, 0])
-        return np.stack(best[::-1], 1)
+        """The best tag sequence of each window, of those that enter a span's inside from that kind only."""
+        return best_tags(self.emissions(seen)[0], self.p["step"] + BARRED)
 
     def gradient(self, seen: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of the tags under the CRF, and its gradient."""
@@ -221,9 +307,9 @@ class Tagger:
         np.add.at(grads["embed"], seen.T, dx)
         return float((z - gold).mean()), {k: (v / n).astype(np.float32) for k, v in grads.items()}
 
-    def fit(self, seen: np.ndarray, tags: np.ndarray, steps: int = STEPS) -> float:
+    def fit(self, seen: np.ndarray, tags: np.ndarray, steps: int | None = None) -> float:
         """Adam with clipped gradients and a falling rate; returns the mean loss of the last batches."""
-        rng = np.random.default_rng(SEED)
+        rng, steps = np.random.default_rng(SEED), steps or STEPS
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
         losses = []
         for k in range(1, steps + 1):
@@ -241,7 +327,7 @@ class Tagger:
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Tagger | None:
-    """Fit on windows of a bounded sample; None if no pattern matches in it.
+    """Fit on windows of a bounded sample; None if there are none.
 
     The rate of documents is set so that about TRAIN_DOCS with a digit or @ are drawn, by a hash of
     their text, and windows are drawn by a hash of what is seen in them.
@@ -255,22 +341,23 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Tagger |
             for t in part.column("text").to_pylist():
                 seen = codes(t)
                 begins = windows_of(seen)
-                tags = tags_of(base_spans(t), len(seen))
+                tags = tags_of(labelled_spans(t), len(seen))
                 yield pa.RecordBatch.from_arrays([pa.array(list(map(bytes, cut(x, begins))), pa.binary()) for x in (seen, tags)], ["seen", "tags"])
 
     made = drawn.mapInArrow(cut_windows, "seen binary, tags binary").distinct()
     rows = made.orderBy(F.xxhash64("seen"), "seen", "tags").limit(TRAIN_WINDOWS).collect()
     seen, tags = (np.frombuffer(b"".join(bytes(r[c]) for r in rows), np.uint8).reshape(-1, WINDOW) for c in ("seen", "tags"))
-    if not tags.any():
+    if not len(seen):
         return None
-    model = Tagger.fresh()
-    model.fit(seen, tags)
+    model, (more, marks) = Tagger.fresh(), put_into(seen, tags)
+    model.fit(np.concatenate((seen, more)), np.concatenate((tags, marks)))
     return model
 
 
-def reconcile(begins: np.ndarray, tags: np.ndarray, length: int) -> list[tuple[str, int, int]]:
-    """Spans of a whole text from the tags of its overlapping windows."""
-    pieces = []
+def reconcile(begins: np.ndarray, tags: np.ndarray, seen: np.ndarray) -> list[tuple[str, int, int]]:
+    """Spans of a whole text from the tags of its overlapping windows; pieces without a digit or @ are none."""
+    pieces, length = [], len(seen)
+    gates = np.concatenate(([0], np.cumsum((seen == 1) | (seen == 6))))
     for w, row in zip(begins.tolist(), tags):
         at = 0
         some = np.flatnonzero(row)
@@ -281,8 +368,9 @@ def reconcile(begins: np.ndarray, tags: np.ndarray, length: int) -> list[tuple[s
             while e < WINDOW and row[e] == 2 * kind + 2:
                 e += 1
             torn = (b == 0 and w > 0) or (e == WINDOW and w + WINDOW < length)
-            pieces.append((kind, w + b, min(w + e, length), torn))
-            at = e
+            at, end = e, min(w + e, length)
+            if end > w + b and gates[end] > gates[w + b]:
+                pieces.append((kind, w + b, end, torn))
             some = some[some >= at]
     merged: list[list[int]] = []
     for kind, b, e, torn in sorted(set(pieces)):  # by kind and begin: overlapping parts of one span become one
@@ -300,7 +388,7 @@ def reconcile(begins: np.ndarray, tags: np.ndarray, length: int) -> list[tuple[s
 def _fits(kind: str, s: str) -> bool:
     low, high, least = SHAPES[kind]
     digits = _digits(s)
-    return low <= len(digits) <= high and len(s) >= least and (kind != "email" or "@" in s[1:-1]) and (kind != "card" or _luhn(digits)) and s == s.strip()
+    return low <= len(digits) <= high and len(s) >= least and (kind != "email" or "@" in s[1:-1]) and (kind != "card" or _luhn(digits)) and (kind != "secret" or any(c.isalpha() for c in s) and s.isascii() and not any(c.isspace() for c in s)) and s == s.strip()
 
 
 def all_spans(texts: list[str], model: Tagger | None) -> list[tuple[list, list]]:
@@ -319,7 +407,7 @@ def all_spans(texts: list[str], model: Tagger | None) -> list[tuple[list, list]]
             mine = decoded[at : at + len(begins[k])]
             at += len(begins[k])
             taken = [(b, e) for _, b, e in base[k]]
-            for kind, b, e in reconcile(begins[k], mine, len(texts[k])):
+            for kind, b, e in reconcile(begins[k], mine, seen[k]):
                 if _fits(kind, texts[k][b:e]) and all(e <= b2 or e2 <= b for b2, e2 in taken):
                     added[k].append((kind, b, e))
     return list(zip(base, added))
@@ -385,14 +473,19 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = find_spans(docs, train(docs), ["doc_id"])
-    counts = [F.regexp_count("base", F.lit(f"{k}:")).cast("bigint").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+    count = lambda c, k: F.regexp_count(c, F.lit(f"{k}:")).cast("bigint")
+    counts = [count("base", k).alias(f"n_{k}") for k in BASE_KINDS]
+    network = (F.regexp_count("spans", F.lit(r"[a-z]:")) - F.regexp_count("base", F.lit(r"[a-z]:"))).cast("bigint")
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", count("spans", "secret").alias("n_secret"), network.alias("n_network"))
 
 
 def redacted_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the texts with all spans replaced, and their new length."""
+    """Pipeline stage: the texts with all spans replaced, and their new length in n_chars, if there is such a column."""
     plain = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)))
     mine = f"c{docs.columns.index('text')}"
     found = find_spans(plain, train(docs), plain.columns, mine)
-    new = {"text": F.when(F.col(mine).isNotNull(), F.col("redacted")), "n_chars": F.when(F.col("spans") == "", F.col(f"c{docs.columns.index('n_chars')}")).otherwise(F.char_length("redacted").cast("bigint"))}
+    new = {"text": F.when(F.col(mine).isNotNull(), F.col("redacted"))}
+    if "n_chars" in docs.columns:
+        old = F.col(f"c{docs.columns.index('n_chars')}")
+        new["n_chars"] = F.when(F.col("spans") == "", old).otherwise(F.char_length("redacted").cast(docs.schema["n_chars"].dataType))
     return found.select(*(new.get(c, F.col(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)))
