@@ -5,8 +5,13 @@ assistant, everyone else is a named user, and the mask covers what the assistant
 turns stay system turns in every rendering and take no part.
 
 A long conversation is rendered in parts of part_turns consecutive turn numbers, so no group
-grows with a conversation; turns that share a number are split further by rank. A part without
-a turn of its assistant still appears, with an empty mask.
+grows with a conversation; turns that share a number are split further by rank. Ranks are counted
+within the rows that share turn, role and the beginning of the text, and added to the counts of those
+before, so very many rows of one number are no single task. A part without a turn of its
+assistant still appears, with an empty mask.
+
+The marks that open and close a turn, where they occur in a text or name, get a backslash after the
+``<``, and line ends in a name become spaces, so no speaker can forge a turn.
 
 Turns are ordered by turn number (null first), then role, then text. Repeated rows are repeated
 turns. A null role is the participant ``unknown``; a null text is empty; rows with a null
@@ -23,12 +28,21 @@ from corpusloom.session import table
 
 SYSTEM, ASSISTANT, USER, UNKNOWN = "system", "assistant", "user", "unknown"
 PART_TURNS = 256
+#: Characters of a text that deal the turns of one number and role.
+OPENING = 4
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 
 
+def _inert(text: Column) -> Column:
+    """The text with its marks made inert."""
+    for mark in (BEGIN, END):
+        text = F.replace(text, F.lit(mark), F.lit(mark.replace("<", "<\\")))
+    return text
+
+
 def _head(role: Column, perspective: Column) -> Column:
     """The line that opens a turn."""
-    user = F.concat(F.lit(f"{BEGIN}{USER} name="), role, F.lit("\n"))
+    user = F.concat(F.lit(f"{BEGIN}{USER} name="), _inert(F.translate(role, "\r\n", "  ")), F.lit("\n"))
     return F.when(role == perspective, F.lit(f"{BEGIN}{ASSISTANT}\n")).when(role == SYSTEM, F.lit(f"{BEGIN}{SYSTEM}\n")).otherwise(user)
 
 
@@ -44,16 +58,22 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS) -> DataF
         F.col("conv_id"), F.floor(F.col("turn") / part_turns).alias("part"), "turn",
         F.coalesce(F.col("role"), F.lit(UNKNOWN)).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    ranked = Window.partitionBy("conv_id", "part").orderBy("turn", "role", "text")
-    rows = rows.withColumn("subpart", F.floor((F.row_number().over(ranked) - 1) / part_turns))
+    rows = rows.withColumn("opening", F.substring("text", 1, OPENING))
+    same = ["conv_id", "part", "turn", "role", "opening"]
+    sizes = rows.groupBy(*same).agg(F.count("*").alias("n"))
+    ahead = F.sum("n").over(Window.partitionBy("conv_id", "part").orderBy("turn", "role", "opening")) - F.col("n")
+    sizes = sizes.select(*(F.col(c).alias(f"{c}_") for c in same), ahead.alias("ahead"))
+    rank = F.row_number().over(Window.partitionBy(*same).orderBy("text")) - 1
+    ranked = rows.withColumn("rank", rank).join(sizes, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in same])
+    rows = ranked.select("conv_id", "part", "turn", "role", "text", F.floor((F.col("ahead") + F.col("rank")) / part_turns).alias("subpart"))
     parts = rows.groupBy("conv_id", "part", "subpart").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    people = rows.where(F.col("role") != SYSTEM).groupBy("conv_id").agg(F.array_sort(F.collect_set("role")).alias("people"))
-    people = people.withColumnRenamed("conv_id", "whose")
-    seen = parts.join(people, F.col("conv_id").eqNullSafe(F.col("whose"))).select("conv_id", "part", "subpart", "turns", F.explode("people").alias("perspective"))
+    said = turns.select(F.col("conv_id").alias("whose"), F.coalesce(F.col("role"), F.lit(UNKNOWN)).alias("perspective"))
+    people = said.where(F.col("perspective") != SYSTEM).distinct()
+    seen = parts.join(people, F.col("conv_id").eqNullSafe(F.col("whose"))).select("conv_id", "part", "subpart", "turns", "perspective")
     me = F.col("perspective")
     heads = F.transform("turns", lambda t: _head(t["role"], me))
     seen = seen.withColumn("heads", heads)
-    pieces = F.zip_with("turns", "heads", lambda t, h: F.struct((t["role"] == me).alias("mine"), F.char_length(h).alias("head"), F.concat(h, t["text"], F.lit(f"{END}\n")).alias("piece")))
+    pieces = F.zip_with("turns", "heads", lambda t, h: F.struct((t["role"] == me).alias("mine"), F.char_length(h).alias("head"), F.concat(h, _inert(t["text"]), F.lit(f"{END}\n")).alias("piece")))
     seen = seen.select("conv_id", "perspective", "part", "subpart", pieces.alias("pieces"))
     # a running sum of lengths: where each piece ends
     ends = F.aggregate("pieces", F.array(F.lit(0)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.char_length(p["piece"]))))
@@ -80,9 +100,9 @@ h AS (
   SELECT conv_id, perspective, part, CAST(floor(pos / 256.0) AS BIGINT) AS subpart, pos, role, text,
     CASE WHEN role = perspective THEN '<|im_start|>assistant' || chr(10)
          WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
-         ELSE '<|im_start|>user name=' || role || chr(10) END AS head
+         ELSE '<|im_start|>user name=' || replace(replace(translate(role, chr(13) || chr(10), '  '), '<|im_start|>', '<\\|im_start|>'), '<|im_end|>', '<\\|im_end|>') || chr(10) END AS head
   FROM n JOIN people ON conv_id IS NOT DISTINCT FROM whose),
-p AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS piece FROM h),
+p AS (SELECT *, head || replace(replace(text, '<|im_start|>', '<\\|im_start|>'), '<|im_end|>', '<\\|im_end|>') || '<|im_end|>' || chr(10) AS piece FROM h),
 e AS (
   SELECT *, CAST(coalesce(sum(length(piece)) OVER (
     PARTITION BY conv_id, perspective, part, subpart ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begun

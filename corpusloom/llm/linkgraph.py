@@ -1,10 +1,12 @@
 """URL filtering: rules first, then trust and distrust that spread over links between hosts.
 
-Hosts link to the hosts of the absolute addresses in their pages' href and src attributes, and
-a host is tied to its parent domain both ways, as is that to its own, up to two labels. Trust is a personalised PageRank that restarts
-at hosts with allowed pages; distrust is one over the reversed links that restarts at hosts with
-blocked pages, so whoever links to blocked hosts is distrusted. Links are summed by host before
-anything is joined; each iteration joins ranks with links and sums by host.
+A page links to the hosts of the addresses in its href and src attributes; a relative address is
+a link to its own host. Hosts are nodes without user info and port. Trust is a personalised PageRank that
+restarts at hosts with allowed pages; distrust is one over the reversed links that restarts at hosts
+with blocked pages, so whoever links to blocked hosts is distrusted. Links are summed by host before
+anything is joined; each iteration joins ranks with links and sums by host, until the ranks stay
+as they are. Optionally, a host is also tied to its parent domain both ways, as is that to its own,
+up to two labels; these ties are no links, so they are off by default.
 
 A url that fits a rule gets its verdict. Of others, a host is blocked if its distrust, relative to
 an even share, passes the threshold and exceeds its trust; else it is allowed. A null url or one
@@ -41,7 +43,11 @@ RULES = (
     Rule("block", "net", "/es/"),
     Rule("block", "net", "/fr/"),
 )
-ITERATIONS, DAMPING = 20, 0.85
+DAMPING = 0.85
+#: Iterations end when the ranks have changed by less than this since they were last stored, of a total of 1, or after so many.
+RESIDUAL, MOST_ITERATIONS = 1e-4, 100
+#: Iterations from one stored table of ranks to the next.
+STORED_EVERY = 5
 #: Distrust above so many times an even share blocks a host, if its trust is less.
 THRESHOLD = 1.0
 
@@ -77,30 +83,42 @@ def apply_rules(host: Column, path: Column, rules=RULES) -> tuple[Column, Column
     return name, verdict
 
 
-def host_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst, weight): links between different hosts, summed; pages has host and html."""
-    target = F.explode(F.regexp_extract_all("html", F.lit(r"""(?i)(?:href|src)\s*=\s*["']?\s*(https?:)?//([^/?#"'\s<>]+)"""), 2))
-    links = pages.where("html IS NOT NULL AND host <> ''").select(F.col("host").alias("src"), target.alias("dst"))
-    links = links.select("src", _ascii_lower(F.col("dst")).alias("dst")).where("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
-    hosts = links.select(F.explode(F.array("src", "dst")).alias("host")).union(pages.select("host")).where("host <> ''").distinct()
-    # a host and all its ancestor domains, each tied to the next: the last k labels with the last k - 1, down to two.
-    # IPv4 addresses have no parents; what is longer than a domain name with a port can be is tied to its parent only
-    labels = hosts.where(~F.col("host").rlike(r"^\d+(\.\d+){3}(:\d*)?$")).select("host", F.split("host", r"\.", -1).alias("labels")).where("size(labels) > 2")
-    steps = F.when(F.length("host") <= 259, F.size("labels") - 2).otherwise(1)
+def node_of(host: Column) -> Column:
+    """The host without user info and port."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
+
+
+def links_of(pages: DataFrame) -> DataFrame:
+    """(src, dst, weight): links between hosts, and of a host to itself, summed; pages has node and html."""
+    value = F.explode(F.regexp_extract_all("html", F.lit(r"""(?i)\b(?:href|src)\s*=\s*["']?\s*([^"'\s<>]+)"""), 1))
+    links = pages.where("html IS NOT NULL AND node <> ''").select(F.col("node").alias("src"), value.alias("value"))
+    absolute = F.regexp_extract("value", r"(?i)^(?:https?:)?//([^/?#]+)", 1)
+    own = ~F.col("value").rlike(r"^(#|//|[A-Za-z][A-Za-z0-9+.-]*:)")
+    links = links.select("src", F.when(absolute != "", node_of(_ascii_lower(absolute))).when(own, F.col("src")).alias("dst")).where("dst <> ''")
+    return links.groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
+
+
+def domain_ties(hosts: DataFrame) -> DataFrame:
+    """(src, dst, weight): hosts and all their ancestor domains, each tied to the next, both ways.
+
+    Ancestors have two labels at least. IPv4 addresses have no parents; what is longer than a domain name
+    can be is tied to its parent only.
+    """
+    labels = hosts.where(~F.col("host").rlike(r"^\d+(\.\d+){3}$")).select("host", F.split("host", r"\.", -1).alias("labels")).where("size(labels) > 2")
+    steps = F.when(F.length("host") <= 253, F.size("labels") - 2).otherwise(1)
     tail = lambda k: F.array_join(F.slice("labels", k, F.size("labels") - k + 1), ".")
     chain = labels.select("labels", F.posexplode(F.slice("labels", F.lit(1), steps)).alias("at", "label"))
     parent = chain.select(tail(F.col("at") + 1).alias("host"), tail(F.col("at") + 2).alias("parent")).distinct()
     parent = parent.where(F.col("host").rlike(r"^[^.]+\..+\..+$"))
-    tied = parent.select(F.col("host").alias("src"), F.col("parent").alias("dst")).union(parent.select(F.col("parent").alias("src"), F.col("host").alias("dst")))
-    return links.union(tied.withColumn("weight", F.lit(1.0))).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    return parent.select(F.col("host").alias("src"), F.col("parent").alias("dst"), F.lit(1.0).alias("weight")).union(parent.select("parent", "host", F.lit(1.0)))
 
 
-def personalised_pagerank(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
+def personalised_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, residual: float = RESIDUAL, most: int = MOST_ITERATIONS) -> DataFrame:
     """(host, rank): edges are src, dst and weight; seeds are host and mass, in any scale.
 
     What hosts without links hold goes back to the seeds. That only scales the ranks, so it is
-    left out of the iterations, and the ranks are scaled to sum to 1 at the end. Every fifth
-    iteration is stored, which cuts the lineage.
+    left out of the iterations, and the ranks are scaled to sum to 1 at the end. Ranks begin as
+    the seeds' masses; every fifth iteration is stored, which cuts the lineage, and compared with the one stored before.
     """
     total = seeds.agg(F.sum("mass")).first()[0]
     if not total:
@@ -109,37 +127,52 @@ def personalised_pagerank(edges: DataFrame, seeds: DataFrame, iterations: int =
     out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
     shares = stored(edges.join(out, "src").select("src", F.col("dst").alias("host"), (damping * F.col("weight") / F.col("out")).alias("share")), "shares")
     again = start.select("host", ((1 - damping) * F.col("restart")).alias("rank"))
-    ranks = again
-    for k in range(iterations):
+    ranks = before = start.select("host", F.col("restart").alias("rank"))
+    for k in range(1, most + 1):
         moved = ranks.select(F.col("host").alias("src"), "rank").join(shares, "src").select("host", (F.col("rank") * F.col("share")).alias("rank"))
         ranks = moved.union(again).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if k % 5 == 4:
+        if k % STORED_EVERY == 0 or k == most:
             ranks = stored(ranks, "ranks")
-    ranks = stored(ranks, "ranks")
+            change = ranks.union(before.select("host", -F.col("rank"))).groupBy("host").agg(F.sum("rank").alias("change"))
+            if change.agg(F.sum(F.abs("change"))).first()[0] < residual:
+                break
+            before = ranks
     whole = ranks.agg(F.sum("rank")).first()[0]
     return ranks.select("host", (F.col("rank") / whole).alias("rank"))
 
 
-def judge(pages: DataFrame, rules=RULES, url: str = "url", html: str = "html", key: str = "page_id") -> DataFrame:
-    """key, host, path, rule, verdict, and the trust and distrust of the host (1: an even share)."""
-    host, path = host_of(F.col(url)), path_of(F.col(url))
-    rows = pages.select(F.col(key).alias("key"), host.alias("host"), path.alias("path"), F.col(html).alias("html"))
+def judge(pages: DataFrame, rules=RULES, url: str = "url", html: str = "html", key: str = "page_id", ties: bool = False) -> DataFrame:
+    """key, host, path, rule, verdict, decided_by, and the trust and distrust of the host (1: an even share).
+
+    decided_by is rule; links, where the host has links to or from another (or ties, if asked for); pages, where
+    the only evidence is that rules judge other pages of the host; or none.
+    """
+    host, path = host_of(F.col(f"`{url}`")), path_of(F.col(f"`{url}`"))
+    rows = pages.select(F.col(f"`{key}`").alias("key"), host.alias("host"), path.alias("path"), F.col(f"`{html}`").alias("html")).withColumn("node", node_of(F.col("host")))
     name, verdict = apply_rules(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", name).withColumn("ruled", verdict)
-    edges = stored(host_edges(rows.select("host", "html")), "host-edges")
-    seeds = stored(rows.where("host <> ''").groupBy("host").agg(F.count_if(F.col("ruled") == "allow").cast("double").alias("allow"), F.count_if(F.col("ruled") == "block").cast("double").alias("block"), F.count("*").cast("double").alias("n")), "host-pages")
-    n_hosts = edges.select(F.col("src").alias("host")).union(edges.select("dst")).union(seeds.select("host")).distinct().count()
+    edges = stored(links_of(rows.select("node", "html")), "host-links")
+    judged = rows.where("node <> ''").groupBy("node").agg(F.count_if(F.col("ruled") == "allow").cast("double").alias("allow"), F.count_if(F.col("ruled") == "block").cast("double").alias("block"), F.count("*").cast("double").alias("n"))
+    seeds = stored(judged.withColumnRenamed("node", "host"), "host-pages")
+    hosts = edges.select(F.col("src").alias("host")).union(edges.select("dst")).union(seeds.select("host")).distinct()
+    if ties:
+        edges = stored(edges.union(domain_ties(hosts)).groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "host-edges")
+        hosts = hosts.union(edges.select("src")).distinct()
+    n_hosts = hosts.count()
     reversed_ = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     # a host's mass is the share of its pages that the rules judge, so a large host is no larger seed
     trust = personalised_pagerank(edges, seeds.where("allow > 0").select("host", (F.col("allow") / F.col("n")).alias("mass")))
     distrust = personalised_pagerank(reversed_, seeds.where("block > 0").select("host", (F.col("block") / F.col("n")).alias("mass")))
     scale = lambda c: (F.coalesce(c, F.lit(0.0)) * n_hosts)
-    scores = seeds.select("host").join(trust.withColumnRenamed("rank", "t"), "host", "left").join(distrust.withColumnRenamed("rank", "d"), "host", "left")
-    scores = stored(scores.select("host", scale(F.col("t")).alias("trust"), scale(F.col("d")).alias("distrust")), "host-scores")
+    linked = edges.where("src <> dst").select(F.explode(F.array("src", "dst")).alias("host")).distinct().withColumn("linked", F.lit(True))
+    scores = seeds.select("host").join(trust.withColumnRenamed("rank", "t"), "host", "left").join(distrust.withColumnRenamed("rank", "d"), "host", "left").join(linked, "host", "left")
+    scores = stored(scores.select(F.col("host").alias("node"), scale(F.col("t")).alias("trust"), scale(F.col("d")).alias("distrust"), F.coalesce("linked", F.lit(False)).alias("linked")), "host-scores")
     method = F.when((F.col("distrust") >= THRESHOLD) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow")
-    judged = rows.drop("html").join(scores, "host", "left")
-    return judged.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "trust", "distrust")
+    known = (F.col("trust") > 0) | (F.col("distrust") > 0)
+    by = F.when(F.col("rule").isNotNull(), "rule").when(known & F.col("linked"), "links").when(known, "pages").otherwise("none")
+    out = rows.drop("html").join(scores, "node", "left")
+    return out.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), by.alias("decided_by"), "trust", "distrust")
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "decided_by")

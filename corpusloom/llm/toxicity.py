@@ -1,8 +1,8 @@
 """Toxicity: maximum-scoring segments over token log-odds, with extreme-value calibration.
 
 A token's score is its log-odds between toxic and other documents under an informative
-Dirichlet prior, less a drift that makes the mean negative. Tokens are words; a word without
-evidence of its own takes that of its longest known beginning. A linear scan finds all maximal
+Dirichlet prior, if they are significant either way, less a drift that makes the mean negative. Tokens are
+words; a word without evidence of its own takes that of its longest known beginning. A linear scan finds all maximal
 scoring segments. A segment's score S in a text of n words has the E-value K n exp(-lambda S);
 lambda and K come from the scores of non-toxic documents, and the text's best segment, on that
 scale, is calibrated to a probability.
@@ -26,13 +26,11 @@ from corpusloom.session import stored, table
 
 #: At most about so many labelled documents of each class train the model.
 TRAIN_DOCS = 8000
-#: At most so many tokens are in the broadcast table, the most significant ones first.
-MAX_TOKENS = 200_000
 #: Bytes of a word's beginnings that are tokens too, longest first.
 BEGINNINGS = (7, 6, 5, 4)
-#: Mass of the Dirichlet prior, least z-score and least toxic documents of a token, negative drift of each word.
+#: Mass of the Dirichlet prior, least z-score (either way) and least documents of a token, negative drift of each word.
 PRIOR, LEAST_Z, LEAST_DOCS, DRIFT = 2.0, 3.0, 3, 0.4
-#: Least log-odds of a token; it keeps out words that are only likelier in longer documents.
+#: Least log-odds of a token, either way; it keeps out words that are only likelier in longer documents.
 LEAST_ODDS = 1.2
 SIGNIFICANT = 0.05
 THRESHOLD = 0.3
@@ -99,15 +97,15 @@ class SegmentModel:
         data, at = text_bytes(column)
         owner, _, _, levels = tokens(data, at)
         score, n = self.lookup(levels), len(column)
+        before = np.concatenate(([0.0], np.cumsum(score)))
         ends = counts_by(owner, n)
         out: list[list[tuple[int, int, float]]] = [[] for _ in range(n)]
         positive = np.flatnonzero(score > 0)
         for t, first, last in _runs(owner[positive]):
             where = positive[first:last]
-            gap = np.diff(where) - 1
             line = np.zeros(2 * len(where) - 1)  # what lies between two positive words counts as one step
             line[::2] = score[where]
-            line[1::2] = -DRIFT * gap
+            line[1::2] = before[where[1:]] - before[where[:-1] + 1]
             n_words = ends[t + 1] - ends[t]
             for b, e, s in segments(line.tolist()):
                 out[t].append((int(where[b // 2] - ends[t]), int(where[(e - 1) // 2] - ends[t]) + 1, self.rate * s - float(np.log(self.scale * n_words))))
@@ -164,11 +162,14 @@ def train(docs: DataFrame, sample: DataFrame) -> SegmentModel:
     a, b = F.col("docs1") + prior * n1 / (n1 + n0), F.col("docs0") + prior * n0 / (n1 + n0)
     odds = F.log(a / (n1 + PRIOR * n1 / (n1 + n0) - a + 0.5)) - F.log(b / (n0 + PRIOR * n0 / (n1 + n0) - b + 0.5))
     z = odds / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    known = counts.where((F.col("key") != 1) & (F.col("docs1") >= LEAST_DOCS)).select("key", F.least(odds, F.lit(12.0)).alias("odds"), z.alias("z"))
-    best = known.where((F.col("z") >= LEAST_Z) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("z"), "key").limit(MAX_TOKENS).collect()
-    keys = np.array([r["key"] for r in best], np.int64).view(np.uint64)
+    often = F.when(odds > 0, F.col("docs1")).otherwise(F.col("docs0"))
+    known = counts.where((F.col("key") != 1) & (often >= LEAST_DOCS)).select("key", F.greatest(F.least(odds, F.lit(12.0)), F.lit(-12.0)).alias("odds"), z.alias("z"))
+    # whoever trains bounds the sample, and so its distinct tokens: none is left out
+    best = known.where((F.abs("z") >= LEAST_Z) & (F.abs("odds") >= LEAST_ODDS)).select("key", "odds").toArrow()
+    keys, odds = (best.column(c).to_numpy() for c in ("key", "odds"))
+    keys = keys.view(np.uint64)
     order = np.argsort(keys)
-    model = SegmentModel(keys[order], np.array([r["odds"] for r in best], float)[order])
+    model = SegmentModel(keys[order], odds[order])
     model.rate, model.scale = _extreme_values(rows.where("fold = 3 AND y = 0"), model)
 
     def score(batches):
@@ -187,17 +188,17 @@ def _extreme_values(null: DataFrame, model: SegmentModel) -> tuple[float, float]
     """
 
     def histogram(batches):
-        total = np.zeros(1300)
+        total = np.zeros(2600)
         for part in slices(batches):
             s = model.lookup(tokens(*text_bytes(part.column("text")))[3])
-            total += np.bincount(np.clip(np.round((s + 0.5) * 100), 0, 1299).astype(int), minlength=1300)
+            total += np.bincount(np.clip(np.round((s + 13) * 100), 0, 2599).astype(int), minlength=2600)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bin", "n"])
 
     rows = null.select("text").mapInArrow(histogram, "bin bigint, n double").groupBy("bin").agg(F.sum("n").alias("n")).collect()
     if not rows:
         return 1.0, 1.0
-    s, n = np.array([r["bin"] / 100 - 0.5 for r in rows]), np.array([r["n"] for r in rows])
+    s, n = np.array([r["bin"] / 100 - 13 for r in rows]), np.array([r["n"] for r in rows])
     s, p = np.append(s, 1.0), np.append(n, 0.5) / (n.sum() + 0.5)  # half a word of score 1, lest lambda be infinite
     low, high = 1e-6, 50.0
     for _ in range(60):

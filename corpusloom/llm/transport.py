@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.llm.arrowtext import over_texts
 from corpusloom.session import stored, table
@@ -324,6 +325,15 @@ def read_media(media: DataFrame, keep: list[str], column: str = "media", results
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The digests of each document's stream, which is stored and read back."""
+    """Each document's stream, stored and read back: digests, program tables, faults, and where timestamps and random-access points are.
+
+    The stream's index (programs, stamps, faults) and its digests are stored as columns of one table; the query
+    returns the digests and programs, how many faults there are, and the random-access points.
+    """
     media = stored(to_media(table(spark, sf_dir, "documents"), ["doc_id"]), "media")
-    return read_media(media, ["doc_id", "n_bytes"], results=("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"))
+    index = read_media(media, ["doc_id", "n_bytes"], results=tuple(c for c in RESULTS if c != "payload"))
+    index = stored(index, "media-index")
+    points = F.transform(F.filter("stamps", lambda u: u["random_access"]), lambda u: F.struct(u["packet"].alias("packet"), u["pts"].alias("pts")))
+    faults = sum((F.col(f"faults.{k}") for k in FAULTS[1:]), F.col(f"faults.{FAULTS[0]}"))
+    digests = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    return index.select("doc_id", "n_bytes", *digests, "programs", F.size("stamps").cast("bigint").alias("n_stamps"), points.alias("access_points"), faults.alias("n_faults"))

@@ -43,7 +43,7 @@ def test_pagerank_equals_power_iteration(spark):
     names = [f"h{k}.x" for k in range(12)]
     edges = [(names[a], names[b], float(w)) for a, b, w in {(a, b): (int(a), int(b), w) for a, b, w in zip(rng.integers(0, 10, 30), rng.integers(0, 12, 30), rng.integers(1, 5, 30)) if a != b}.values()]
     seeds = [(names[0], 1.0), (names[3], 3.0)]
-    got = {r.host: r["rank"] for r in L.personalised_pagerank(spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame(seeds, "host string, mass double"), iterations=80).collect()}
+    got = {r.host: r["rank"] for r in L.personalised_pagerank(spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame(seeds, "host string, mass double"), residual=1e-9).collect()}
     at = {x: k for k, x in enumerate(names)}
     m, restart = np.zeros((12, 12)), np.zeros(12)
     for a, b, w in edges:
@@ -68,12 +68,77 @@ def test_distrust_flows_to_those_who_link(spark):
 def test_distrust_of_a_domain_reaches_hosts_far_below(spark):
     rows = [(1, "http://evil.net/es/", None), (2, "http://a.b.evil.net/x", None), (3, "http://a.b.good.org/x", None)]
     rows += [(k, f"http://far{k}.org/", None) for k in range(4, 12)]
-    got = {r.page_id: (r.rule, r.verdict, r.distrust > 0) for r in L.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    got = {r.page_id: (r.rule, r.verdict, r.distrust > 0) for r in L.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), ties=True).collect()}
     assert got[1] == ("net/es/", "block", True) and got[2] == (None, "block", True) and got[3] == (None, "allow", False)
-    pages = spark.createDataFrame([("a.b.evil.net", None), ("c.b.evil.net", None), ("x.org", None), ("localhost", None), ("1.2.3.4", None), ("9.2.3.4:80", None)], "host string, html string")
-    up = {(r.src, r.dst) for r in L.host_edges(pages).collect()}
+    hosts = spark.createDataFrame([(h,) for h in ("a.b.evil.net", "c.b.evil.net", "x.org", "localhost", "1.2.3.4")], "host string")
+    up = {(r.src, r.dst) for r in L.domain_ties(hosts).collect()}
     want = {("a.b.evil.net", "b.evil.net"), ("c.b.evil.net", "b.evil.net"), ("b.evil.net", "evil.net")}
-    assert up == want | {(b, a) for a, b in want} and {r.weight for r in L.host_edges(pages).collect()} == {1.0}
+    assert up == want | {(b, a) for a, b in want} and {r.weight for r in L.domain_ties(hosts).collect()} == {1.0}
+
+
+def test_links(spark):
+    html = """<a href="/x"><a href=#top><a HREF='http://u:p@Far.org:8080/y?http://no.org'><img src="//far.org"><a href="mailto:a@b.c"><a href="z.html"><a data-x="http://no.org"><a href="HTTPS://q.net?x">"""
+    rows = spark.createDataFrame([("me.org", html), ("me.org", None), ("", html)], "node string, html string")
+    assert {tuple(r) for r in L.links_of(rows).collect()} == {("me.org", "me.org", 2.0), ("me.org", "far.org", 2.0), ("me.org", "q.net", 1.0)}
+
+
+def brute_verdicts(pages):
+    """{page: (verdict, decided_by)} by dense power iteration."""
+    host = {k: brute_host_path(u)[0] for k, u, _ in pages}
+    rule = {k: brute_rule(*brute_host_path(u)) for k, u, _ in pages}
+    links = [(host[k], t or host[k]) for k, _, out in pages for t in out if host[k]]
+    names = sorted({x for e in links for x in e} | {h for h in host.values() if h})
+    at = {x: k for k, x in enumerate(names)}
+
+    def rank(edges, verdict):
+        m, restart = np.zeros((len(names), len(names))), np.zeros(len(names))
+        for a, b in edges:
+            m[at[b], at[a]] += 1
+        m /= np.maximum(1e-300, m.sum(0))
+        for h in names:
+            mine = [rule[k] for k in host if host[k] == h]
+            restart[at[h]] = np.mean([r is not None and r.verdict == verdict for r in mine]) if mine else 0
+        if not restart.sum():
+            return restart
+        x = restart = restart / restart.sum()
+        for _ in range(300):
+            moved = L.DAMPING * m @ x
+            x = moved + restart * (1 - moved.sum())
+        return x * len(names)
+
+    trust, distrust = rank(links, "allow"), rank([(b, a) for a, b in links], "block")
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    out = {}
+    for k, h in host.items():
+        t, d = (trust[at[h]], distrust[at[h]]) if h else (0, 0)
+        by = "rule" if rule[k] else "none" if t == d == 0 else "links" if h in linked else "pages"
+        out[k] = (rule[k].verdict if rule[k] else "block" if d >= L.THRESHOLD and d > t else "allow", by)
+    return out
+
+
+def test_verdicts_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    hosts = [f"s{k}.{x}" for k in range(12) for x in ("com", "net", "org")] + ["example.com"]
+    pages = [(k, f"http://{hosts[rng.integers(0, len(hosts))]}/{('es', 'en', 'a', 'fr')[rng.integers(0, 4)]}/{k}", [hosts[j] if j < len(hosts) else None for j in rng.integers(0, len(hosts) + 12, rng.integers(0, 4))]) for k in range(140)]
+    pages += [(1000, None, []), (1001, "http://lonely.net/es/1", [None]), (1002, "http://lonely.net/x", [None, None])]
+    html = lambda out: "".join(f'<a href="http://{t}/x">' if t else '<a href="/own">' for t in out)
+    df = spark.createDataFrame([(k, u, html(out)) for k, u, out in pages], "page_id long, url string, html string")
+    want = brute_verdicts(pages)
+    assert {r.page_id: (r.verdict, r.decided_by) for r in L.judge(df).collect()} == want
+    assert {v for k, (v, by) in want.items() if by == "links"} == {"allow", "block"} and want[1002] == ("block", "pages")
+
+
+def test_host_path_and_rule_equal_sql(spark):
+    import duckdb
+
+    d = "/root/testdata/sf0.01"
+    fits = " ".join(f"WHEN (h = '{r.host}' OR ends_with(h, '.{r.host}')) AND starts_with(p, '{r.path}') THEN '{r.name}'" for r in sorted(L.RULES, key=lambda r: -len(r.name)))
+    sql = f"""
+    SELECT page_id, h, p, CASE {fits} END FROM (
+      SELECT page_id, coalesce(translate(regexp_extract(u, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS h, coalesce(regexp_extract(u, '^[^/?#]*([^?#]*)', 1), '') AS p
+      FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS u FROM '{d}/pages.parquet'))"""
+    want = sorted(duckdb.sql(sql).fetchall())
+    assert sorted(tuple(r) for r in L.op8_url_filter(spark, d).select("page_id", "host", "path", "rule").collect()) == want
 
 
 def test_query(spark):
