@@ -28,11 +28,13 @@ def not_remainder(by: int, out: int) -> Column:
 
 
 def with_labels(docs: DataFrame, sample: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(text, y, weight, fold) of the sampled documents, equal texts once for each class.
+    """(text, y, weight, fold) of the sampled documents, equal texts once for each class, with the fold of the least key.
 
     The sample is of a stated size, hence broadcast.
     """
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key").dropDuplicates(["text", "y"]).select("text", "y", "weight", "fold")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key")
+    least = F.min(F.struct("key", "weight", "fold")).alias("least")
+    return rows.groupBy("text", "y").agg(least).select("text", "y", "least.weight", "least.fold")
 
 
 class Isotonic:

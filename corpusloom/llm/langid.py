@@ -6,7 +6,8 @@ text's n-grams and adds them up; a text's length only changes how many rows are
 
 A null text, or one without a letter, is ``und`` with score 0. Rows with a null language train
 nothing. Repeated rows count as often as they occur. Without any labelled row every text is
-``und``.
+``und``. A task holds some arrays of 8 bytes for each character of the slice that it works on, or of one
+longer text.
 """
 
 from __future__ import annotations
@@ -187,7 +188,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
-    """Pipeline stage: drop documents without letters, and those whose language stays doubtful."""
+    """Pipeline stage: drop documents without letters, and those whose language stays doubtful; columns may have any names."""
     model = train(docs.where(~F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))))
-    found = identify(docs, model, docs.columns, into=("_lang", "_lang_score"))
-    return found.where((F.col("_lang") != UNDETERMINED) & (F.col("_lang_score") >= least)).drop("_lang", "_lang_score")
+    plain = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)))
+    found = identify(plain, model, plain.columns, f"c{docs.columns.index('text')}")
+    kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return kept.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))

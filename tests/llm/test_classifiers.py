@@ -88,14 +88,74 @@ def test_statistics_do_not_mix_texts():
 
 def test_isotonic_equals_pooling(spark):
     rng = np.random.default_rng(2)
-    x = rng.uniform(0, 1, 400)
-    y = (rng.uniform(0, 1, 400) < x).astype(int)
-    curve = calibration.isotonic(spark.createDataFrame([(float(a), int(b), 1.0) for a, b in zip(x, y)], "raw double, y int, weight double"), "raw", 0, 1)
-    p = curve(np.linspace(0, 1, 50))
-    assert (np.diff(p) >= -1e-12).all() and abs(p[25] - 0.5) < 0.2
+    rows = [(float(a), int(rng.random() < a), float(rng.integers(1, 4))) for a in rng.uniform(0, 1, 120)]
+    curve = calibration.isotonic(spark.createDataFrame(rows, "raw double, y int, weight double"), "raw", 0, 1, bins=20)
+    bins = []
+    for k in range(20):
+        mine = [r for r in rows if min(19, int(r[0] * 20)) == k]
+        if mine:
+            bins.append((sum(r[2] for r in mine), sum(r[2] * r[1] for r in mine), sum(r[2] * r[0] for r in mine)))
+    w, s, x = np.array(bins).T
+    n = len(w)
+    mean = lambda a, b: s[a : b + 1].sum() / w[a : b + 1].sum()
+    fit = [max(min(mean(a, b) for b in range(k, n)) for a in range(k + 1)) for k in range(n)]  # the least-squares monotone fit
+    groups = [[k for k in range(n) if abs(fit[k] - v) < 1e-12] for v in sorted(set(np.round(fit, 12)))]
+    assert np.allclose(curve.x, [x[g].sum() / w[g].sum() for g in groups])
+    assert np.allclose(curve.p, [(s[g].sum() + 0.5) / (w[g].sum() + 1) for g in groups]) and 1 < len(groups) < n
     assert calibration.isotonic(spark.createDataFrame([], "raw double, y int, weight double"), "raw", 0, 1)(np.zeros(2)).tolist() == [0.5, 0.5]
 
 
+def test_quality_model_equals_brute_force(spark):
+    docs = [(k, f"good plain words in a row {chr(97 + k % 26)}lo " * (1 + k % 5) if k % 3 else f"bad! BAD{chr(65 + k % 26)}! " * (3 + k % 6)) for k in range(200)]
+    sample = spark.createDataFrame([(k, int(k % 3 > 0), 1.0 + k % 2, k % 4) for k in range(200)], "key long, y int, weight double, fold int")
+    model = quality.train(spark.createDataFrame(docs, "doc_id long, text string"), sample)
+    first = {}
+    for k, t in docs:
+        first.setdefault((t, int(k % 3 > 0)), k)  # equal texts once, by the least key
+    use = [k for k in first.values() if k % 4 < 3]
+    x = quality.statistics(pa.array([docs[k][1] for k in use]))
+    y, w = np.array([k % 3 > 0 for k in use], float), np.array([1.0 + k % 2 for k in use])
+    mean = (w @ x) / w.sum()
+    assert np.allclose(model.mean, mean)
+    z = model.features(x)
+    gram = (z * w[:, None]).T @ z
+    want = np.linalg.solve(gram + quality.RIDGE * np.trace(gram) / len(gram) * np.eye(len(gram)), (z * w[:, None]).T @ y)
+    assert np.allclose(model.features(x) @ model.weights, z @ want, atol=1e-6)
+
+
+def test_toxicity_model_and_scores_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    plain, vile = [f"w{k}ord" for k in range(30)], ["vilething", "horridest", "bad"]
+    texts = [" ".join([*rng.choice(plain[: 20 if k % 2 else 30], 12), *(rng.choice(vile, 2) if k % 2 else ["kindly"])]) for k in range(240)]
+    sample = spark.createDataFrame([(k, k % 2, 1.0, k // 2 % 4) for k in range(240)], "key long, y int, weight double, fold int")
+    model = toxicity.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), sample)
+
+    def levels(word):
+        return [("", word)] + [(k, word[:k]) for k in toxicity.BEGINNINGS if len(word) > k]
+
+    docs, n = {}, [0, 0]
+    for k, t in enumerate(texts):
+        if k // 2 % 4 < 3:
+            n[k % 2] += 1
+            for key in {x for w in t.split() for x in levels(w)}:
+                docs.setdefault(key, [0, 0])[k % 2] += 1
+    odds = {}
+    for key, (c0, c1) in docs.items():
+        all_, prior = sum(n), toxicity.PRIOR * (c0 + c1) / sum(n)
+        a, b = c1 + prior * n[1] / all_, c0 + prior * n[0] / all_
+        v = math.log(a / (n[1] + toxicity.PRIOR * n[1] / all_ - a + 0.5)) - math.log(b / (n[0] + toxicity.PRIOR * n[0] / all_ - b + 0.5))
+        z = v / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+        if (c1 if v > 0 else c0) >= toxicity.LEAST_DOCS and abs(z) >= toxicity.LEAST_Z and abs(v) >= toxicity.LEAST_ODDS:
+            odds[key] = max(-12.0, min(12.0, v))
+    assert np.allclose(sorted(odds.values()), sorted(model.odds)) and min(odds.values()) < 0 < max(odds.values())
+    for t in ["kindly vilethings w1ord horridest kindly", "bad kindly kindly kindly bad", "nothing here", "", *texts[:20]]:
+        scores = [next((odds[x] for x in levels(w) if x in odds), 0.0) - toxicity.DRIFT for w in t.split()]
+        best = max((s for *_, s in brute_segments(scores)), default=None)
+        want = toxicity.LOW if best is None else model.rate * best - math.log(model.scale * len(scores))
+        got = model.strongest(model.passages(pa.array([t])))[0]
+        assert abs(got - min(toxicity.HIGH, max(toxicity.LOW, want))) < 1e-6, t
+
+
 def test_sample_is_bounded_and_weighted(spark):
     labels = spark.range(20_000).selectExpr("id AS doc_id", "cast(id % 10 = 0 AS int) AS toxic")
     rows = calibration.labelled_sample(labels, "toxic", calibration.not_remainder(4, 2), 500).collect()

@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from corpusloom.llm import langid as L
 
@@ -40,7 +41,37 @@ def test_grams_are_those_of_the_definition():
         want = brute_grams(text)
         assert len(bucket) == len(want) and letter[0] == any(c.isalpha() for c in text)
         again, _, _ = L.grams(pa.array([" ".join(want)]))  # equal grams fall into equal buckets
-        assert {x for x, n in zip(*np.unique(bucket, return_counts=True))} <= set(again.tolist())
+        assert set(bucket.tolist()) <= set(again.tolist())
+        assert sorted(bucket.tolist()) == sorted(brute_bucket(g) for g in want)
+
+
+def brute_bucket(gram):
+    """The hash by plain integers: a polynomial of the code points, and the finaliser of splitmix64."""
+    m = (1 << 64) - 1
+    x = 0
+    for c in gram:
+        x = x * 0x100000001B3 + ord(c) & m
+    x = x + len(gram) & m
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & m
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & m
+    return (x ^ x >> 31) % L.BUCKETS
+
+
+def test_model_and_scores_equal_brute_force(spark):
+    import math
+    from collections import Counter
+
+    rows = [(1, "hello there world", "en"), (2, "the other words", "en"), (3, "bonjour le monde", "fr"), (4, "été là-bas", "fr"), (5, "der Straße nach", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = {x: Counter(brute_bucket(g) for _, t, lang in rows if lang == x for g in brute_grams(t)) for x in ("de", "en", "fr")}
+    seen = ["the world", "le monde été", "Straße", "zzz qqq", "hello " * 40]
+    got = L.identify(spark.createDataFrame(list(enumerate(seen)), "k long, text string"), L.train(df), ["k"]).orderBy("k").collect()
+    for t, r in zip(seen, got):
+        grams = [brute_bucket(g) for g in brute_grams(t)]
+        logs = {x: sum(math.log((n[b] + L.SMOOTHING) / (n.total() + L.SMOOTHING * L.BUCKETS)) for b in grams) * min(1, L.EVIDENCE / len(grams)) for x, n in counts.items()}
+        best = max(logs, key=logs.get)
+        assert abs(r.score - 1 / sum(math.exp(v - logs[best]) for v in logs.values())) < 1e-4
+        assert r.lang_pred == best or abs(r.score - 1 / 3) < 1e-3
 
 
 def test_texts_do_not_mix():
@@ -60,6 +91,8 @@ def test_edges(spark):
     assert L.identify(df.where("false"), L.train(df), ["doc_id"]).count() == 0
     kept = L.keep_identified(spark, df, "")
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {1, 2, None, 7}
+    odd = df.withColumnsRenamed({"extra": "a.b"}).withColumn("_lang", F.lit(1)).withColumn("score", F.lit("s"))  # names of results, and one with a dot
+    assert L.keep_identified(spark, odd, "").columns == odd.columns and L.keep_identified(spark, odd, "").count() == 4
 
 
 def test_label_is_no_input(spark):

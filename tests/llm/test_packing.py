@@ -46,6 +46,19 @@ def test_edges(spark):
     assert P.pack(df.where("false")).count() == 0
 
 
+def test_pieces_follow_the_curve(spark):
+    d = "/root/testdata/sf0.01"
+    pieces = P.pack(spark.read.parquet(f"{d}/documents.parquet")).select("doc_id", "sequence_id", "offset", "start", "curve_key").collect()
+    keys = [p.curve_key for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset))]
+    assert keys == sorted(keys) and len(set(keys)) > 100
+    rng = np.random.default_rng(1)
+    topics = [[f"{a}{j}" for j in range(30)] for a in ("alpha", "beta", "gamma")]  # neighbours on the curve are alike
+    docs = [(k, " ".join(rng.choice(topics[k % 3], 60))) for k in range(300)]
+    rows = P.pack(spark.createDataFrame(docs, "doc_id long, text string"), max_tokens=256).collect()
+    line = [p.doc_id % 3 for p in sorted(rows, key=lambda p: (p.sequence_id, p.offset)) if p.start == 0]
+    assert sum(a == b for a, b in zip(line, line[1:])) > 0.6 * len(line)  # by chance, a third
+
+
 def test_hilbert_visits_neighbours():
     for d, bits in ((2, 3), (3, 2), (4, 2)):
         grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * d, indexing="ij"), -1).reshape(-1, d)

@@ -49,6 +49,25 @@ def test_crc_of_a_known_string():
     assert T.crc32_mpeg(b"123456789") == 0x0376E6E7
 
 
+def other_reader(media):
+    """Timestamps and random-access points of PID 0x101, bit by bit from the format's tables."""
+    stamps, points = [], []
+    for k in range(len(media) // 188):
+        bits = int.from_bytes(media[188 * k : 188 * (k + 1)], "big")
+        at = lambda first, n, bits=bits: bits >> 188 * 8 - first - n & (1 << n) - 1
+        assert at(0, 8) == 0x47
+        if at(11, 13) != 0x101 or not at(9, 1):
+            continue
+        adaptation = at(26, 2) & 2
+        pes = 32 + (8 + 8 * at(32, 8) if adaptation else 0)
+        assert at(pes, 24) == 1 and at(pes + 56, 2) == 2
+        pts = at(pes + 76, 3) << 30 | at(pes + 80, 15) << 15 | at(pes + 96, 15)
+        stamps.append(pts)
+        if adaptation and at(32, 8) and at(41, 1):
+            points.append((k, pts))
+    return stamps, points
+
+
 def test_query(spark):
     d = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()}
@@ -58,6 +77,15 @@ def test_query(spark):
         payload = T.pad(texts[r.doc_id].encode())
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(texts[r.doc_id].encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-576:]))
         media = T.mux(payload)
+        stamps, points = other_reader(media)
+        assert r.n_stamps == len(stamps) and [tuple(x) for x in r.access_points] == points and r.n_faults == 0
+        assert [(g.number, g.pmt_pid, g.pcr_pid, [tuple(x) for x in g.streams]) for g in r.programs] == [(1, 0x100, 0x101, [(0x101, 6)])]
+        feature = dict(x.split("=", 1) for x in r.feature.split(";"))
+        mean = sum(payload) / len(payload)
+        spread = (sum((b - mean) ** 2 for b in payload) / len(payload)) ** 0.5
+        assert feature["packets"] == str(len(media) // 188) and feature["units"] == str(len(stamps)) and feature["pts"] == f"{stamps[0]}..{stamps[-1]}"
+        assert all(abs(float(a) - b) < 1e-5 for a, b in zip(feature["samples"].split("/"), (mean, spread)))
+        assert feature["entries"] == hashlib.sha256(",".join(f"{t}@{k}" for k, t in points).encode()).hexdigest()[:16]
         assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
 
 
