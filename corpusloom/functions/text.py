@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 WHITESPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+#: The same characters, as a string.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def digits(text: Column) -> Column:
-    return F.char_length(F.regexp_replace(text, "[^0-9]", ""))
+    return F.char_length(text) - F.char_length(F.translate(text, "0123456789", ""))
 
 
 def solid_length(text: Column) -> Column:
     """Characters that aren't white space."""
-    return F.char_length(F.regexp_replace(text, WHITESPACE, ""))
+    return F.char_length(F.translate(text, SPACES, ""))
 
 
 def numerical_density(text: Column) -> Column:
@@ -25,8 +29,14 @@ def numerical_density(text: Column) -> Column:
     return digits(text) / F.greatest(F.lit(1), solid_length(text))
 
 
+def dense(text: Column, most: float) -> Column:
+    """numerical_density(text) <= most, with each count made once; true for blank text."""
+    return digits(text) <= most * solid_length(text)
+
+
 def is_blank(text: Column) -> Column:
-    return solid_length(text) == 0
+    """No character but white space; the search ends at the first other one."""
+    return ~text.rlike(f"[^{WHITESPACE[1:]}")
 
 
 def contains_any(text: Column, keywords: Iterable[str]) -> Column:
@@ -55,6 +65,7 @@ def without_part(text: Column, query: Column, until: str) -> tuple[Column, Colum
     return F.when(at > 0, cut).otherwise(text), at > 0
 
 
+# The patterns of what is stripped, and of file names, below.
 def without_images(text: Column) -> Column:
     """Less Markdown images, with or without a title."""
     return F.regexp_replace(text, r'(?d)!\[[^\]]*\]\(.*?(?:".*")?\)', "")

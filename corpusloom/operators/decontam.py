@@ -19,7 +19,9 @@ def _small(df: DataFrame, text: str) -> DataFrame:
 def without_containing(docs: DataFrame, held_out: DataFrame, text: str = "text", needle: str = "text") -> DataFrame:
     """docs that contain no held-out statement; empty statements are ignored."""
     needles = held_out.select(F.col(needle).alias("_needle")).where("_needle <> ''").distinct()
-    return docs.join(_small(needles, "_needle"), F.contains(F.col(text), F.col("_needle")), "left_anti")
+    long_enough = F.octet_length(F.col(text)) >= F.col("_bytes")  # most texts are too short for most statements
+    needles = needles.withColumn("_bytes", F.octet_length("_needle"))
+    return docs.join(_small(needles, "_needle"), long_enough & F.contains(F.col(text), F.col("_needle")), "left_anti")
 
 
 def theorem_needles(held_out: DataFrame, strict: bool = False) -> DataFrame:

@@ -12,16 +12,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import WHITESPACE, contains_any, count_of, found_keywords, is_blank, numerical_density
+from corpusloom.functions.text import WHITESPACE, contains_any, count_of, dense, is_blank
 
 MAX_BYTES, MAX_DENSITY = 1_048_575, 0.5
 
 # Keywords that the rules look for.
 HASKELL_PACKAGES = ["Numeric.LinearAlgebra", "Numeric.SpecFunctions", "Numeric.Vector", "Statistics", "Data.Complex"]
 PYTHON_PACKAGES = ["numpy", "scipy", "sympy", "sage", "numba", "numexpr", "theano", "statsmodels", "networkx", "mpmath", "pymc3", "astropy", "cupy", "pycuda", "cvxpy", "pyomo", "jax"]
-C_INCLUDES = ["<fftw.h>", "<fftw3.h>", "<rfftw.h>", "<gsl", "<cblas.h>", "<blas.h>", "<lapacke.h>", "<nlopt.h>", "<petsc.h>"]
-C_INCLUDES_FUSED = ["<fftw.h>", "<fftw3.h>#include <rfftw.h>", "<gsl", "<cblas.h>", "<blas.h>", "<lapacke.h>", "<nlopt.h>", "<petsc.h>"]
-CPP_INCLUDES = ["<adept_arrays.h>", "<adept.h>", "<alglib", "<boost", "<armadillo", "<blitz", "<Eigen", "<deal.II", "<dlib", "<NTL", "<mtl"]
+C_INCLUDES = ["#include <fftw.h>", "#include <fftw3.h>", "#include <rfftw.h>", "#include <gsl", "#include <cblas.h>", "#include <blas.h>", "#include <lapacke.h>", "#include <nlopt.h>", "#include <petsc.h>"]
+C_INCLUDES_FUSED = ["#include <fftw.h>", "#include <fftw3.h>#include <rfftw.h>", "#include <gsl", "#include <cblas.h>", "#include <blas.h>", "#include <lapacke.h>", "#include <nlopt.h>", "#include <petsc.h>"]
+CPP_INCLUDES = ["#include <adept_arrays.h>", "#include <adept.h>", "#include <alglib", "#include <boost", "#include <armadillo", "#include <blitz", "#include <Eigen", "#include <deal.II", "#include <dlib", "#include <NTL", "#include <mtl"]
 JULIA_WORDS = ["LinearAlgebra", "DifferentialEquations", "Symbolics", "Distributions", "DataFrames", "DynamicalSystems", "Turing", "Gen", "JuMP", "sqrt", "abs", "zeros", "ones", "sin", "cos", "tan", "log", "exp", "integrate", "likelihood", "Matrix", "π", "pi", "rand", "grad"]
 TEX_SECTIONS = ["\\chapter{", "\\chapter*{", "\\section{", "\\section*{", "\\subsection{", "\\subsection*{", "\\subsubsection{", "\\subsubsection*{", "\\paragraph{", "\\subparagraph{"]
 NOTEBOOK_WORDS = ["\\begin{equation}", "\\begin{align}", "import sympy", "from sympy"]
@@ -35,7 +35,8 @@ GITHUB_EXTENSIONS = {"coq": ".v", "isabelle": ".thy", "lean": ".lean", "matlab":
 
 def standard(text: Column, max_density: float = MAX_DENSITY, max_bytes: int = MAX_BYTES, blank: bool = False) -> Column:
     """At most max_bytes of UTF-8 and max_density; blank: what a text without characters gets."""
-    return (F.octet_length(text) <= max_bytes) & F.when(is_blank(text), F.lit(blank)).otherwise(numerical_density(text) <= max_density)
+    fits = F.octet_length(text) <= max_bytes
+    return fits & dense(text, max_density) if blank else fits & ~is_blank(text) & dense(text, max_density)
 
 
 def r(text: Column) -> Column:
@@ -58,8 +59,8 @@ def python_keywords() -> list[str]:
 def python_reason(text: Column) -> Column:
     """Why a file is kept or not: standard, notebook, not found, or the keywords found."""
     first = F.regexp_extract(text, f"^{WHITESPACE}*([^\\x00])", 1)
-    found = found_keywords(text, python_keywords())
-    return F.when(~standard(text), "standard").when(first == "{", "notebook").when(F.size(found) == 0, "not found").otherwise(F.array_join(found, ","))
+    found = F.concat_ws(",", *(F.when(F.contains(text, F.lit(k)), k) for k in python_keywords()))
+    return F.when(~standard(text), "standard").when(first == "{", "notebook").otherwise(F.regexp_replace(found, "^$", "not found"))
 
 
 def python(text: Column) -> Column:
@@ -68,11 +69,11 @@ def python(text: Column) -> Column:
 
 def c(text: Column, fused: bool = False) -> Column:
     """fused: two of the includes count only where they follow each other, as one keyword."""
-    return standard(text) & contains_any(text, [f"#include {x}" for x in (C_INCLUDES_FUSED if fused else C_INCLUDES)])
+    return standard(text) & contains_any(text, C_INCLUDES_FUSED if fused else C_INCLUDES)
 
 
 def cpp(text: Column) -> Column:
-    return standard(text, max_density=0.1) & contains_any(text, [f"#include {x}" for x in CPP_INCLUDES])
+    return standard(text, max_density=0.1) & contains_any(text, CPP_INCLUDES)
 
 
 def julia_test(text: Column) -> Column:
@@ -83,7 +84,7 @@ def julia_test(text: Column) -> Column:
 
 def julia(text: Column, size: Column) -> Column:
     """No data file by its first character; large files must be tests of low density."""
-    return (text != "") & ~F.substring(text, 1, 1).isin("%", "{", "[") & F.when(size >= 100_000, julia_test(text) & (numerical_density(text) <= 0.5)).otherwise(True)
+    return (text != "") & ~F.substring(text, 1, 1).isin("%", "{", "[") & F.when(size >= 100_000, julia_test(text) & dense(text, 0.5)).otherwise(True)
 
 
 def julia_strict(text: Column, size: Column) -> Column:

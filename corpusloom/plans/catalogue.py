@@ -111,9 +111,9 @@ _rule("r", filters.r, f"{_standard('t')} AND NOT contains(t, '/* Resource fork')
 _rule("maple", filters.maple, f"{_standard('t', size=100_000)} AND NOT starts_with(t, '<?xml')", ["", "<?xml", "with(LinearAlgebra);", "9" * 3000])
 _rule("standard", filters.standard, _standard("t"), ["", "1 2 3 4 5 6 7 8 9 " * 40, "٣" * 900, "\x1c\u00a0\u2028" * 300 + "7" * 500])
 _rule("haskell", filters.haskell, f"{_standard('t')} AND regexp_matches(t, {_lit('import' + _WS + '+(qualified' + _WS + '+)?(' + '|'.join(filters.HASKELL_PACKAGES) + ')')})", ["", "import Statistics\n", "import  qualified \t Data.Complex\n", "Statistics ", "import NumericXLinearAlgebra\n", "import qualified Data.List\n"])
-_rule("c", filters.c, f"{_standard('t')} AND {_any('t', ['#include ' + x for x in filters.C_INCLUDES])}", ["", "#include <fftw3.h>\n", "#include <gsl/gsl_math.h>\n", "#include <stdio.h>\n", "#include  <blas.h>\n", "#include <petsc.h>\n", "#include <fftw3.h>#include <rfftw.h>"])
-_rule("c_fused", lambda t: filters.c(t, fused=True), f"{_standard('t')} AND {_any('t', ['#include ' + x for x in filters.C_INCLUDES_FUSED])}", ["", "#include <fftw3.h>\n", "#include <fftw3.h>#include <rfftw.h>", "#include <gsl/gsl_math.h>\n"])
-_rule("cpp", filters.cpp, f"{_standard('t', 0.1)} AND {_any('t', ['#include ' + x for x in filters.CPP_INCLUDES])}", ["", "#include <Eigen/Dense>\n", "#include <boost/math.hpp>\n", "#include <vector>\n", "#include <mtl/mtl.h>\n" + "12345 " * 60])
+_rule("c", filters.c, f"{_standard('t')} AND {_any('t', filters.C_INCLUDES)}", ["", "#include <fftw3.h>\n", "#include <gsl/gsl_math.h>\n", "#include <stdio.h>\n", "#include  <blas.h>\n", "#include <petsc.h>\n", "#include <fftw3.h>#include <rfftw.h>"])
+_rule("c_fused", lambda t: filters.c(t, fused=True), f"{_standard('t')} AND {_any('t', filters.C_INCLUDES_FUSED)}", ["", "#include <fftw3.h>\n", "#include <fftw3.h>#include <rfftw.h>", "#include <gsl/gsl_math.h>\n"])
+_rule("cpp", filters.cpp, f"{_standard('t', 0.1)} AND {_any('t', filters.CPP_INCLUDES)}", ["", "#include <Eigen/Dense>\n", "#include <boost/math.hpp>\n", "#include <vector>\n", "#include <mtl/mtl.h>\n" + "12345 " * 60])
 _lines = "(length(t) - length(replace(t, chr(10), '')) + 1)"
 _tests = "CAST(floor((length(t) - length(replace(t, '@test', ''))) / 5.0) AS BIGINT)"
 _julia = f"t <> '' AND NOT (substr(t, 1, 1) IN ('%', '{{', '[')) AND CASE WHEN CAST(size AS BIGINT) >= 100000 THEN {_tests} > 0 AND CAST({_tests} AS DOUBLE) / {_lines} >= 0.1 AND {_density('t')} <= 0.5 ELSE true END".replace("{{", "{")
@@ -194,10 +194,12 @@ FROM r GROUP BY conv_id, seg HAVING starts_with(first(step ORDER BY turn), 'lemm
 
 @query("proof_render", _proofs)
 def proof_render(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as proof traces; the trace is an array of the file, as it is in a trace file."""
+    """Conversations as proof traces; turns are numbered by segment first, so no trace is gathered whole."""
     user = F.col("role") == "user"
     pair = F.array(F.when(user, "").otherwise(F.col("role")), F.when(user, F.concat(F.lit("lemma "), F.col("text"))).otherwise(F.col("text")))
-    traces = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("file")).agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", pair.alias("pair")))), lambda x: x["pair"]).alias("translations"))
+    rows = segments.numbered_segments(table(spark, sf_dir, "conversations"), "conv_id", "turn", user)
+    pairs = F.transform(F.array_sort(F.collect_list(F.struct("turn", pair.alias("pair")))), lambda x: x["pair"])
+    traces = rows.groupBy(F.col("conv_id").alias("file"), "segment").agg(pairs.alias("translations")).drop("segment")
     return segments.proofs(traces).select(F.col("file").alias("conv_id"), "proof", F.col("length").cast("bigint").alias("length"))
 
 

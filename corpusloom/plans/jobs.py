@@ -17,8 +17,10 @@ def code_corpus(spark: SparkSession, root: str, out: str, counter, languages=tup
     """Re-filter code files language by language; returns the statistics.
 
     The kept rows are stored once, as statistics, split and index all read them. english tells
-    the language of TeX files.
+    whether a TeX file is in English; it is required if tex is among the languages.
     """
+    if "tex" in languages and english is None:
+        raise ValueError("tex needs english, a column that tells whether a file is in English")
     rows = []
     for lang in languages:
         spec = filters.STACK.get(lang)
@@ -29,7 +31,7 @@ def code_corpus(spark: SparkSession, root: str, out: str, counter, languages=tup
         if spec and spec.converts:
             df = convert_notebooks(df).where("converted")
         df = stored(df.withColumn("num_tokens", counter(F.col("content"))), f"code-{lang}")
-        sinks.write_splits(sinks.as_documents(splits.hash_split(df, "hexsha", seed)).select("text", "meta", F.col("meta.split").alias("split")).withColumn("meta", F.col("meta").dropFields("split")), f"{out}/{lang}")
+        sinks.write_splits(sinks.as_documents(splits.hash_split(df, "hexsha", seed)).select("text", "meta", F.col("meta.split").alias("split")).withColumn("meta", F.col("meta").dropFields("split")), f"{out}/{lang}", stem=lang)
         sinks.write_index(df, "max_stars_repo_name", f"{out}/meta/{lang}_index")
         rows.append(stats.corpus_stats(df.withColumn("lang", F.lit(lang)), "lang", size=F.col("size"), tokens=F.col("num_tokens")))
     total = rows[0]
@@ -51,7 +53,7 @@ def repository_corpus(spark: SparkSession, trees: str, repos: DataFrame, lang: s
     elif lang == "isabelle" and names:
         kept = decontam.without_statements(kept, list(names), "text")
     kept = stored(chunk_dedup(kept, "key", "text", chunk).withColumn("num_tokens", counter(F.col("text"))), f"files-{lang}")
-    sinks.write_splits(splits.hash_split(kept, "key", seed, ratio).select("text", "meta", "split"), f"{out}/{lang}")
+    sinks.write_splits(splits.hash_split(kept, "key", seed, ratio).select("text", "meta", "split"), f"{out}/{lang}", stem=lang)
     sinks.write_index(repos.withColumn("name", F.concat_ws("/", "author", "repo")), "name", f"{out}/meta/github_{lang}_index")
     repos.write.mode("overwrite").json(f"{out}/meta/{lang}-repos")
     found = kept.agg(F.count("*").alias("num_examples"), F.sum("num_tokens").alias("num_tokens"))

@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import theory_of
 
 
-def _popular(what: str) -> list[tuple[str, str]]:
-    """The columns that a code file has for its most starred, reported or forked repository."""
-    event = {"stars": "stars", "issues": "issues", "forks": "forks"}[what]
-    names = [f"max_{what}_repo_{x}" for x in ("path", "name", "head_hexsha")]
-    return [(n, "string") for n in names] + [(f"max_{what}_repo_licenses", "array<string>"), (f"max_{what}_count", "bigint")] + [(f"max_{what}_repo_{event}_event_{x}_datetime", "string") for x in ("min", "max")]
-
-
-_CODE = [("hexsha", "string"), ("size", "bigint"), ("ext", "string"), ("lang", "string"), *_popular("stars"), *_popular("issues"), *_popular("forks"), ("content", "string"), ("avg_line_length", "double"), ("max_line_length", "bigint"), ("alphanum_fraction", "double")]
-CODE_FILE = ", ".join(f"{n} {t}" for n, t in _CODE)
+# The columns of a code file.
+CODE_FILE = """
+    hexsha string, size bigint, ext string, lang string,
+    max_stars_repo_path string, max_stars_repo_name string, max_stars_repo_head_hexsha string, max_stars_repo_licenses array<string>,
+    max_stars_count bigint, max_stars_repo_stars_event_min_datetime string, max_stars_repo_stars_event_max_datetime string,
+    max_issues_repo_path string, max_issues_repo_name string, max_issues_repo_head_hexsha string, max_issues_repo_licenses array<string>,
+    max_issues_count bigint, max_issues_repo_issues_event_min_datetime string, max_issues_repo_issues_event_max_datetime string,
+    max_forks_repo_path string, max_forks_repo_name string, max_forks_repo_head_hexsha string, max_forks_repo_licenses array<string>,
+    max_forks_count bigint, max_forks_repo_forks_event_min_datetime string, max_forks_repo_forks_event_max_datetime string,
+    content string, avg_line_length double, max_line_length bigint, alphanum_fraction double
+"""
 REPOSITORY = "author string, repo string, lang string, stars bigint, created date"
 COMMIT = "author string, repo string, sha string, committed timestamp"
 TRACE = "translations array<array<string>>"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHARD_ROWS = 50_000
@@ -14,14 +14,28 @@ def as_documents(df: DataFrame, content: str = "content") -> DataFrame:
     return df.select(F.col(content).alias("text"), F.struct(*rest).alias("meta"))
 
 
+def name_shards(spark: SparkSession, path: str, stem: str) -> None:
+    """Rename the part files in path to stem0000.jsonl, stem0001.jsonl, ... in their order; only names pass the driver."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.isFile() and f.getPath().getName().startswith("part-"))
+    for k, name in enumerate(names):
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(folder, name), jvm.org.apache.hadoop.fs.Path(folder, f"{stem}{k:04}.jsonl")):
+            raise OSError(f"can't rename {name} in {path}")
+
+
 def write_shards(df: DataFrame, path: str, rows: int = SHARD_ROWS, mode: str = "overwrite") -> None:
     """JSON lines of at most rows documents a file; every row is written."""
     df.write.mode(mode).option("maxRecordsPerFile", rows).option("ignoreNullFields", False).option("writeNonAsciiCharacterAsCodePoint", True).json(path)
 
 
-def write_splits(df: DataFrame, path: str, rows: int = SHARD_ROWS) -> None:
-    """A directory for each split."""
+def write_splits(df: DataFrame, path: str, rows: int = SHARD_ROWS, stem: str | None = None) -> None:
+    """A directory for each split; with stem, shards are named after it and a running number."""
     df.write.mode("overwrite").partitionBy("split").option("maxRecordsPerFile", rows).option("ignoreNullFields", False).option("writeNonAsciiCharacterAsCodePoint", True).json(path)
+    if stem is not None:
+        for split in [r[0] for r in df.select("split").distinct().collect()]:
+            name_shards(df.sparkSession, f"{path}/split={split}", stem)
 
 
 def write_index(df: DataFrame, column: str, path: str) -> None:

@@ -91,6 +91,14 @@ def test_shards_hold_every_row(spark, tmp_path, n):
     assert all(line.isascii() and json.loads(line)["text"] == "é\U0001F600" and "none" in json.loads(line)["meta"] for line in lines)
 
 
+def test_shards_have_names_in_order(spark, tmp_path):
+    df = spark.range(23).select(F.col("id").cast("string").alias("text"), F.when(F.col("id") < 20, "train").otherwise("test").alias("split"))
+    sinks.write_splits(df.coalesce(1), str(tmp_path / "out"), rows=8, stem="lean")
+    assert sorted(str(f.relative_to(tmp_path / "out")) for f in (tmp_path / "out").glob("*/*.jsonl")) == ["split=test/lean0000.jsonl", "split=train/lean0000.jsonl", "split=train/lean0001.jsonl", "split=train/lean0002.jsonl"]
+    assert [len(f.read_text().splitlines()) for f in sorted((tmp_path / "out/split=train").glob("*.jsonl"))] == [8, 8, 4]
+    assert spark.read.json(str(tmp_path / "out")).count() == 23
+
+
 def test_stats_are_replaced_by_language(spark, tmp_path):
     for rows in ([("a", 1), ("b", 2)], [("b", 3)]):
         sinks.upsert_stats(spark.createDataFrame(rows, "lang string, files int"), str(tmp_path / "s"))
@@ -98,16 +106,19 @@ def test_stats_are_replaced_by_language(spark, tmp_path):
 
 
 def test_code_job(spark, tmp_path, counter):
-    names = [c.split(" ")[0] for c in readers.CODE_FILE.split(", ")]
+    names = [c.split()[0] for c in readers.CODE_FILE.split(",")]
     for lang, contents in {"python": ["import numpy\n", "x = 1", "from scipy import a"], "tex": ["\\section{a}", "no"], "gap": ["a", "1"]}.items():
         rows = [{"hexsha": f"{lang}{k}", "size": len(c), "ext": "tex", "max_stars_repo_path": "p", "max_stars_repo_name": f"r{k % 2}", "content": c} for k, c in enumerate(contents)]
         spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], readers.CODE_FILE).write.parquet(str(tmp_path / f"in/data/{lang}"))
-    got = {r.lang: (r.files, r.size, r.num_tokens) for r in jobs.code_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), counter, ("python", "tex", "gap")).collect()}
+    got = {r.lang: (r.files, r.size, r.num_tokens) for r in jobs.code_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), counter, ("python", "tex", "gap"), english=F.lit(True)).collect()}
     assert got == {"python": (2, 32, 6), "tex": (1, 11, 1), "gap": (1, 1, 1)}
     rows = spark.read.json(str(tmp_path / "out/python")).collect()
     assert sorted(r.split for r in rows) == ["test", "validation"]
     assert {(r.text, r.meta.reason) for r in rows} == {("import numpy\n", "import numpy"), ("from scipy import a", "from scipy")}
     assert (tmp_path / "out/meta/python_index").exists() and "num_tokens" in rows[0].meta
+    assert sorted(f.name for f in (tmp_path / "out/python").glob("split=*/*.jsonl")) == ["python0000.jsonl"] * 2
+    with pytest.raises(ValueError, match="english"):
+        jobs.code_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), counter, ("tex",))
 
 
 def test_repository_job(spark, tmp_path, counter):
