@@ -12,7 +12,7 @@ neither can add nothing and aren't decoded. All others, which overlap, are decod
 a span's inside barred but from that kind, and the decoded spans of a document are reconciled: parts of
 one span that neighbouring windows saw are merged, a span that another window saw whole beats a cut
 one, and where kinds disagree the longer span stays. Pattern spans always stay; the network adds spans
-that overlap none of them, that have the digits of their kind and, of a card, the check digit.
+that overlap none of them, that have the digits of their kind and, of a card, the check digit, of an address, four parts.
 
 A null text counts as empty and has no spans. Offsets are code points, ends exclusive.
 Repeated rows get equal spans. If no text of the sample has a digit or ``@``, the network adds nothing.
@@ -50,7 +50,7 @@ WINDOW, STRIDE = 96, 32
 #: At most so many windows of about so many documents train the network, and so many that something is put into.
 TRAIN_WINDOWS, TRAIN_DOCS, MADE_WINDOWS = 4096, 4000, 4096
 EMBED, HIDDEN, STEPS, BATCH, RATE, SEED = 8, 24, 400, 32, 0.03, 5
-#: A decoded span must look like its kind: (least digits, most digits, least length); an email also needs an @, a card the check digit.
+#: A decoded span must look like its kind: (least digits, most digits, least length); an email also needs an @, an ip four parts, a card the check digit.
 SHAPES = {"email": (0, 99, 6), "ip": (4, 12, 7), "card": (16, 19, 16), "phone": (8, 15, 9), "secret": (2, 999, 16)}
 
 
@@ -385,10 +385,16 @@ def reconcile(begins: np.ndarray, tags: np.ndarray, seen: np.ndarray) -> list[tu
     return out
 
 
+def _four(s: str) -> bool:
+    """Whether the numbers in s are four, of at most 255."""
+    parts = re.findall("[0-9]+", s)
+    return len(parts) == 4 and all(len(x) <= 3 and int(x) <= 255 for x in parts)
+
+
 def _fits(kind: str, s: str) -> bool:
     low, high, least = SHAPES[kind]
     digits = _digits(s)
-    return low <= len(digits) <= high and len(s) >= least and (kind != "email" or "@" in s[1:-1]) and (kind != "card" or _luhn(digits)) and (kind != "secret" or any(c.isalpha() for c in s) and s.isascii() and not any(c.isspace() for c in s)) and s == s.strip()
+    return low <= len(digits) <= high and len(s) >= least and (kind != "email" or "@" in s[1:-1]) and (kind != "card" or _luhn(digits)) and (kind != "ip" or _four(s)) and (kind != "secret" or any(c.isalpha() for c in s) and s.isascii() and not any(c.isspace() for c in s)) and s == s.strip()
 
 
 def all_spans(texts: list[str], model: Tagger | None) -> list[tuple[list, list]]:
