@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import without_part
+from corpusloom.session import stored
 
 #: Held-out sets beyond this many bytes are not broadcast.
 BROADCAST_BYTES = 32 << 20
+#: Words of the window by which a statement meets texts.
+ANCHOR_WORDS = 4
 
 
 def _small(df: DataFrame, text: str) -> DataFrame:
@@ -16,12 +19,50 @@ def _small(df: DataFrame, text: str) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
+def _windows(text: Column, inner: bool = False) -> Column:
+    """Hashes of all runs of ANCHOR_WORDS words between single spaces; inner leaves out the first and last word.
+
+    The words are bound as an outer lambda's variable, so a text is split once and not once a window.
+    """
+
+    def of(words: Column) -> Column:
+        first, last = (1, F.size(words) - ANCHOR_WORDS - 1) if inner else (0, F.size(words) - ANCHOR_WORDS)
+        starts = F.when(last >= first, F.sequence(F.lit(first), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda k: F.xxhash64(*(F.get(words, k + i) for i in range(ANCHOR_WORDS))))
+
+    return F.array_distinct(F.element_at(F.transform(F.array(F.split(text, " ")), of), 1))
+
+
+def _anchored(needles: DataFrame) -> DataFrame:
+    """(_window, _needle): of each statement's inner windows the one that fewest statements have."""
+    windows = needles.select("_needle", F.explode(_windows(F.col("_needle"), inner=True)).alias("_window"))
+    shared = windows.groupBy(F.col("_window").alias("_w")).agg(F.count("*").alias("_n"))
+    ranked = windows.join(shared, F.col("_window") == F.col("_w"))
+    return ranked.groupBy("_needle").agg(F.min_by("_window", F.struct("_n", "_window")).alias("_window"))
+
+
 def without_containing(docs: DataFrame, held_out: DataFrame, text: str = "text", needle: str = "text") -> DataFrame:
-    """docs that contain no held-out statement; empty statements are ignored."""
+    """docs that contain no held-out statement; empty statements are ignored and null texts kept.
+
+    A text that contains a statement also has, as whole words, those between the statement's
+    first and last. So statements meet texts by an equal window of such words, and only texts
+    that have one are searched. A pair of them is known by the text's hash; as each is searched in the
+    end, no collision matters. Statements with too few words for a window are searched for in
+    all texts that are long enough.
+    """
     needles = held_out.select(F.col(needle).alias("_needle")).where("_needle <> ''").distinct()
-    long_enough = F.octet_length(F.col(text)) >= F.col("_bytes")  # most texts are too short for most statements
-    needles = needles.withColumn("_bytes", F.octet_length("_needle"))
-    return docs.join(_small(needles, "_needle"), long_enough & F.contains(F.col(text), F.col("_needle")), "left_anti")
+    enough = F.size(F.split("_needle", " ")) >= ANCHOR_WORDS + 2
+    has = needles.agg(F.max(enough).alias("long"), F.max(~enough).alias("short")).first()
+    if has["short"]:
+        short = needles.where(~enough).withColumn("_bytes", F.octet_length("_needle"))
+        docs = docs.join(_small(short, "_needle"), (F.octet_length(F.col(text)) >= F.col("_bytes")) & F.contains(F.col(text), F.col("_needle")), "left_anti")
+    if has["long"]:
+        anchors = stored(_anchored(needles.where(enough)), "anchors")
+        seen = docs.select(F.xxhash64(text).alias("_text"), _windows(F.col(text)).alias("_windows")).select("_text", F.explode("_windows").alias("_seen"))
+        met = seen.join(_small(anchors, "_needle"), F.col("_seen") == F.col("_window")).select("_text", "_needle").distinct()
+        met = stored(met, "texts-with-anchors")
+        docs = docs.join(_small(met, "_needle"), (F.xxhash64(text) == F.col("_text")) & F.contains(F.col(text), F.col("_needle")), "left_anti")
+    return docs
 
 
 def theorem_needles(held_out: DataFrame, strict: bool = False) -> DataFrame:

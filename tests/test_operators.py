@@ -1,6 +1,7 @@
 """Boundary cases of the operators, on small rows."""
 
 import json
+import random
 import re
 
 import pytest
@@ -159,6 +160,20 @@ def test_without_containing(spark):
     assert sorted(r[0] for r in decontam.without_containing(df, held).collect()) == ["has statement", "x"]
 
 
+def test_without_containing_equals_search(spark):
+    rng = random.Random(5)
+    words = ["a", "b", "ab", "", "c\nd", "é", "a.b"]
+    def some(least, most):
+        return " ".join(rng.choices(words, k=rng.randint(least, most)))
+    long = [some(6, 9) for _ in range(40)] + ["b a b a b a b a b", "x y z v w u"]
+    texts = [some(0, 60) for _ in range(300)] + [some(0, 9) + n + some(0, 9) for n in long] + ["qx y z v w uq", "x y z v w", None, "", "", long[0], long[0]]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").repartition(5)
+    for held in (long, [*long, "é é é", "c\nd", ""], ["é é é"], [""], [None, "x y z v w u"], []):
+        rows = spark.createDataFrame([(h,) for h in held], "s string")
+        expected = [k for k, t in enumerate(texts) if t is None or not any(h in t for h in held if h)]
+        assert sorted(r.k for r in decontam.without_containing(docs, rows, "t", "s").collect()) == expected
+
+
 def test_segments(spark):
     traces = [("a", [["", "lemma x"], ["s", "p"], ["", "theorem y"], ["", "def z"], ["t", "q"]]), ("b", []), ("c", [["s", "lemma lead"], ["", "lemmaless"]]), ("d", None), ("e", [["", "lemma only"]])]
     df = spark.createDataFrame(traces, "file string, translations array<array<string>>")
