@@ -255,13 +255,17 @@ def token_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MARKS = ["", '![a](b.png "c") ', "![a](b.png)", "<img src=x>", "<video>\nx</video>", "<iframe a></iframe>", "<SCRIPT>y</SCRIPT>"]
 
 
-@query("html_strip", f"""SELECT page_id, regexp_replace(regexp_replace(regexp_replace(t, '!\\[[^\\]]*\\]\\(.*?(?:".*")?\\)', '', 'g'), '<img[^>]*>', '', 'g'), '(?s)<video.*?</video>|<script.*?</script>|<iframe.*?</iframe>', '', 'g') AS html FROM (SELECT page_id, {_pick_sql(_MARKS).replace('doc_id', 'page_id')} || html AS t FROM pages)""")
+def _stripped_sql(t: str) -> str:
+    return f"""regexp_replace(regexp_replace(regexp_replace({t}, '!\\[[^\\]]*\\]\\(.*?(?:".*")?\\)', '', 'g'), '<img[^>]*>', '', 'g'), '(?s)<video.*?</video>|<script.*?</script>|<iframe.*?</iframe>', '', 'g')"""
+
+
+@query("html_strip", f"SELECT page_id, {_stripped_sql('t')} AS html FROM (SELECT page_id, {_pick_sql(_MARKS).replace('doc_id', 'page_id')} || html AS t FROM pages)")
 def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = table(spark, sf_dir, "pages").withColumn("doc_id", F.col("page_id")).withColumn("t", F.concat(_pick(_MARKS), F.col("html")))
     return marked.select("page_id", notebook.stripped(F.col("t")).alias("html"))
 
 
-@query("notebook_markdown")
+@query("notebook_markdown", f"""SELECT doc_id, doc_id % 3 <> 0 AS converted, CASE WHEN doc_id % 3 = 0 THEN text ELSE {_stripped_sql("text || chr(10)")} END AS content FROM documents""")
 def notebook_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as one-cell notebooks, every third without being one, converted."""
     cell = F.to_json(F.struct(F.array(F.struct(F.lit("markdown").alias("cell_type"), F.col("text").alias("source"))).alias("cells"), F.struct(F.lit("en").alias("lang")).alias("metadata")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import tokens
 from corpusloom.operators import decontam
+from corpusloom.plans import __main__ as command_line
 from corpusloom.plans import jobs
 from corpusloom.sources import readers, sinks
 from corpusloom.streaming import feeds
@@ -151,6 +152,29 @@ def test_step_and_line_jobs(spark, tmp_path, counter):
     assert (tmp_path / "out/split=test/name=b.jsonl").exists()
 
 
+def test_command_line(spark, tmp_path):
+    ranks = ["--ranks", tokens.public_path("byte_bpe_50k.tiktoken")]
+    put(tmp_path / "steps.jsonl", "\n".join(json.dumps({"module": f"m{k}", "text": "a b"}) for k in range(50)))
+    got = command_line.run(spark, ["steps", "--steps", str(tmp_path / "steps.jsonl"), "--out", str(tmp_path / "o1"), *ranks]).collect()
+    assert sum(r.rows for r in got) == 50 and sum(r.tokens for r in got) == 100
+
+    for n, c in {"one/a.lean": "theorem y : p\n\nlemma keep z", "two/c.lean": "lemma other", "old/d.lean": "lemma late"}.items():
+        put(tmp_path / "trees" / n, c)
+    repos = [{"author": "a", "repo": r, "lang": "lean", "stars": k, "created": day, "save_path": f"x/{r}"} for k, (r, day) in enumerate([("one", "2020-01-01"), ("two", "2020-01-02"), ("old", "2024-01-01")])]
+    put(tmp_path / "repos.jsonl", "\n".join(map(json.dumps, repos)))
+    put(tmp_path / "held.json", json.dumps([{"file_path": "a.lean", "full_name": "X.y"}]))
+    args = ["repositories", "--trees", str(tmp_path / "trees"), "--repositories", str(tmp_path / "repos.jsonl"), "-l", "lean", "--lean-held-out", str(tmp_path / "held.json")]
+    for k, weekly in enumerate(([], ["--weekly"])):
+        out = str(tmp_path / f"o2{k}")
+        got = command_line.run(spark, [*args, *weekly, "--out", out, *ranks]).collect()
+        assert [(r.lang, r.num_repos, r.num_examples) for r in got] == [("lean", 2, 2)]
+        rows = spark.read.json(f"{out}/lean").collect()
+        assert {(r.text, r.meta.sha) for r in rows} == {("\n\nlemma keep z", "master"), ("lemma other", "master")}
+    for wrong in (["code", "--root", "r", "--out", "o", "-l", "tex", *ranks], ["steps", "--steps", "s", "--out", "o"], []):
+        with pytest.raises(SystemExit):
+            command_line.run(spark, wrong)
+
+
 def test_token_counters(spark):
     texts = ["hello world", "", None, "<|endoftext|>", "é😀"]
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
