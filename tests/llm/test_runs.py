@@ -1,0 +1,142 @@
+"""Periodic runs against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom.llm import runs
+from corpusloom.session import table
+
+
+def brute(words: list, least: int) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs, by trying every period."""
+    n, found = len(words), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            if length >= 2 * q and (i, length) not in found:  # smaller periods come first
+                found[i, length] = q
+            i = j + 1
+    return sorted((s, length, q) for (s, length), q in found.items() if length >= least)
+
+
+def sort_key(run):
+    return run[0], run[2]
+
+
+def expected(doc_id, text: str | None) -> dict:
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    found = sorted(brute(words, 12), key=sort_key)
+    gone = {k for s, length, q in found for k in range(s + q, s + length)}
+    top = min(found, key=lambda r: (-r[1], r[0], r[2])) if found else None
+    return {
+        "doc_id": doc_id, "n_runs": len(found), "start": top and top[0], "length": top and top[1], "period": top and top[2],
+        "exponent_milli": top and 1000 * top[1] // top[2],
+        "runs_sha256": hashlib.sha256("".join(f"{s},{length},{q}\n" for s, length, q in found).encode()).hexdigest(),
+        "collapsed_sha256": hashlib.sha256(" ".join(w for k, w in enumerate(words) if k not in gone).encode()).hexdigest(),
+    }
+
+
+def texts(kind: int):
+    rng = random.Random(kind)
+    for _ in range(40):
+        n = rng.randrange(0, 60)
+        if kind == 0:
+            yield [rng.randrange(2) for _ in range(n)]
+        elif kind == 1:
+            unit = [rng.randrange(3) for _ in range(rng.randrange(1, 9))]
+            yield [rng.randrange(3) for _ in range(rng.randrange(5))] + unit * rng.randrange(1, 9) + unit[: rng.randrange(len(unit))]
+        else:
+            a, b = [0], [0, 1]
+            for _ in range(rng.randrange(1, 8)):
+                a, b = b, b + a
+            yield b  # Fibonacci words have the most runs of all
+
+
+@pytest.mark.parametrize("kind", range(3))
+@pytest.mark.parametrize("least", [2, 12])
+def test_runs_are_those_of_brute_force(kind, least):
+    some = list(texts(kind))
+    ids = np.array([w for t in some for w in t], np.int64)
+    at = np.concatenate(([0], np.cumsum([len(t) for t in some]))).astype(np.int64)
+    who, start, length, period = runs.find_runs(ids, at, least)
+    got = [[] for _ in some]
+    for k, *run in zip(who.tolist(), start.tolist(), length.tolist(), period.tolist()):
+        got[k].append(tuple(run))
+    assert got == [sorted(brute(t, least), key=sort_key) for t in some]
+
+
+def test_suffix_order_and_lcp():
+    rng = random.Random(5)
+    some = [[rng.randrange(2) for _ in range(rng.randrange(30))] for _ in range(30)] + [[1] * 50]
+    at = np.concatenate(([0], np.cumsum([len(t) for t in some]))).astype(np.int64)
+    rank, lcp = runs.suffix_order(np.array([w for t in some for w in t], np.int64), at)
+    for k, t in enumerate(some):
+        order = sorted(range(len(t)), key=lambda i: t[i:])
+        assert [order.index(i) for i in range(len(t))] == (rank[at[k] : at[k + 1]] - at[k]).tolist()
+        for r in range(1, len(t)):
+            a, b = t[order[r - 1] :], t[order[r] :]
+            assert lcp[at[k] + r] == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def test_range_minima_and_first_below():
+    rng = np.random.default_rng(1)
+    for n in (1, 15, 16, 17, 333, 1000):
+        values = rng.integers(0, 50, n)
+        made = runs.RangeMin(values)
+        low = rng.integers(0, n, 300)
+        high = low + 1 + (rng.random(300) * (n - low)).astype(np.int64)
+        assert made.minimum(low, high).tolist() == [values[a:b].min() for a, b in zip(low, high)]
+        bound = rng.integers(0, 52, 300)
+        assert made.first_below(low, bound).tolist() == [next((k for k in range(a, n) if values[k] < x), n) for a, x in zip(low, bound)]
+
+
+def test_query_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and blank texts, repeated rows, all separators, non-ASCII spaces as parts of words, other columns."""
+    rows = [(k, t, "x") for k, t in enumerate([None, "", " \t\n\x0b\x0c\r ", "one", "a b " * 9 + "c", "a b\tc\nd\x0be\x0cf\r" * 7, "é ü " * 20, "word " * 500])]
+    rows += rows[-2:] + [(k, " ".join(random.Random(k).choices("abc", k=k)), "x") for k in range(100, 180)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, runs string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r.asDict() for r in runs.op11_periodic_runs(spark, str(tmp_path)).collect()]
+    assert sorted(map(str, got)) == sorted(str(expected(k, t)) for k, t, _ in rows)
+    df.where("false").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert runs.op11_periodic_runs(spark, str(tmp_path)).collect() == []
+    null = spark.createDataFrame([(None, "a b " * 20)], "doc_id long, text string")
+    null.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert runs.op11_periodic_runs(spark, str(tmp_path)).first()["n_runs"] == 1
+
+
+def test_query_on_the_table(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r.asDict() for r in runs.op11_periodic_runs(spark, sf_dir).collect()}
+    assert len(got) == len(docs)
+    for d in docs:
+        if len(d["text"] or "") < 8000:
+            assert got[d["doc_id"]] == expected(*d)
+    assert sum(r["n_runs"] > 0 for r in got.values()) > len(docs) // 20
+
+
+def test_one_very_long_periodic_text(spark):
+    """A million words of period 1000, then other words: one run, without a quadratic step."""
+    unit = " ".join(f"w{k * 7919 % 1000}" for k in range(1000))
+    df = spark.range(1).select("id", F.concat(F.repeat(F.lit(unit + " "), 1000), F.lit("end of it")).alias("text"))
+    row = runs.with_runs(df, ["id"]).first()
+    assert [tuple(r) for r in row["runs"]] == [(0, 1_000_000, 1000)] and row["collapsed"] == unit + " end of it"
