@@ -164,3 +164,28 @@ def words_of(column: pa.Array):
     """words() of an Arrow column, with the number of texts at the end."""
     data, at = text_bytes(column)
     return *words(data, at), len(column)
+
+
+def folded(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z lower-cased, and 0 for those that no word of words() has."""
+    return _FOLDED[data]
+
+
+def split_words(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte ranges [begin, end) of each text's maximal runs of bytes that are inside words, and the texts' offsets in them."""
+    n = len(inside)
+    around = np.zeros(n + 2, bool)
+    around[1 : n + 1] = inside
+    edge = np.zeros(n + 1, bool)
+    edge[at] = True
+    begin = np.flatnonzero(around[1:] & (edge | ~around[:-1]))
+    end = np.flatnonzero(around[:-1] & (edge | ~around[1:]))
+    return begin, end, counts_by(np.searchsorted(at, begin, "right") - 1, len(at) - 1)
+
+
+def word_dictionary(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.DictionaryArray:
+    """The words in the byte ranges as an array with a dictionary, in which each occurs once."""
+    size = end - begin
+    offsets = np.concatenate(([0], np.cumsum(size)))
+    packed = data[np.repeat(begin - offsets[:-1], size) + np.arange(offsets[-1])]
+    return pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]).dictionary_encode()

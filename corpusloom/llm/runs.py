@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrowtext import counts_by, over_texts, text_bytes
+from corpusloom.llm.arrowtext import counts_by, over_texts, split_words, text_bytes, word_dictionary
 from corpusloom.session import table
 
 #: Runs of fewer words are not reported.
 LEAST = 12
 BLOCK = 16
 _MOST = np.iinfo(np.int64).max
-_SEPARATES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_IN_WORDS = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 class RangeMin:
@@ -168,28 +168,6 @@ def find_runs(ids: np.ndarray, at: np.ndarray, least: int = LEAST) -> tuple[np.n
     return owner[start], start - begin[start], length, period
 
 
-def split_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte ranges [begin, end) of the words of each text, and the offsets of the texts in them."""
-    n = len(data)
-    inside = np.zeros(n + 2, bool)
-    inside[1 : n + 1] = ~_SEPARATES[data]
-    edge = np.zeros(n + 1, bool)
-    edge[at] = True
-    begin = np.flatnonzero(inside[1:] & (edge | ~inside[:-1]))
-    end = np.flatnonzero(inside[:-1] & (edge | ~inside[1:]))
-    owner = np.searchsorted(at, begin, "right") - 1
-    return begin, end, counts_by(owner, len(at) - 1)
-
-
-def word_ids(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The same number for equal words, which are compared byte by byte."""
-    size = end - begin
-    offsets = np.concatenate(([0], np.cumsum(size)))
-    packed = data[np.repeat(begin - offsets[:-1], size) + np.arange(offsets[-1])]
-    words = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
-    return words.dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
 def joined(data: np.ndarray, begin: np.ndarray, end: np.ndarray, keep: np.ndarray, at: np.ndarray) -> pa.Array:
     """For each text, the kept words with one space between them."""
     begin, size = begin[keep], end[keep] - begin[keep] + 1
@@ -214,8 +192,9 @@ def with_runs(docs: DataFrame, keep: list[str], text: str = "text", least: int =
     def make():
         def each(part):
             data, at_bytes = text_bytes(part.column(text))
-            begin, end, at = split_words(data, at_bytes)
-            who, start, length, period = find_runs(word_ids(data, begin, end), at, least)
+            begin, end, at = split_words(_IN_WORDS[data], at_bytes)
+            ids = word_dictionary(data, begin, end).indices.to_numpy().astype(np.int64)
+            who, start, length, period = find_runs(ids, at, least)
             gone = np.zeros(len(begin) + 1, np.int64)
             np.add.at(gone, at[who] + start + period, 1)
             np.add.at(gone, at[who] + start + length, -1)

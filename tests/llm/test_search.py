@@ -1,0 +1,109 @@
+"""Ranked search against brute force."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from corpusloom.llm import search
+
+
+def terms(text: str | None) -> list[str]:
+    lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower)
+
+
+def brute(docs: list, items: list, top: int) -> set:
+    """(item row, rank, doc_id, score); documents are (doc_id, text), and equal scores in order of doc_id."""
+    bags = [Counter(terms(t)) for _, t in docs]
+    n_docs, total = sum(bool(b) for b in bags), sum(sum(b.values()) for b in bags)
+    df = Counter(w for b in bags for w in b)
+    out = set()
+    for k, text in enumerate(items):
+        scored = []
+        for (doc, _), bag in zip(docs, bags):
+            n, score = sum(bag.values()), 0
+            for w in set(terms(text)) & set(bag):
+                weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[w] + 1)))
+                score += weight * (1_000_000_000 * bag[w] // (1000 * bag[w] + 20 * (50 + 50 * n * n_docs // total)))
+            if score > 0:
+                scored.append((-score, doc is None, doc))
+        out |= {(k, rank, doc, -s) for rank, (s, _, doc) in enumerate(sorted(scored)[:top], 1)}
+    return out
+
+
+def corpus(seed: int, n: int, words: int = 120):
+    """Texts with words of uneven frequency: a few in nearly all of them, many in one or two; some texts are copies."""
+    rng = random.Random(seed)
+    vocabulary = [f"{'éA'[k % 2]}w{k}" for k in range(words)]
+    weights = [1 / (k + 1) for k in range(words)]
+    docs = [" ".join(rng.choices(vocabulary, weights, k=rng.randrange(1, 80))) for _ in range(n)]
+    docs[n // 2 :: 3] = [docs[0]] * len(docs[n // 2 :: 3])
+    items = [" ".join(rng.choices(vocabulary, k=rng.randrange(1, 25))) for _ in range(12)]
+    return list(enumerate(docs)), items
+
+
+def found(spark, docs, items, top=search.TOP):
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumnRenamed("text", "body").selectExpr("*", "'x' AS item_id", "1 AS term", "2 AS block")
+    i = spark.createDataFrame(list(enumerate(items)), "item_id int, text string").selectExpr("*", "7 AS item", "8 AS weight")
+    got = search.search(d.repartition(5, "doc_id"), i, top, text="body").collect()
+    return {(r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in got}, len(got)
+
+
+@pytest.mark.parametrize("seed, top, pairs, vocabulary", [(1, 5, 1 << 20, 32 << 20), (2, 50, 1 << 20, 0), (3, 3, 40, 32 << 20), (4, 1, 40, 0)])
+def test_all_of_the_top(spark, monkeypatch, seed, top, pairs, vocabulary):
+    """Also with several groups of items, and with an index of all terms; small batches make many blocks."""
+    monkeypatch.setattr(search, "GROUP_PAIRS", pairs)
+    monkeypatch.setattr(search, "VOCABULARY_BYTES", vocabulary)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "17")
+    try:
+        docs, items = corpus(seed, 300)
+        got, n = found(spark, docs, items, top)
+    finally:
+        spark.conf.set(batch, before)
+    assert got == brute(docs, items, top) and n == len(got)
+
+
+def test_odd_rows(spark):
+    """Nulls, empty texts, texts and items without terms, A-Z only, very long text, repeated rows and items, terms in every text."""
+    docs = [(1, None), (2, ""), (3, " .,!\n"), (4, "İ É straße STRASSE"), (5, "every one"), (6, "every ONE two"), (7, "every two"), (8, "every " + "long " * 200_000 + "rare"), (None, "every one")]
+    docs += [(10, "twice told"), (10, "twice told")]
+    items = [None, "", "...", "one two", "ONE Two one", "straße", "é", "É", "every", "rare long", "absent", "twice told", "one two"]
+    got, n = found(spark, docs, items)
+    assert got == brute(docs, items, 50) and n == len(got)
+
+
+def test_empty_tables(spark):
+    assert found(spark, [], ["one"]) == (set(), 0)
+    assert found(spark, [(1, None), (2, "")], ["one"]) == (set(), 0)
+    assert found(spark, [(1, "one")], []) == (set(), 0)
+
+
+def test_thresholds_leave_out_entries(spark, monkeypatch):
+    """The second phase sends less than the whole lists, and its candidates are fewer than the pairs that share a term."""
+    monkeypatch.setattr(search, "TIGHTER", 1)
+    docs, items = corpus(9, 3000, 2000)
+    items = [f"{t} éw0 Aw1 éw2 Aw3 éw4 Aw5" for t in items]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item long, text string")
+    pairs = search.item_terms(i, "item", "text")
+    size = search.corpus_size(d)
+    index = search.build_index(d, size, search._vocabulary(pairs))
+    weighed = search.weights(pairs, index, size[0])
+    heads = search._heads(index, 3)
+    assert heads.groupBy("term").count().selectExpr("max(count)").first()[0] == 3
+    best = brute(docs, items, 3)
+    bound = {k: min(s for a, _, _, s in best if a == k) for k in range(len(items))}
+    bounded = weighed.join(spark.createDataFrame(list(bound.items()), "item long, bound long"), "item")
+    sent = search._sent(index, bounded)
+    entries = "sum(octet_length(places)) / 4"
+    assert 0 < sent.selectExpr(entries).first()[0] < index.where("term IS NOT NULL").selectExpr(entries).first()[0]
+    group = spark.sparkContext.broadcast(search._Group(bounded.toArrow()))
+    left = search._candidates(sent, group, 3).collect()
+    share = sum(bool(set(terms(t)) & set(terms(d))) for t in items for _, d in docs)
+    assert len(left) < share / 4
