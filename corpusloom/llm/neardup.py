@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrowtext import counts_by, mix, over_texts, shingles, words_of
@@ -38,12 +38,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
 #: Further turns in which open buckets get another centre; they save comparisons later and decide nothing.
 TURNS = 2
-#: Slots (a power of two), in blocks, in which shingles are counted for the order of prefixes; any counts give a right order.
-SLOTS, BLOCK = 1 << 18, 1 << 12
 #: A shingle that begins more texts than this is dealt over several tasks.
 SALTED = 1024
-#: Texts of which prefixes are made at once.
-HEADS_AT_ONCE = 256
+#: Texts of which elements are listed at once.
+TEXTS_AT_ONCE = 256
 #: Ids are broadcast up to this many (16 MB).
 BROADCAST_IDS = 2_000_000
 
@@ -209,27 +207,26 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return not nodes.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
 
 
-def components(links: DataFrame, known: DataFrame | None = None, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(id, root): the least id of each connected component, for the ids in links (a, b) or known (id, root).
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): each keeps the
     connections and shortens paths; edges are pre-aggregated to minima, and no neighbourhood
-    is ever collected. Each round's edges are stored, which cuts the lineage.
+    is ever collected. Each round's edges are stored, which cuts the lineage. The rounds end by
+    themselves: every one brings all nodes closer to their component's least.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     if known is not None:
         edges = edges.union(known.select("id", "root"))
     edges = stored(edges.where("u <> v").distinct(), "edges")
-    for _ in range(rounds):
-        if _is_star_forest(edges):
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
+    while not _is_star_forest(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = stored(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-    raise RuntimeError("components: too many rounds")
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
 
 
 def near_classes(texts: DataFrame, sig: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -274,63 +271,32 @@ def _packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values, np.diff(at) // 8
 
 
-def _slots(values: np.ndarray) -> np.ndarray:
-    return (values.view(np.uint64) & np.uint64(SLOTS - 1)).astype(np.int64)
-
-
-def _frequencies(listed: DataFrame) -> np.ndarray:
-    """In how many texts the elements of each slot occur, elements of a text in one slot counted each."""
-
-    def blocks(seen):
-        some = np.flatnonzero(seen.any(1))
-        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([x.tobytes() for x in seen[some]], pa.binary())], ["block", "counts"])
-
-    def count(batches):
-        seen = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for k in range(0, batch.num_rows, HEADS_AT_ONCE):
-                seen += np.bincount(_slots(_packed(batch.column("elements").slice(k, HEADS_AT_ONCE))[0]), minlength=SLOTS)
-        yield blocks(seen.reshape(-1, BLOCK))
-
-    def total(batches):
-        seen = np.zeros((SLOTS // BLOCK, BLOCK), np.int64)
-        for batch in batches:
-            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
-                seen[block] += np.frombuffer(counts.as_buffer(), np.int64)
-        yield blocks(seen)
-
-    kind = "block int, counts binary"
-    often = np.zeros((SLOTS // BLOCK, BLOCK), np.int32)
-    summed = listed.select("elements").mapInArrow(count, kind).repartition("block").mapInArrow(total, kind).toArrow()
-    for block, counts in zip(summed.column("block").to_pylist(), summed.column("counts").to_pylist()):
-        often[block] = np.minimum(np.frombuffer(counts, np.int64), 2**31 - 1)
-    return often.reshape(-1)
-
-
-def _prefixes(listed: DataFrame, often: np.ndarray, similarity: float) -> DataFrame:
-    """(id, class, element, place, size, early): the first elements of each text, rare ones first.
+def _prefixes(listed: DataFrame, similarity: float) -> DataFrame:
+    """(id, element, place, size, early): the first elements of each text, rare ones first.
 
     A similar text of no more elements shares one of them; one of no fewer shares one of the early ones.
-    Elements that occur once in all are left out.
+    The order is by the number of texts that hold the element, counted exactly, then by its hash. Elements of one text only
+    come first and are left out: they are never sent back, only their number is known. So of texts that differ
+    from all others in more than a fifth of their elements nothing is left, whatever the size of the data.
     """
     of_equal = 2 * similarity / (1 + similarity)
 
-    def heads(batches):
+    def each(batches):
         for batch in batches:
-            for k in range(0, batch.num_rows, HEADS_AT_ONCE):
-                part = batch.slice(k, HEADS_AT_ONCE)
+            for k in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(k, TEXTS_AT_ONCE)
                 values, size = _packed(part.column("elements"))
-                owner = np.repeat(np.arange(len(size)), size)
-                n = often[_slots(values)]
-                order = np.lexsort((values, n, owner))
-                place = np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
-                last, early = (size - np.ceil(x * size - 1e-6) for x in (similarity, of_equal))
-                keep = (place <= last[owner]) & (n[order] > 1)
-                who = pa.array(owner[keep])
-                made = [pa.array(values[order][keep]), pa.array(place[keep], pa.int32()), pa.array(size[owner[keep]], pa.int32()), pa.array((place <= early[owner])[keep])]
-                yield pa.RecordBatch.from_arrays([part.column("id").take(who), part.column("class").take(who), *made], ["id", "class", "element", "place", "size", "early"])
+                who = pa.array(np.repeat(np.arange(len(size)), size))
+                yield pa.RecordBatch.from_arrays([part.column("id").take(who), pa.array(np.repeat(size, size), pa.int32()), pa.array(values)], ["id", "size", "element"])
 
-    return listed.mapInArrow(heads, "id bigint, class bigint, element bigint, place int, size int, early boolean")
+    rows = listed.select("id", "elements").mapInArrow(each, "id bigint, size int, element bigint")
+    often = rows.groupBy("element").agg(F.count("*").alias("texts")).where("texts > 1")
+    often = stored(often, "frequencies")  # stored, so that AQE may split the rows of an element that very many texts have
+    mine = Window.partitionBy("id")
+    ranked = rows.join(often, "element").withColumn("nth", F.row_number().over(mine.orderBy("texts", "element"))).withColumn("others", F.count("*").over(mine))
+    placed = ranked.select("id", "element", "size", (F.col("size") - F.col("others") + F.col("nth") - 1).cast("int").alias("place"))
+    last, early = (F.col("size") - F.ceil(x * F.col("size") - 1e-6) for x in (similarity, of_equal))
+    return placed.where(F.col("place") <= last).withColumn("early", F.col("place") <= early)
 
 
 def prefix_pairs(some: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -343,8 +309,9 @@ def prefix_pairs(some: DataFrame, texts: DataFrame, similarity: float = SIMILARI
     that side is dealt by salt, and the other is repeated for each salt.
     """
     few = some.count() <= BROADCAST_IDS // 2
-    listed = stored(elements(texts.join(F.broadcast(some) if few else some, "id"), ["id", "class"]), "elements")
-    heads = stored(_prefixes(listed, _frequencies(listed), similarity), "prefixes")
+    listed = stored(elements(texts.join(F.broadcast(some) if few else some, "id", "left_semi"), ["id"]), "elements")
+    heads = _prefixes(listed, similarity)
+    heads = stored(heads.join(F.broadcast(some) if few else some, "id"), "prefixes")
     spread = heads.groupBy("element", "class").agg(F.count("*").alias("n"), F.max("early").alias("early")).groupBy("element")
     spread = spread.agg(F.max_by("class", F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("classes"), F.max("early").alias("early"))
     salts = F.ceil(F.col("n") / SALTED).cast("int")

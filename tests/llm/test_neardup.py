@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import neardup as N
@@ -138,6 +139,22 @@ def test_prefix_pairs_miss_no_similar_pair(spark):
     assert len(want) > 100 and want <= got
 
 
+def near_misses(templates, each):
+    """Families of texts that are all alike at 0.793: the same nine words of 394 are every text's own."""
+    return [(f * each + k, " ".join(f"f{f}k{k}w{j}" if j % 43 == 5 and j < 390 else f"f{f}w{j}" for j in range(394))) for f in range(templates) for k in range(each)]
+
+
+@pytest.mark.parametrize("templates", [40, 400])
+def test_near_misses_are_no_candidates(spark, templates):
+    """However many families there are, at most 1 % of a family's pairs are compared (with frequencies in a table of fixed size, all were in the end)."""
+    docs = near_misses(templates, 50)
+    bags = [bag(t) for _, t in docs[:50]]
+    assert all(0.79 < (a & b).total() / (a | b).total() < 0.8 for i, a in enumerate(bags) for b in bags[:i])
+    df = spark.createDataFrame(docs, "id long, text string").repartition(8)
+    pairs = N.prefix_pairs(df.select("id", F.col("id").alias("class")), df).count()
+    assert pairs <= 0.01 * templates * 50 * 49 / 2
+
+
 def test_deduplicate(spark):
     rows = [(2, "a b", "x", 0), (1, "a b", "y", 1), (None, "a b", "z", 2), (5, None, "n", 3), (5, None, "n", 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, bands string, row long")
