@@ -2,67 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import without_part
+from corpusloom.operators import substrings
 from corpusloom.session import stored
 
 #: Held-out sets beyond this many bytes are not broadcast.
 BROADCAST_BYTES = 32 << 20
-#: Words of the window by which a statement meets texts.
-ANCHOR_WORDS = 4
 
 
-def _small(df: DataFrame, text: str) -> DataFrame:
-    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+def _small(df: DataFrame, size: str | Column) -> DataFrame:
+    """df, to be broadcast if the sum of size (of a column's bytes, if it is a name) allows it."""
+    size = df.agg(F.sum(F.octet_length(size) if isinstance(size, str) else size)).first()[0] or 0
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
-def _windows(text: Column, inner: bool = False) -> Column:
-    """Hashes of all runs of ANCHOR_WORDS words between single spaces; inner leaves out the first and last word.
-
-    The words are bound as an outer lambda's variable, so a text is split once and not once a window.
-    """
-
-    def of(words: Column) -> Column:
-        first, last = (1, F.size(words) - ANCHOR_WORDS - 1) if inner else (0, F.size(words) - ANCHOR_WORDS)
-        starts = F.when(last >= first, F.sequence(F.lit(first), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda k: F.xxhash64(*(F.get(words, k + i) for i in range(ANCHOR_WORDS))))
-
-    return F.array_distinct(F.element_at(F.transform(F.array(F.split(text, " ")), of), 1))
-
-
-def _anchored(needles: DataFrame) -> DataFrame:
-    """(_window, _needle): of each statement's inner windows the one that fewest statements have."""
-    windows = needles.select("_needle", F.explode(_windows(F.col("_needle"), inner=True)).alias("_window"))
-    shared = windows.groupBy(F.col("_window").alias("_w")).agg(F.count("*").alias("_n"))
-    ranked = windows.join(shared, F.col("_window") == F.col("_w"))
-    return ranked.groupBy("_needle").agg(F.min_by("_window", F.struct("_n", "_window")).alias("_window"))
-
-
 def without_containing(docs: DataFrame, held_out: DataFrame, text: str = "text", needle: str = "text") -> DataFrame:
     """docs that contain no held-out statement; empty statements are ignored and null texts kept.
 
-    A text that contains a statement also has, as whole words, those between the statement's
-    first and last. So statements meet texts by an equal window of such words, and only texts
-    that have one are searched. A pair of them is known by the text's hash; as each is searched in the
-    end, no collision matters. Statements with too few words for a window are searched for in
-    all texts that are long enough.
+    Statements of any length meet texts by an equal window (see substrings), and only texts that have one are
+    searched. A pair of them is known by the text's hash; as each is searched in the end, no collision matters.
     """
-    needles = held_out.select(F.col(needle).alias("_needle")).where("_needle <> ''").distinct()
-    enough = F.size(F.split("_needle", " ")) >= ANCHOR_WORDS + 2
-    has = needles.agg(F.max(enough).alias("long"), F.max(~enough).alias("short")).first()
-    if has["short"]:
-        short = needles.where(~enough).withColumn("_bytes", F.octet_length("_needle"))
-        docs = docs.join(_small(short, "_needle"), (F.octet_length(F.col(text)) >= F.col("_bytes")) & F.contains(F.col(text), F.col("_needle")), "left_anti")
-    if has["long"]:
-        anchors = stored(_anchored(needles.where(enough)), "anchors")
-        seen = docs.select(F.xxhash64(text).alias("_text"), _windows(F.col(text)).alias("_windows")).select("_text", F.explode("_windows").alias("_seen"))
-        met = seen.join(_small(anchors, "_needle"), F.col("_seen") == F.col("_window")).select("_text", "_needle").distinct()
-        met = stored(met, "texts-with-anchors")
-        docs = docs.join(_small(met, "_needle"), (F.xxhash64(text) == F.col("_text")) & F.contains(F.col(text), F.col("_needle")), "left_anti")
-    return docs
+    needles = stored(held_out.select(F.col(needle).alias("needle")).where("needle <> ''").distinct(), "statements")
+    met = stored(substrings.candidates(docs, text, needles), "texts-with-anchors")
+    return docs.join(_small(met, "needle").toDF("_text", "_needle"), (F.xxhash64(text) == F.col("_text")) & F.contains(F.col(text), F.col("_needle")), "left_anti")
 
 
 def theorem_needles(held_out: DataFrame, strict: bool = False) -> DataFrame:
@@ -88,13 +55,17 @@ def one_per_file(names: DataFrame) -> DataFrame:
 def without_theorems(docs: DataFrame, needles: DataFrame, key: str, text: str, path: str, until: str = "\n\n") -> DataFrame:
     """docs less the passages of held-out theorems of their files, and was_transformed.
 
-    Needles meet documents by their path, then are applied in order; only needles are gathered,
-    and a document has as many as the held-out set has for its file.
+    Distinct paths meet the files that they contain, then the files' needles, and documents join the list of
+    their path, so no text is shuffled while the lists are small. Needles are applied in order; only needles are gathered,
+    and a path has as many as the held-out set has for its files.
     """
-    wanted = _small(needles.withColumn("_size", F.col("file")), "_size").withColumnRenamed("file", "_file")
-    met = docs.select(F.col(key).alias("_key"), F.col(path).alias("_path")).join(wanted, F.contains(F.col("_path"), F.col("_file")))
-    lists = met.groupBy("_key").agg(F.array_sort(F.collect_list("needle")).alias("_needles"))
-    joined = docs.join(lists, F.col(key) == F.col("_key"), "left").drop("_key")
+    paths = docs.select(F.col(path).alias("_path")).distinct()
+    files = substrings.occurrences(paths, "_path", needles.select("file"), "file").toDF("_path", "file")
+    lists = files.join(needles.select("file", "needle"), "file").groupBy("_path").agg(F.array_sort(F.collect_list("needle")).alias("_needles"))
+    lists = stored(lists, "needles-of-paths")
+    size = F.transform("_needles", lambda n: F.octet_length(n["needle"]) + 16)
+    lists = _small(lists, F.octet_length("_path") + F.aggregate(size, F.lit(0), lambda a, b: a + b))
+    joined = docs.join(lists, F.col(path) == F.col("_path"), "left").drop("_path")
 
     def step(state, n):
         cut, had = without_part(state["text"], n["needle"], until)
@@ -108,16 +79,40 @@ def without_theorems(docs: DataFrame, needles: DataFrame, key: str, text: str, p
     return joined.withColumn("_folded", folded).withColumn(text, F.col("_folded.text")).withColumn("was_transformed", F.col("_folded.was")).drop("_folded", "_needles")
 
 
-def without_statements(docs: DataFrame, names: list[str], text: str, until: str = "\n\n") -> DataFrame:
-    """docs less, for each name in sorted order, the passage from its first occurrence on; and was_transformed."""
+def _made_by_cuts(name: Column, until: str) -> Column:
+    """Whether a cut can make the name occur where it didn't: it has until, or ends in its beginning, after its first character."""
+    ends = [F.endswith(name, F.lit(until[:k])) & (F.char_length(name) > k) for k in range(1, len(until))]
+    inside = F.locate(until, name, 2) > 0
+    return reduce(Column.__or__, ends, inside)
+
+
+def without_statements(docs: DataFrame, names: DataFrame | list[str], text: str, until: str = "\n\n", name: str = "name") -> DataFrame:
+    """docs less, for each name in sorted order, the passage from its first occurrence on; and was_transformed.
+
+    names is a list, or a table with a column of names. A text is searched for all names at once (see substrings), and only those that it has
+    are applied, as well as the few that a cut may put together from what is before and behind it.
+    """
+    if isinstance(names, list):
+        names, name = docs.sparkSession.createDataFrame([(n,) for n in names], "name string"), "name"
+    needles = stored(names.select(F.col(name).alias("needle")).where("needle <> ''").distinct(), "names")
+    listed = substrings.as_list(needles, "needle")
+    if listed is not None:
+        docs = docs.withColumn("_names", substrings.contained(F.col(text), listed))
+    else:
+        met = stored(substrings.candidates(docs, text, needles), "texts-with-anchors")
+        met = _small(stored(met.groupBy("text_hash").agg(F.collect_list("needle").alias("_names")), "names-of-texts"), F.size("_names") * 64)
+        docs = docs.join(met, F.xxhash64(text) == F.col("text_hash"), "left").drop("text_hash")
+    made = [r[0] for r in needles.where(_made_by_cuts(F.col("needle"), until)).collect()]
     start = F.struct(F.col(text).alias("text"), F.lit(False).alias("was"))
 
     def step(state, name):
         cut, had = without_part(state["text"], name, until)
         return F.struct(cut.alias("text"), (state["was"] | had).alias("was"))
 
-    needles = F.array(*map(F.lit, sorted({n for n in names if n}))) if names else F.array().cast("array<string>")
-    return docs.withColumn("_folded", F.aggregate(needles, start, step)).withColumn(text, F.col("_folded.text")).withColumn("was_transformed", F.col("_folded.was")).drop("_folded")
+    found = F.array_union("_names", F.array(*map(F.lit, made))) if made else F.col("_names")
+    found = F.when(F.size("_names") > 0, F.array_sort(found)).otherwise(F.array().cast("array<string>"))
+    folded = docs.withColumn("_folded", F.aggregate(found, start, step))
+    return folded.withColumn(text, F.col("_folded.text")).withColumn("was_transformed", F.col("_folded.was")).drop("_folded", "_names")
 
 
 def statement_names(statements: DataFrame, column: str = "statement") -> DataFrame:

@@ -373,14 +373,34 @@ _STATED = ["lemma a: x\n\nrest ", "theorem b: lemma a: y ", "theorem b: \n\n lem
 
 
 def _cut_sql(t: str, name: str) -> str:
-    tail = f"substr({t}, strpos({t}, {_lit(name)}))"
-    return f"CASE WHEN contains({t}, {_lit(name)}) THEN substr({t}, 1, strpos({t}, {_lit(name)}) - 1) || CASE WHEN contains({tail}, chr(10) || chr(10)) THEN substr({tail}, strpos({tail}, chr(10) || chr(10))) ELSE '' END ELSE {t} END"
+    """SQL for t less the passage from name on; both are SQL expressions."""
+    tail = f"substr({t}, strpos({t}, {name}))"
+    return f"CASE WHEN contains({t}, {name}) THEN substr({t}, 1, strpos({t}, {name}) - 1) || CASE WHEN contains({tail}, chr(10) || chr(10)) THEN substr({tail}, strpos({tail}, chr(10) || chr(10))) ELSE '' END ELSE {t} END"
 
 
-@query("isabelle_removal", f"SELECT doc_id, {_cut_sql('t1', 'theorem b:')} AS text, contains(t0, 'lemma a:') OR contains(t1, 'theorem b:') AS was_transformed FROM (SELECT doc_id, t0, {_cut_sql('t0', 'lemma a:')} AS t1 FROM (SELECT doc_id, {_pick_sql(_STATED)} || text AS t0 FROM documents))")
+_BEGINNING = r"^\S+ \S+ \S+"
+
+
+@query("isabelle_removal", rf"""
+WITH names AS (SELECT DISTINCT name FROM (SELECT regexp_extract(text, '{_BEGINNING}') AS name FROM benchmark UNION ALL SELECT unnest({_list(_NAMES)})) WHERE name <> ''),
+d AS (SELECT doc_id, {_pick_sql(_STATED)} || text AS t FROM documents),
+r AS (SELECT doc_id, t, list_reduce(list_prepend(t, (SELECT list(name ORDER BY name) FROM names)), lambda a, n: {_cut_sql('a', 'n')}) AS text FROM d)
+SELECT doc_id, text, text <> t AS was_transformed FROM r""")
 def isabelle_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages from the beginnings of benchmark texts on, and from two fixed names, are removed."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(_pick(_STATED), F.col("text")).alias("text"))
-    return decontam.without_statements(docs, _NAMES, "text")
+    fixed = spark.createDataFrame([(n,) for n in _NAMES], "name string")
+    names = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", _BEGINNING, 0).alias("name")).union(fixed)
+    return decontam.without_statements(docs, names, "text")
+
+
+@query("decontam_short", r"""
+WITH held AS (SELECT DISTINCT regexp_extract(text, '^\S+ \S+') AS s FROM benchmark)
+SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM held WHERE s <> '' AND contains(d.text, s))""")
+def decontam_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the first two words of any benchmark text."""
+    held = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", r"^\S+ \S+", 0).alias("s"))
+    return decontam.without_containing(table(spark, sf_dir, "documents").select("doc_id", "text"), held, needle="s").select("doc_id")
 
 
 @query("statement_names", "SELECT DISTINCT split_part(text, '.', 1) AS x, split_part(split_part(text, '.', 1), ':', 1) || ':' AS name FROM benchmark")

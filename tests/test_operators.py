@@ -4,11 +4,12 @@ import json
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import notebook, text
-from corpusloom.operators import catalog, decontam, dedup, filters, segments, splits, stats
+from corpusloom.operators import catalog, decontam, dedup, filters, segments, splits, stats, substrings
 from corpusloom.operators.running import running_sum
 
 
@@ -174,6 +175,78 @@ def test_without_containing_equals_search(spark):
         assert sorted(r.k for r in decontam.without_containing(docs, rows, "t", "s").collect()) == expected
 
 
+@pytest.fixture(params=["automaton", "anchors"])
+def either(request, monkeypatch):
+    """Few strings and very many go different ways."""
+    if request.param == "anchors":
+        monkeypatch.setattr(substrings, "AUTOMATON_BYTES", 0)
+
+
+def test_occurrences(spark, either):
+    rng = random.Random(11)
+    some = lambda least, most: "".join(rng.choices("aab\u00e9\n\U0001f600 ", k=rng.randint(least, most)))
+    needles = {some(0, 9) for _ in range(60)} | {some(60, 70) for _ in range(5)} | {"", "a", "\u00e9", "b" * 64, "never there"}
+    texts = {some(0, 80) + n + some(0, 3) for n in sorted(needles) for _ in range(3)} | {""}
+    rows = spark.createDataFrame([(t,) for t in [*sorted(texts), None]], "t string").repartition(4)
+    held = spark.createDataFrame([(n,) for n in [*sorted(needles), None, "a"]], "n string")
+    got = sorted(map(tuple, substrings.occurrences(rows, "t", held, "n").collect()))
+    assert got == sorted((t, n) for t in texts for n in needles if n in t)
+    assert substrings.occurrences(rows, "t", held.where("false"), "n").count() == 0
+
+
+def test_removal_folds_hits_only(spark, either):
+    """As the fold of every name in order, also where a cut puts a name together; names come from a table."""
+    rng = random.Random(4)
+    pieces = ["lemma a:", "b:", "\n\n", "x", "thm\n\nq:", "thm", "q:", "\n", "z\n", "lemma a", ":", "\u00e9:"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 14))) for _ in range(400)] + [None, ""]
+    names = ["lemma a:", "b:", "thm\n\nq:", "\u00e9:", "z\n", "absent:", "", None] + [f"name {k}:" for k in range(300)]
+
+    def fold(t):
+        was = False
+        for n in sorted({n for n in names if n}):
+            if t is not None and n in t:
+                at = t.index(n)
+                stop = t.find("\n\n", at)
+                t, was = t[:at] + (t[stop:] if stop >= 0 else ""), True
+        return t, was
+
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    held = spark.createDataFrame([(n,) for n in names], "stated string")
+    got = {r.k: (r.text, r.was_transformed) for r in decontam.without_statements(df, held, "text", name="stated").collect()}
+    assert got == {k: fold(t) for k, t in enumerate(texts)}
+
+
+def test_lean_removal_by_parts_of_paths(spark, either):
+    """Files that are no whole components of a path; paths that are null or repeat."""
+    theorems = [("b/c.le", "N.x.y"), ("c.lean", "M.z"), ("/", "A.w"), ("nowhere", "Q.y")]
+    docs = [("theorem y \n\nlemma z :", "a/b/c.lean"), ("lemma z \n\ntheorem w ", "xc.lean"), ("theorem w ", "a/b"), ("theorem y ", "ab/c.le"), ("theorem y ", None), (None, "a/b/c.lean"), ("theorem x.y ", "a/b/c.lean")]
+    names = spark.createDataFrame([(f, n, k) for k, (f, n) in enumerate(theorems)], "file string, name string, rank long")
+    df = spark.createDataFrame([(k, *d) for k, d in enumerate(docs)], "id long, text string, path string")
+    got = decontam.without_theorems(df, decontam.theorem_needles(names), "id", "text", "path").orderBy("id")
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    some = [k for k, (t, p) in enumerate(docs) if t is not None and p is not None]
+    rows = got.collect()
+    assert [(rows[k].text, rows[k].was_transformed) for k in some] == brute_lean([docs[k] for k in some], theorems)
+    assert (rows[4].text, rows[4].was_transformed, rows[5].text, rows[5].was_transformed) == ("theorem y ", False, None, False)
+
+
+def test_antijoin_of_short_statements_has_no_product(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "xyz"), (3, None), (4, "")], "k int, t string")
+    held = spark.createDataFrame([("b",), ("q r",), ("\u00e9",)], "s string")
+    kept = decontam.without_containing(df, held, "t", "s")
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text and sorted(r.k for r in kept.collect()) == [2, 3, 4]
+
+
+def test_bloom_filter_has_all_members(spark):
+    df = spark.range(50_000).select(F.xxhash64("id").alias("h"))
+    bloom = substrings.bloom_of(df, "h")
+    members = np.array([r.h for r in df.collect()], np.int64).view(np.uint64)
+    others = np.array([r.h for r in spark.range(50_000, 150_000).select(F.xxhash64("id").alias("h")).collect()], np.int64).view(np.uint64)
+    assert bloom.may_have(members).all() and bloom.may_have(others).mean() < 0.02
+
+
 def test_segments(spark):
     traces = [("a", [["", "lemma x"], ["s", "p"], ["", "theorem y"], ["", "def z"], ["t", "q"]]), ("b", []), ("c", [["s", "lemma lead"], ["", "lemmaless"]]), ("d", None), ("e", [["", "lemma only"]])]
     df = spark.createDataFrame(traces, "file string, translations array<array<string>>")
