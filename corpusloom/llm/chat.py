@@ -5,10 +5,10 @@ assistant, everyone else is a named user, and the mask covers what the assistant
 turns stay system turns in every rendering and take no part.
 
 A long conversation is rendered in parts of part_turns consecutive turn numbers, so no group
-grows with a conversation; turns that share a number are split further by rank. Ranks are counted
-within the rows that share turn, role and the beginning of the text, and added to the counts of those
-before, so very many rows of one number are no single task. A part without a turn of its
-assistant still appears, with an empty mask.
+grows with a conversation; turns that share a number are split further by rank. For the ranks, equal rows are
+counted first, and what is distinct is dealt to ranges of the whole order (conversation, part, turn, role, text), so
+no conversation, turn number or beginning of a text is a single task; counts of the ranges before are added, and repeats are
+expanded last. A part without a turn of its assistant still appears, with an empty mask.
 
 The marks that open and close a turn, where they occur in a text or name, get a backslash after the
 ``<``, and line ends in a name become spaces, so no speaker can forge a turn.
@@ -24,12 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.session import table
+from corpusloom.session import stored, table
 
 SYSTEM, ASSISTANT, USER, UNKNOWN = "system", "assistant", "user", "unknown"
 PART_TURNS = 256
-#: Characters of a text that deal the turns of one number and role.
-OPENING = 4
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -58,15 +56,25 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS) -> DataF
         F.col("conv_id"), F.floor(F.col("turn") / part_turns).alias("part"), "turn",
         F.coalesce(F.col("role"), F.lit(UNKNOWN)).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    rows = rows.withColumn("opening", F.substring("text", 1, OPENING))
-    same = ["conv_id", "part", "turn", "role", "opening"]
-    sizes = rows.groupBy(*same).agg(F.count("*").alias("n"))
-    ahead = F.sum("n").over(Window.partitionBy("conv_id", "part").orderBy("turn", "role", "opening")) - F.col("n")
-    sizes = sizes.select(*(F.col(c).alias(f"{c}_") for c in same), ahead.alias("ahead"))
-    rank = F.row_number().over(Window.partitionBy(*same).orderBy("text")) - 1
-    ranked = rows.withColumn("rank", rank).join(sizes, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in same])
-    rows = ranked.select("conv_id", "part", "turn", "role", "text", F.floor((F.col("ahead") + F.col("rank")) / part_turns).alias("subpart"))
-    parts = rows.groupBy("conv_id", "part", "subpart").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    # distinct rows in ranges of the order; stored, as sampling another time might cut the ranges elsewhere
+    order = ["conv_id", "part", "turn", "role", "text"]
+    dealt = rows.groupBy(*order).agg(F.count("*").alias("copies")).repartitionByRange(*order).withColumn("dealt_to", F.spark_partition_id())
+    dealt = stored(dealt, "turns")
+    here = ["conv_id", "part", "dealt_to"]
+    sizes = dealt.groupBy(*here).agg(F.sum("copies").alias("n"))
+    ahead = F.sum("n").over(Window.partitionBy("conv_id", "part").orderBy("dealt_to")) - F.col("n")
+    sizes = sizes.select(*(F.col(c).alias(f"{c}_") for c in here), ahead.alias("ahead"))
+    local = F.sum("copies").over(Window.partitionBy(*here).orderBy("turn", "role", "text")) - F.col("copies")
+    ranked = dealt.withColumn("rank", local).join(sizes, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in here])
+    first = F.col("ahead") + F.col("rank")
+    last = first + F.col("copies") - 1
+    blocks = F.explode(F.sequence(F.floor(first / part_turns), F.floor(last / part_turns))).alias("subpart")
+    rows = ranked.select("conv_id", "part", "turn", "role", "text", first.alias("first"), last.alias("last"), blocks)
+    here = F.least("last", (F.col("subpart") + 1) * part_turns - 1) - F.greatest("first", F.col("subpart") * part_turns) + 1
+    rows = rows.withColumn("copies", here.cast("int"))
+    listed = F.array_sort(F.collect_list(F.struct("turn", "role", "text", "copies")))
+    repeated = F.flatten(F.transform(listed, lambda t: F.array_repeat(F.struct(t["turn"].alias("turn"), t["role"].alias("role"), t["text"].alias("text")), t["copies"])))
+    parts = rows.groupBy("conv_id", "part", "subpart").agg(repeated.alias("turns"))
     said = turns.select(F.col("conv_id").alias("whose"), F.coalesce(F.col("role"), F.lit(UNKNOWN)).alias("perspective"))
     people = said.where(F.col("perspective") != SYSTEM).distinct()
     seen = parts.join(people, F.col("conv_id").eqNullSafe(F.col("whose"))).select("conv_id", "part", "subpart", "turns", "perspective")

@@ -1,4 +1,7 @@
+from pyspark.sql import functions as F
+
 from corpusloom.llm import chat as C
+from corpusloom.session import scratch_root
 
 
 def brute(rows, part_turns):
@@ -42,6 +45,29 @@ def test_edges(spark):
     assert C.rotate_perspectives(df.where("false")).count() == 0
 
 
+def test_no_hot_task(spark):
+    """A conversation of a quarter of a million equal rows, and as many that begin alike, all of one turn and role: no task has more than a third of the rows that are ranked."""
+    n = 250_000
+    alike = spark.range(n).select(F.lit(1).alias("conv_id"), F.lit(7).alias("turn"), F.lit("a").alias("role"), F.concat(F.lit("the very same beginning "), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    equal = spark.range(n).select(F.lit(1).alias("conv_id"), F.lit(7).alias("turn"), F.lit("a").alias("role"), F.lit("the very same text").alias("text"))
+    made = C.rotate_perspectives(alike.union(equal))
+    rows = made.agg(F.count("*"), F.sum("n_turns"), F.max("n_turns"), F.sum(F.when(F.col("n_turns") < 256, 1))).first()
+    assert tuple(rows) == (-(-2 * n // 256), 2 * n, 256, 1)
+    first = made.orderBy("subpart").first()
+    assert first["rendered"].count("the very same beginning ") == 256  # in order of the texts
+    assert made.orderBy(F.desc("subpart")).first()["rendered"].count("the very same text") == 2 * n % 256
+    ranked = stored_turns(spark).groupBy("dealt_to").count()
+    assert ranked.count() >= 4 and ranked.agg(F.max("count") / F.sum("count")).first()[0] < 1 / 3
+
+
+def stored_turns(spark):
+    """The table of distinct rows that the last call stored."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    latest = max((f for f in found if f.getPath().getName().startswith("turns-")), key=lambda f: f.getModificationTime())
+    return spark.read.parquet(latest.getPath().toString())
+
+
 def test_mask_covers_the_assistant(spark):
     df = spark.createDataFrame([(1, 0, "ann", "hello"), (1, 1, "bob", "yes")], "conv_id long, turn long, role string, text string")
     for r in C.rotate_perspectives(df).collect():
