@@ -24,6 +24,8 @@ from corpusloom.llm.arrowtext import over_texts
 from corpusloom.session import stored, table
 
 PACKET, BLOCK = 188, 576
+#: Bytes at the end of the payload of which tail_crc32 is the checksum.
+TAIL = 32
 #: Payload bytes of an access unit, access units from one random-access point to the next.
 UNIT_BYTES, GROUP = 16 * BLOCK, 8
 #: Ticks of the 90 kHz clock: the first timestamp, from one unit to the next, and from clock reference to presentation.
@@ -295,7 +297,7 @@ RESULTS = {
     "media_bytes": ("bigint", pa.int64(), lambda raw, s, payload: len(raw)),
     "media_sha256": ("string", pa.string(), lambda raw, s, payload: hashlib.sha256(raw).hexdigest()),
     "payload_sha256": ("string", pa.string(), lambda raw, s, payload: hashlib.sha256(payload).hexdigest()),
-    "tail_crc32": ("bigint", pa.int64(), lambda raw, s, payload: zlib.crc32(payload[-BLOCK:])),
+    "tail_crc32": ("bigint", pa.int64(), lambda raw, s, payload: zlib.crc32(payload[-TAIL:])),
     "payload_bytes": ("bigint", pa.int64(), lambda raw, s, payload: len(payload)),
 }
 
