@@ -1,7 +1,7 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
 Training counts n-grams per language inside the tasks, sums them with a shuffle keyed by
-(language, bucket), and broadcasts the log-probability matrix. Scoring gathers the rows of a
+(language, bucket), and broadcasts the log-probability matrix, of LANGUAGES_AT_ONCE languages at a time. Scoring gathers the rows of a
 text's n-grams and adds them up; a text's length only changes how many rows are added.
 
 A null text, or one without a letter, is ``und`` with score 0. Rows with a null language train
@@ -12,6 +12,7 @@ longer text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,15 +21,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrowtext import code_points, counts_by, mix, over_texts, slices, text_bytes
-from corpusloom.session import table
+from corpusloom.session import stored, table
 
 UNDETERMINED = "und"
 #: Orders of the n-grams, and buckets that their hashes fall into.
 ORDERS, BUCKETS = (1, 2, 3, 4), 1 << 16
 #: At most about so many labelled documents of each language train the model.
 TRAIN_DOCS = 4000
-#: The matrix is broadcast; more languages than this are refused.
-MAX_LANGUAGES = 512
+#: Languages of which the matrix is held and broadcast at once (134 MB); more are scored in several turns.
+LANGUAGES_AT_ONCE = 512
+#: Rates of so many labels are broadcast.
+BROADCAST_LABELS = 100_000
 #: Bytes of text that a task turns into n-grams at once, or one longer text.
 SLICE = 1 << 19
 #: Long texts count as if they had this many n-grams, so that scores don't all saturate.
@@ -98,35 +101,31 @@ class NaiveBayes:
     log_probability: np.ndarray  # buckets x languages, float32
     log_prior: np.ndarray
 
-    def score(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
-        """The likeliest language and its tempered posterior for each text."""
+    def score(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each text: the likeliest of these languages, its tempered log-probability, and what all of them weigh beside it.
+
+        A text without a letter weighs 0. The posterior of the likeliest is 1 by the weight.
+        """
         n = len(column)
         bucket, who, has_letter = grams(column, buckets=len(self.log_probability))
-        total = np.stack([np.bincount(who, self.log_probability[bucket, k], n) for k in range(len(self.languages))], 1) if self.languages else np.zeros((n, 0))
-        if not self.languages:
-            return [UNDETERMINED] * n, np.zeros(n)
+        total = np.stack([np.bincount(who, self.log_probability[bucket, k], n) for k in range(len(self.languages))], 1)
         seen = np.bincount(who, minlength=n)
         total = total * np.minimum(1, EVIDENCE / np.maximum(1, seen))[:, None] + self.log_prior
-        best = total.argmax(1)
-        p = np.exp(total - total.max(1, keepdims=True))
-        score = 1 / p.sum(1)
-        return [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best, has_letter)], np.where(has_letter, score, 0)
+        top = total.max(1)
+        return total.argmax(1), top, np.where(has_letter, np.exp(total - top[:, None]).sum(1), 0)
 
 
 def balanced_sample(labelled: DataFrame, label: str, key: Column, per_label: int) -> DataFrame:
     """About per_label rows of each label, all if there are fewer; drawn by a hash of the key."""
-    counts = labelled.groupBy(label).agg(F.count("*").alias("n"))
-    rates = [(r[0], min(1.0, per_label / r["n"])) for r in counts.orderBy(F.desc("n"), label).limit(MAX_LANGUAGES + 1).collect()]
-    if len(rates) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} labels")
-    if not rates:
-        return labelled
-    rate = F.element_at(F.create_map(*(F.lit(x) for pair in rates for x in pair)), F.col(label))
-    return labelled.where(F.pmod(F.xxhash64(key), F.lit(1_000_003)) < rate * 1_000_003)
-
-
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = TRAIN_DOCS) -> NaiveBayes:
-    """Fit the model on at most about per_language labelled rows of each language."""
+    counts = labelled.groupBy(F.col(label).alias("_label")).agg(F.least(F.lit(1.0), per_label / F.count("*")).alias("_rate"))
+    rates = stored(counts, "label-rates")
+    few = rates.count() <= BROADCAST_LABELS
+    drawn = labelled.join(F.broadcast(rates) if few else rates, F.col(label) == F.col("_label"))
+    return drawn.where(F.pmod(F.xxhash64(key), F.lit(1_000_003)) < F.col("_rate") * 1_000_003).drop("_label", "_rate")
+
+
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = TRAIN_DOCS) -> Counts:
+    """Count n-grams of at most about per_language labelled rows of each language."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.col(key).alias("key")).where("lang IS NOT NULL AND text IS NOT NULL")
     sample = balanced_sample(rows, "lang", F.col("key"), per_language).select("text", "lang")
 
@@ -146,33 +145,71 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
             yield pa.RecordBatch.from_arrays([pa.array([x] * len(some), pa.string()), pa.array(some), pa.array(v[some])], ["lang", "bucket", "n"])
 
     sums = sample.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = sums.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).orderBy("lang")  # BUCKETS entries each at most
-    languages, columns = [], []
-    for r in found.toLocalIterator():
-        v = np.full(BUCKETS, SMOOTHING)
-        if r["counts"]:
-            pairs = np.array(r["counts"], np.int64)
-            v[pairs[:, 0]] += pairs[:, 1]
-        languages.append(r["lang"])
-        columns.append(np.log(v / v.sum()).astype(np.float32))
-    matrix = np.stack(columns, 1) if columns else np.zeros((BUCKETS, 0), np.float32)
-    return NaiveBayes(languages, matrix, np.full(len(languages), -np.log(max(1, len(languages)))))
-
+    sums = stored(sums, "n-grams")
+    return Counts(sums, [r[0] for r in sums.select("lang").distinct().orderBy("lang").collect()])
 
-def identify(docs: DataFrame, model: NaiveBayes, keep: list[str], text: str = "text", into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The kept columns with the predicted language and its score (0 to 1)."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x MAX_LANGUAGES floats at most
 
-    def make():
-        model = held.value
-
-        def each(part):
-            lang, score = model.score(part.column(text))
-            return {into[0]: pa.array(lang, pa.string()), into[1]: pa.array(score)}
+@dataclass
+class Counts:
+    """What a model is made of: (lang, bucket, n), stored, and the languages."""
 
-        return each
+    sums: DataFrame
+    languages: list[str]
 
-    return over_texts(docs, keep, f"`{into[0]}` string, `{into[1]}` double", make, text, limit=SLICE)
+    def models(self, at_once: int) -> Iterator[NaiveBayes]:
+        """Models of so many languages each, in order; all priors are equal."""
+        for k in range(0, len(self.languages), at_once):
+            some = self.languages[k : k + at_once]
+            place = {x: j for j, x in enumerate(some)}
+            counts = np.full((BUCKETS, len(some)), SMOOTHING, np.float32)
+            rows = self.sums.where(F.col("lang").between(some[0], some[-1])) if len(some) < len(self.languages) else self.sums
+            found = rows.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))  # BUCKETS entries each at most
+            for r in found.toLocalIterator():
+                pairs = np.array(r["counts"], np.int64).reshape(-1, 2)
+                counts[pairs[:, 0], place[r["lang"]]] += pairs[:, 1]
+            yield NaiveBayes(some, np.log(counts / counts.sum(0, dtype=np.float64)).astype(np.float32), np.full(len(some), -np.log(len(self.languages))))
+
+
+def identify(docs: DataFrame, counts: Counts, keep: list[str], text: str = "text", into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The kept columns with the predicted language and its score (0 to 1).
+
+    Of more than LANGUAGES_AT_ONCE languages, some are scored at a time, and each turn's likeliest and the weight of
+    the others are stored with the documents for the next turn.
+    """
+    if set(into) & set(keep):
+        raise ValueError(f"columns of the input have names of results: {sorted(set(into) & set(keep))}")
+    names, kept = ("_lang", "_top", "_weight"), [f"c{k}" for k in range(len(keep))]
+    mine = kept[keep.index(text)] if text in keep else "_text"
+    docs = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, kept)), *([] if text in keep else [F.col(f"`{text}`").alias(mine)]))
+    several = len(counts.languages) > LANGUAGES_AT_ONCE
+    state = [F.lit(None).cast("string"), F.lit(float("-inf")), F.lit(0.0)]
+    for turn, model in enumerate(counts.models(LANGUAGES_AT_ONCE)):
+        held = docs.sparkSession.sparkContext.broadcast(model)
+
+        def make(held=held):
+            model = held.value
+
+            def each(part):
+                best, top, weight = model.score(part.column(mine))
+                return {"_lang1": pa.array(model.languages, pa.string()).take(pa.array(best)), "_top1": pa.array(top), "_weight1": pa.array(weight)}
+
+            return each
+
+        more = over_texts(docs, docs.columns if several else kept, "_lang1 string, _top1 double, _weight1 double", make, mine, limit=SLICE)
+        if not turn:
+            docs = more.withColumnsRenamed({f"{n}1": n for n in names})
+        else:
+            better = F.col("_top1") > F.col("_top")
+            apart = F.exp(-F.abs(F.col("_top1") - F.col("_top")))
+            weight = F.when(better, F.col("_weight1") + F.col("_weight") * apart).otherwise(F.col("_weight") + F.col("_weight1") * apart)
+            chosen = [F.when(better, F.col("_lang1")).otherwise(F.col("_lang")), F.greatest("_top", "_top1"), weight]
+            docs = more.select(*dict.fromkeys([*kept, mine]), *(c.alias(n) for c, n in zip(chosen, names)))
+        if several:
+            docs = stored(docs, "languages")
+        state = [F.col(n) for n in names]
+    lang, _, weight = state
+    made = F.when(weight > 0, lang).otherwise(UNDETERMINED), F.when(weight > 0, 1 / weight).otherwise(0.0)
+    return docs.select(*(F.col(n).alias(c) for c, n in zip(keep, kept)), *(c.alias(n) for c, n in zip(made, into)))
 
 
 def remainder(key: str, by: int) -> Column:

@@ -16,6 +16,7 @@ html has no links.
 
 from __future__ import annotations
 
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -44,8 +45,11 @@ RULES = (
     Rule("block", "net", "/fr/"),
 )
 DAMPING = 0.85
-#: Iterations end when the ranks have changed by less than this since they were last stored, of a total of 1, or after so many.
-RESIDUAL, MOST_ITERATIONS = 1e-4, 100
+#: Iterations end when all ranks together have changed by less than this since they were last stored, in even shares (1 / hosts).
+#: What still moves shrinks by DAMPING an iteration, so they do end, after a number that grows with the logarithm of the hosts.
+RESIDUAL = 0.01
+#: Changes of all ranks together that may be rounding of doubles.
+ROUNDING = 1e-13
 #: Iterations from one stored table of ranks to the next.
 STORED_EVERY = 5
 #: Distrust above so many times an even share blocks a host, if its trust is less.
@@ -113,8 +117,8 @@ def domain_ties(hosts: DataFrame) -> DataFrame:
     return parent.select(F.col("host").alias("src"), F.col("parent").alias("dst"), F.lit(1.0).alias("weight")).union(parent.select("parent", "host", F.lit(1.0)))
 
 
-def personalised_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, residual: float = RESIDUAL, most: int = MOST_ITERATIONS) -> DataFrame:
-    """(host, rank): edges are src, dst and weight; seeds are host and mass, in any scale.
+def personalised_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, residual: float = RESIDUAL, hosts: int = 1) -> DataFrame:
+    """(host, rank): edges are src, dst and weight; seeds are host and mass, in any scale. Ranks are as exact as residual / hosts.
 
     What hosts without links hold goes back to the seeds. That only scales the ranks, so it is
     left out of the iterations, and the ranks are scaled to sum to 1 at the end. Ranks begin as
@@ -128,13 +132,13 @@ def personalised_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = D
     shares = stored(edges.join(out, "src").select("src", F.col("dst").alias("host"), (damping * F.col("weight") / F.col("out")).alias("share")), "shares")
     again = start.select("host", ((1 - damping) * F.col("restart")).alias("rank"))
     ranks = before = start.select("host", F.col("restart").alias("rank"))
-    for k in range(1, most + 1):
+    for k in itertools.count(1):
         moved = ranks.select(F.col("host").alias("src"), "rank").join(shares, "src").select("host", (F.col("rank") * F.col("share")).alias("rank"))
         ranks = moved.union(again).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if k % STORED_EVERY == 0 or k == most:
+        if k % STORED_EVERY == 0:
             ranks = stored(ranks, "ranks")
             change = ranks.union(before.select("host", -F.col("rank"))).groupBy("host").agg(F.sum("rank").alias("change"))
-            if change.agg(F.sum(F.abs("change"))).first()[0] < residual:
+            if change.agg(F.sum(F.abs("change"))).first()[0] < max(residual / max(1, hosts), ROUNDING):
                 break
             before = ranks
     whole = ranks.agg(F.sum("rank")).first()[0]
@@ -161,8 +165,8 @@ def judge(pages: DataFrame, rules=RULES, url: str = "url", html: str = "html", k
     n_hosts = hosts.count()
     reversed_ = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     # a host's mass is the share of its pages that the rules judge, so a large host is no larger seed
-    trust = personalised_pagerank(edges, seeds.where("allow > 0").select("host", (F.col("allow") / F.col("n")).alias("mass")))
-    distrust = personalised_pagerank(reversed_, seeds.where("block > 0").select("host", (F.col("block") / F.col("n")).alias("mass")))
+    trust = personalised_pagerank(edges, seeds.where("allow > 0").select("host", (F.col("allow") / F.col("n")).alias("mass")), hosts=n_hosts)
+    distrust = personalised_pagerank(reversed_, seeds.where("block > 0").select("host", (F.col("block") / F.col("n")).alias("mass")), hosts=n_hosts)
     scale = lambda c: (F.coalesce(c, F.lit(0.0)) * n_hosts)
     linked = edges.where("src <> dst").select(F.explode(F.array("src", "dst")).alias("host")).distinct().withColumn("linked", F.lit(True))
     scores = seeds.select("host").join(trust.withColumnRenamed("rank", "t"), "host", "left").join(distrust.withColumnRenamed("rank", "d"), "host", "left").join(linked, "host", "left")

@@ -100,3 +100,19 @@ def test_label_is_no_input(spark):
     model = L.train(df)
     swapped = df.selectExpr("doc_id", "text", "'zz' AS lang")
     assert [r.lang_pred for r in L.identify(swapped, model, ["doc_id"]).collect()] == ["en", "fr"]
+
+
+def test_many_languages_in_turns(spark, monkeypatch):
+    """More languages than are scored at once give what one matrix of all gives; also where several turns are needed."""
+    rng = np.random.default_rng(1)
+    rows = [(k, " ".join("".join(rng.choice(list(f"abcdefgh{chr(0x430 + k % 30)}"), 6)) for _ in range(8)), f"l{k % 60:03}") for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(df)
+    assert len(model.languages) == 60
+    monkeypatch.setattr(L, "LANGUAGES_AT_ONCE", 17)
+    some = spark.createDataFrame([(k, t) for k, t, _ in rows[::9]] + [(-1, ""), (-2, None)], "doc_id long, text string")
+    turns = {r.doc_id: (r.lang_pred, r.score) for r in L.identify(some, model, ["doc_id"]).collect()}
+    monkeypatch.setattr(L, "LANGUAGES_AT_ONCE", 1000)
+    once = {r.doc_id: (r.lang_pred, r.score) for r in L.identify(some, model, ["doc_id"]).collect()}
+    assert turns[-1] == turns[-2] == ("und", 0.0) and {k: v[0] for k, v in turns.items()} == {k: v[0] for k, v in once.items()}
+    assert all(abs(turns[k][1] - once[k][1]) < 1e-9 for k in once)

@@ -150,3 +150,13 @@ def test_query(spark):
         host, path = brute_host_path(urls[r.page_id])
         rule = brute_rule(host, path)
         assert (r.host, r.path, r.rule) == (host, path, rule and rule.name) and r.verdict in ("allow", "block")
+
+
+def test_ranks_are_exact_to_a_part_of_an_even_share(spark):
+    """However many hosts there are: on a cycle of 300 hosts with one seed, errors stay far below one even share."""
+    n = 300
+    edges = spark.createDataFrame([(f"h{k}", f"h{(k + 1) % n}", 1.0) for k in range(n)], "src string, dst string, weight double")
+    seeds = spark.createDataFrame([("h0", 1.0)], "host string, mass double")
+    got = {r.host: r["rank"] for r in L.personalised_pagerank(edges, seeds, hosts=n).collect()}
+    shares = [L.DAMPING**k for k in range(n)]
+    assert max(abs(got.get(f"h{k}", 0) - x / sum(shares)) for k, x in enumerate(shares)) < 0.01 / n
