@@ -273,6 +273,49 @@ def notebook_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notebook.convert_notebooks(books).select("doc_id", "converted", "content")
 
 
+_fenced = "'```' || {} || chr(10) || text || chr(10) || '```'"
+_indented = "'    ' || replace(regexp_replace(text, '\\n+$', ''), chr(10), chr(10) || '    ')"
+
+
+@query("notebook_outputs", f"""
+WITH p AS (SELECT doc_id, text, doc_id % 6 AS kind FROM documents),
+q AS (SELECT doc_id, kind, text, CASE kind
+  WHEN 0 THEN {_fenced.format("'python'")} || chr(10) || chr(10) || {_indented}
+  WHEN 1 THEN {_fenced.format("''")}
+  WHEN 2 THEN {_fenced.format("''")}
+  WHEN 3 THEN '## ' || text || chr(10) || chr(10) || {_fenced.format("''")} || chr(10) || chr(10) || {_indented}
+  ELSE {_fenced.format("'julia'")} || chr(10) || chr(10) || text END || chr(10) AS page FROM p)
+SELECT doc_id, kind <> 4 AS converted, CASE WHEN kind = 4 THEN '{{"cells": ' || text ELSE {_stripped_sql("page")} END AS content FROM q""")
+def notebook_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as notebooks with code and outputs: a stream, an image, an error, version 3, broken JSON, Markdown."""
+    t, typed = F.col("text"), lambda kind, *more: F.struct(F.lit(kind).alias("output_type"), *more)
+    stream = typed("stream", F.array(t, F.lit("\n")).alias("text"))
+    image = typed("display_data", F.struct(F.lit("aGk=").alias("image/png"), F.lit("<Figure>").alias("text/plain")).alias("data"))
+    error = typed("error", F.lit("E").alias("ename"), F.array(F.lit("line")).alias("traceback"))
+    shown = typed("execute_result", F.struct(F.lit("less").alias("text/plain"), t.alias("text/markdown")).alias("data"))
+
+    def code(outputs: Column, source: str = "source") -> Column:
+        return F.struct(F.lit("code").alias("cell_type"), F.array(t).alias(source), outputs.alias("outputs"))
+
+    def book(cells: Column, meta: Column | None = None) -> Column:
+        return F.to_json(F.struct(cells.alias("cells"), (F.struct(F.lit(4).alias("x")) if meta is None else meta).alias("metadata")))
+
+    heading = F.to_json(F.struct(F.lit("heading").alias("cell_type"), F.lit(2).alias("level"), t.alias("source")))
+    old = F.concat(F.lit('{"worksheets": [{"cells": ['), heading, F.lit(", "), F.to_json(code(F.array(typed("pyout", t.alias("text"))), "input")), F.lit("]}]}"))
+    kinds = [
+        book(F.array(code(F.array(stream))), F.struct(F.struct(F.lit("p").alias("name")).alias("kernelspec"))),
+        book(F.array(code(F.array(image)))),
+        book(F.array(code(F.array(error)))),
+        old,
+        F.concat(F.lit('{"cells": '), t),
+        book(F.array(code(F.array(shown))), F.struct(F.struct(F.lit("julia").alias("name")).alias("language_info"))),
+    ]
+    content = F.lit(None).cast("string")
+    for k, made in enumerate(kinds):
+        content = F.when(F.col("doc_id") % len(kinds) == k, made).otherwise(content)
+    return notebook.convert_notebooks(table(spark, sf_dir, "documents").select("doc_id", content.alias("content"))).select("doc_id", "converted", "content")
+
+
 def _dated(df: DataFrame) -> DataFrame:
     """Dates as text, which every engine writes alike."""
     return df.withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t == "date"})

@@ -325,6 +325,52 @@ def test_notebooks(spark):
     assert got[3] == (False, "not json") and [g[0] for g in got[3:7]] == [False] * 4 and got[7] == (True, "## h\n\n```\nz\n```\n")
 
 
+def test_notebooks_in_the_jvm_follow_the_rules_of_the_python_function(spark):
+    """Random notebooks, with parts missing or of the wrong kind, through both."""
+    rng = random.Random(8)
+    line = lambda: rng.choice(["x = 1", "", "a\n", "\n\n", "é \U0001f600", "end\n\n"])
+    some_text = lambda: rng.choice([line(), [line(), line()], [], None, line()])
+
+    def output():
+        kinds = rng.choice(["stream", "execute_result", "display_data", "error"])
+        out = {"output_type": kinds}
+        if kinds == "stream":
+            out["text"] = some_text()
+        elif kinds == "error" and rng.random() < 0.3:
+            out |= {"ename": "E", "traceback": []}
+        else:
+            out["data"] = {k: some_text() for k in rng.sample(["text/plain", "text/markdown", "text/latex", "application/json"], rng.randrange(3))}
+            if rng.random() < 0.2:
+                out["data"]["image/png"] = rng.choice(["", "abc"])
+        return out
+
+    def cell(old):
+        made = {"cell_type": rng.choice(["code", "code", "markdown", "raw", "heading"]), ("input" if old and rng.random() < 0.5 else "source"): some_text()}
+        if made["cell_type"] == "code":
+            made["outputs"] = [output() for _ in range(rng.randrange(4))]
+            if old and made["outputs"] and rng.random() < 0.3:
+                made["outputs"][0] = {"output_type": "pyout", "text": ["1\n", "2"], **({"png": "q"} if rng.random() < 0.3 else {})}
+        if made["cell_type"] == "heading":
+            made["level"] = rng.randrange(1, 4)
+        if rng.random() < 0.03:
+            made.pop(rng.choice(list(made)))
+        return made
+
+    def whole():
+        meta = rng.choice([{}, {"language_info": {"name": "julia"}}, {"kernelspec": {}}, {"language_info": {}, "kernelspec": {"name": "p"}}])
+        if rng.random() < 0.3:
+            return {"worksheets": [{"cells": [cell(True) for _ in range(rng.randrange(4))]} for _ in range(rng.randrange(3))], "metadata": meta, "nbformat": 3}
+        return {"cells": [cell(False) for _ in range(rng.randrange(5))], "metadata": meta}
+
+    texts = [json.dumps(whole()) for _ in range(500)] + ['{"cells": 5}', '{"cells": [5]}', "5", "null", "", None, '{"cells": [{"cell_type": "raw", "source": 7}]}']
+    strict = spark.createDataFrame(list(enumerate(texts)), "k int, content string")
+    got = {r.k: r.m for r in strict.select("k", notebook.to_markdown(F.col("content")).alias("m")).collect()}
+    assert {k: got[k] for k in got} == {k: notebook.markdown_of(t) for k, t in enumerate(texts)}
+    loose = ['{"cells": [{"cell_type": "code", "source": "a", "outputs": [{"output_type": "display_data", "data": {"application/x": NaN, "text/plain": "1"}}]}]}', '{"cells": [], "cells": [{"cell_type": "raw", "source": "twice"}]}']
+    rows = notebook.convert_notebooks(spark.createDataFrame([(t,) for t in loose], "content string")).collect()
+    assert [tuple(r) for r in rows] == [("```\na\n```\n\n    1\n", True), ("twice\n", True)]
+
+
 def test_stats_views(spark):
     df = spark.createDataFrame([(k, "a" * (k % 5), "x" if k % 2 else None) for k in range(10)], "k int, t string, repo string")
     pager = stats.Pager(df, "k")
