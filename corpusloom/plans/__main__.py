@@ -11,13 +11,14 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import tokens
+from corpusloom.functions import language, tokens
 from corpusloom.operators import catalog, decontam, filters, splits
 from corpusloom.plans import jobs
 from corpusloom.sources import readers
 
 
 def _parser() -> argparse.ArgumentParser:
+    # fixed values: the dates, seeds, limits and chunk size that are defaults below
     parser = argparse.ArgumentParser(prog="corpusloom.plans", description=__doc__)
     kinds = parser.add_subparsers(dest="job", required=True)
 
@@ -33,7 +34,9 @@ def _parser() -> argparse.ArgumentParser:
     p = job("code", "filter code files by language", counts=True)
     p.add_argument("--root", required=True, help="folder with data/LANGUAGE in Parquet")
     p.add_argument("-l", "--langs", nargs="+", default=["all"], choices=["all", *filters.STACK_LANGUAGES])
-    p.add_argument("--english", help="SQL condition that holds for TeX files in English; tex needs it")
+    which = p.add_mutually_exclusive_group()
+    which.add_argument("--english", help="SQL condition that holds for TeX files in English; tex needs it, or a model")
+    which.add_argument("--language-model", help="Parquet table of trigram counts by language, as the job languages writes it")
     p.add_argument("--seed", type=int, default=74)
 
     p = job("repositories", "filter, decontaminate and split the files of repositories", counts=True)
@@ -59,6 +62,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--steps", required=True, help="JSON lines of module and text")
     p.add_argument("--seed", type=int, default=7)
 
+    p = job("languages", "train a model of languages", counts=False)
+    p.add_argument("--labelled", required=True, help="JSON lines of text and lang")
+
     p = job("lines", "split files of lines by place", counts=False)
     p.add_argument("--path", required=True, help="folder of text files")
     return parser
@@ -79,12 +85,11 @@ def _repositories(spark: SparkSession, a: argparse.Namespace, lang: str) -> Data
 def _repository_job(spark: SparkSession, a: argparse.Namespace, counter) -> DataFrame:
     total = None
     for lang in a.langs:
-        needles, names = None, []
+        needles = names = None
         if lang == "lean" and a.lean_held_out:
             needles = decontam.theorem_needles(decontam.one_per_file(readers.held_out_names(spark, a.lean_held_out)))
         if lang == "isabelle" and a.isabelle_held_out:
-            # one literal for each name of the test set, which is a list that people keep by hand
-            names = [r.name for r in decontam.statement_names(readers.held_out_statements(spark, a.isabelle_held_out)).collect()]
+            names = decontam.statement_names(readers.held_out_statements(spark, a.isabelle_held_out))
         rows = jobs.repository_corpus(spark, a.trees, _repositories(spark, a, lang), lang, a.out, counter, needles, names, a.dedup_chunk_size, a.eval_ratio, a.seed)
         total = rows if total is None else total.unionByName(rows)
     return total
@@ -101,9 +106,12 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> DataFrame:
         counter = tokens.pieces_counter(a.pieces)
     if a.job == "code":
         langs = tuple(filters.STACK_LANGUAGES) if "all" in a.langs else tuple(a.langs)
-        if "tex" in langs and a.english is None:
-            parser.error("tex needs --english")
-        return jobs.code_corpus(spark, a.root, a.out, counter, langs, F.expr(a.english) if a.english else None, a.seed)
+        if "tex" in langs and a.english is None and a.language_model is None:
+            parser.error("tex needs --english or --language-model")
+        return jobs.code_corpus(spark, a.root, a.out, counter, langs, F.expr(a.english) if a.english else None, a.seed, a.language_model)
+    if a.job == "languages":
+        language.train(readers.json_lines(spark, a.labelled, "text string, lang string")).write.mode("overwrite").parquet(a.out)
+        return spark.read.schema(language.MODEL).parquet(a.out).groupBy("lang").agg(F.sum("n").alias("trigrams"))
     if a.job == "repositories":
         return _repository_job(spark, a, counter)
     if a.job == "proofs":

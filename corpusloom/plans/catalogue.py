@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import notebook, text, tokens
+from corpusloom.functions import language, notebook, text, tokens
 from corpusloom.operators import catalog, decontam, dedup, filters, segments, splits, stats
-from corpusloom.session import table
+from corpusloom.session import stored, table
 from corpusloom.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -374,6 +374,22 @@ def english_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id")
 
 
+@query("language_of_text", """
+WITH g AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(text) - 1), lambda i: substr(text, i, 3))) AS gram FROM documents),
+c AS (SELECT lang, gram, count(*) AS n FROM g WHERE doc_id % 2 = 0 AND lang IS NOT NULL GROUP BY ALL),
+t AS (SELECT lang, sum(n) AS total, (SELECT count(DISTINCT gram) FROM c) AS grams FROM c GROUP BY lang),
+d AS (SELECT doc_id, gram, count(*) AS m FROM g GROUP BY ALL),
+s AS (SELECT doc_id, t.lang AS lang, sum(m * CAST(floor(1000 * ln(CAST(coalesce(n, 0) + 1 AS DOUBLE) / (total + grams))) AS BIGINT)) AS score
+  FROM d CROSS JOIN t LEFT JOIN c ON c.gram = d.gram AND c.lang = t.lang GROUP BY doc_id, t.lang),
+b AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS r FROM s)
+SELECT doc_id, b.lang AS language FROM documents LEFT JOIN b USING (doc_id) WHERE r = 1 OR r IS NULL""")
+def language_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language from its text, by a model of the labelled documents of even number."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.LanguageModel(stored(language.train(docs.where("doc_id % 2 = 0")), "language-model").toArrow())
+    return docs.select("doc_id", language.language_of(F.col("text"), model, spark).alias("language"))
+
+
 @query("as_documents", "SELECT text, doc_id, lang FROM documents")
 def as_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = sinks.as_documents(table(spark, sf_dir, "documents"), "text")

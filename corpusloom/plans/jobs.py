@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.language import language_of, read_model
 from corpusloom.functions.notebook import convert_notebooks
 from corpusloom.operators import decontam, filters, splits, stats
 from corpusloom.operators.dedup import chunk_dedup
@@ -13,18 +14,21 @@ from corpusloom.session import stored
 from corpusloom.sources import readers, sinks
 
 
-def code_corpus(spark: SparkSession, root: str, out: str, counter, languages=tuple(filters.STACK_LANGUAGES), english: Column | None = None, seed: int = 74) -> DataFrame:
+def code_corpus(spark: SparkSession, root: str, out: str, counter, languages=tuple(filters.STACK_LANGUAGES), english: Column | None = None, seed: int = 74, language_model: str | None = None) -> DataFrame:
     """Re-filter code files language by language; returns the statistics.
 
-    The kept rows are stored once, as statistics, split and index all read them. english tells
-    whether a TeX file is in English; it is required if tex is among the languages.
+    The kept rows are stored once, as statistics, split and index all read them. Of TeX, only files in English
+    are kept: english is a column that tells so, or language_model a model file (functions/language.py) by which files that
+    pass all other tests are judged. One of them is required if tex is among the languages.
     """
     if "tex" in languages and english is None:
-        raise ValueError("tex needs english, a column that tells whether a file is in English")
+        if language_model is None:
+            raise ValueError("tex needs english, a column that tells whether a file is in English, or a language_model")
+        english = F.coalesce(language_of(F.col("content"), read_model(spark, language_model), spark) == "en", F.lit(False))
     rows = []
     for lang in languages:
         spec = filters.STACK.get(lang)
-        df = readers.code_files(spark, root, lang).withColumn("english", english if english is not None else F.lit(True))
+        df = readers.code_files(spark, root, lang).withColumn("english", english if lang == "tex" else F.lit(True))
         df = df.where(spec.keep(F.col)).drop("english") if spec else df.drop("english")
         if lang == "python":
             df = df.withColumn("reason", filters.python_reason(F.col("content")))
@@ -41,17 +45,17 @@ def code_corpus(spark: SparkSession, root: str, out: str, counter, languages=tup
     return total
 
 
-def repository_corpus(spark: SparkSession, trees: str, repos: DataFrame, lang: str, out: str, counter, needles: DataFrame | None = None, names: list[str] = (), chunk: int = 2048, ratio: float = splits.EVAL_RATIO, seed: int = 72) -> DataFrame:
+def repository_corpus(spark: SparkSession, trees: str, repos: DataFrame, lang: str, out: str, counter, needles: DataFrame | None = None, names: DataFrame | None = None, chunk: int = 2048, ratio: float = splits.EVAL_RATIO, seed: int = 72) -> DataFrame:
     """Filter, decontaminate, de-duplicate, count and split the files of repositories; returns the statistics.
 
-    The order matters: files that removal makes equal collapse.
+    needles and names are tables of what is held out of Lean and Isabelle. The order matters: files that removal makes equal collapse.
     """
     files = readers.extracted(spark, trees, filters.GITHUB_EXTENSIONS[lang], repos)
     kept = filters.keep_language(files, lang, filters.GITHUB).withColumn("key", F.concat_ws("/", "meta.author", "meta.repo", "meta.path"))
     if lang == "lean" and needles is not None:
         kept = decontam.without_theorems(kept, needles, "key", "text", "meta.path")
-    elif lang == "isabelle" and names:
-        kept = decontam.without_statements(kept, list(names), "text")
+    elif lang == "isabelle" and names is not None:
+        kept = decontam.without_statements(kept, names, "text")
     kept = stored(chunk_dedup(kept, "key", "text", chunk).withColumn("num_tokens", counter(F.col("text"))), f"files-{lang}")
     sinks.write_splits(splits.hash_split(kept, "key", seed, ratio).select("text", "meta", "split"), f"{out}/{lang}", stem=lang)
     sinks.write_index(repos.withColumn("name", F.concat_ws("/", "author", "repo")), "name", f"{out}/meta/github_{lang}_index")

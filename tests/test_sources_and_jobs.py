@@ -2,13 +2,14 @@
 
 import io
 import json
+import math
 import tarfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.functions import tokens
-from corpusloom.operators import decontam
+from corpusloom.functions import language, tokens
+from corpusloom.operators import decontam, filters
 from corpusloom.plans import __main__ as command_line
 from corpusloom.plans import jobs
 from corpusloom.sources import readers, sinks
@@ -122,6 +123,46 @@ def test_code_job(spark, tmp_path, counter):
         jobs.code_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), counter, ("tex",))
 
 
+def test_tex_job_by_a_language_model(spark, tmp_path, counter):
+    """The job needs no column: it reads a model file, and classifies only what passes all other rules."""
+    labelled = [{"text": "the words of this section are in the english language and there are more of them", "lang": "en"}, {"text": "la section est dans une autre langue et il y en a encore beaucoup", "lang": "fr"}]
+    (tmp_path / "labelled.json").write_text("".join(json.dumps(r) + "\n" for r in labelled))
+    command_line.run(spark, ["languages", "--labelled", str(tmp_path / "labelled.json"), "--out", str(tmp_path / "model")])
+    names = [c.split()[0] for c in readers.CODE_FILE.split(",")]
+    contents = ["\\section{a} there are the words of this", "\\section{a} il y en a dans une autre langue", "the words of this language without a section", None]
+    rows = [{"hexsha": f"x{k}", "size": 9, "ext": "tex", "max_stars_repo_path": "p", "max_stars_repo_name": "r", "content": c} for k, c in enumerate(contents)]
+    spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], readers.CODE_FILE).write.parquet(str(tmp_path / "in/data/tex"))
+    got = jobs.code_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), counter, ("tex",), language_model=str(tmp_path / "model")).collect()
+    assert [(r.lang, r.files) for r in got] == [("tex", 1)]
+    assert [r.text for r in spark.read.json(str(tmp_path / "out/tex")).collect()] == contents[:1]
+    model = language.read_model(spark, str(tmp_path / "model"))
+    files = spark.read.parquet(str(tmp_path / "in/data/tex"))
+    english = language.language_of(F.col("content"), model, spark) == "en"
+    text = files.where(filters.tex(F.col("content"), F.col("ext"), F.col("max_stars_repo_path"), english))._jdf.queryExecution().executedPlan().toString()
+    assert text.index("ArrowEvalPython") < text.index("gnuplot")  # the cheap rules are below the classifier
+
+
+def test_language_model_against_brute_force(spark):
+    from collections import Counter
+
+    rows = [("en", "the one and the other"), ("fr", "l'un et l'autre été"), ("en", "ab"), ("de", "der eine\U0001f600 und"), (None, "zzzz"), ("fr", None)]
+    model = language.LanguageModel(language.train(spark.createDataFrame(rows, "lang string, text string")).toArrow())
+    counts = {x: Counter(t[i : i + 3] for y, t in rows if x == y and t for i in range(len(t) - 2)) for x in ("de", "en", "fr")}
+    grams = len({g for c in counts.values() for g in c})
+
+    def brute(t):
+        if t is None or len(t) < 3:
+            return None
+        return min(counts, key=lambda x: (-sum(math.floor(1000 * math.log((counts[x][t[i : i + 3]] + 1) / (counts[x].total() + grams))) for i in range(len(t) - 2)), x))
+
+    texts = ["the", "et l'", "\U0001f600 und", "", None, "ab", "qqqqq", "other été", "eine " * 50_000, "x"] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").coalesce(1)
+    got = {r.k: r.x for r in df.select("k", language.language_of(F.col("t"), model, spark).alias("x")).collect()}
+    assert got == {k: brute(t) for k, t in enumerate(texts)}
+    none = language.LanguageModel(language.train(spark.createDataFrame([], "lang string, text string")).toArrow())
+    assert [r.x for r in df.select(language.language_of(F.col("t"), none, spark).alias("x")).distinct().collect()] == [None]
+
+
 def test_repository_job(spark, tmp_path, counter):
     files = {"one/a.lean": "theorem y : p\n\nlemma keep z", "one/b.lean": "lemma keep z", "two/c.lean": "no", "two/d.lean": "lemma keep z"}
     for n, c in files.items():
