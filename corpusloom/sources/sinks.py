@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators.running import row_numbers
+
 SHARD_ROWS = 50_000
 
 
@@ -14,28 +16,62 @@ def as_documents(df: DataFrame, content: str = "content") -> DataFrame:
     return df.select(F.col(content).alias("text"), F.struct(*rest).alias("meta"))
 
 
-def name_shards(spark: SparkSession, path: str, stem: str) -> None:
-    """Rename the part files in path to stem0000.jsonl, stem0001.jsonl, ... in their order; only names pass the driver."""
+def _files(spark: SparkSession, path: str):
+    """The file system of path, and a function that makes paths below it."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.isFile() and f.getPath().getName().startswith("part-"))
-    for k, name in enumerate(names):
-        if not fs.rename(jvm.org.apache.hadoop.fs.Path(folder, name), jvm.org.apache.hadoop.fs.Path(folder, f"{stem}{k:04}.jsonl")):
-            raise OSError(f"can't rename {name} in {path}")
-
-
-def write_shards(df: DataFrame, path: str, rows: int = SHARD_ROWS, mode: str = "overwrite") -> None:
-    """JSON lines of at most rows documents a file; every row is written."""
-    df.write.mode(mode).option("maxRecordsPerFile", rows).option("ignoreNullFields", False).option("writeNonAsciiCharacterAsCodePoint", True).json(path)
-
-
-def write_splits(df: DataFrame, path: str, rows: int = SHARD_ROWS, stem: str | None = None) -> None:
-    """A directory for each split; with stem, shards are named after it and a running number."""
-    df.write.mode("overwrite").partitionBy("split").option("maxRecordsPerFile", rows).option("ignoreNullFields", False).option("writeNonAsciiCharacterAsCodePoint", True).json(path)
-    if stem is not None:
-        for split in [r[0] for r in df.select("split").distinct().collect()]:
-            name_shards(df.sparkSession, f"{path}/split={split}", stem)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), lambda name: jvm.org.apache.hadoop.fs.Path(folder, name) if name else folder
+
+
+def _names(fs, folder) -> list[str]:
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder))
+
+
+def shard_name(stem: str, shard: int, n: int, rows: int) -> str:
+    """Name of a shard of n documents, rows in each: four digits, or as many as the number of shards has."""
+    return f"{stem}{shard:0{max(4, len(str(n // rows + 1)))}}.jsonl"
+
+
+def _collect_shards(spark: SparkSession, path: str, into: str, stem: str, n: int, rows: int) -> None:
+    """Move the one file of each folder _shard=K in path to into/stemK.jsonl; only names pass the driver."""
+    fs, at = _files(spark, path)
+    _, to = _files(spark, into)
+    for name in _names(fs, at("")) if fs.exists(at("")) else []:
+        if not name.startswith("_shard="):
+            continue
+        (part,) = (x for x in _names(fs, at(name)) if x.startswith("part-"))
+        target = to(shard_name(stem, int(name.removeprefix("_shard=")), n, rows))
+        if not fs.rename(at(f"{name}/{part}"), target):
+            raise OSError(f"can't rename {name}/{part} in {path}")
+        fs.delete(at(name), True)
+
+
+def write_splits(df: DataFrame, path: str, rows: int = SHARD_ROWS, stem: str = "part-") -> None:
+    """JSON lines in a folder split=NAME for each split; every shard but a split's last has exactly rows documents.
+
+    Rows are numbered within their split in two passes, and dealt to tasks by number div rows, so a shard is
+    one file of one task. Shards are named after stem and a running number, of four digits or as many as the split's shards need.
+    """
+    numbered = row_numbers(df, "split", "_number").withColumn("_shard", F.floor(F.col("_number") / rows))
+    sizes = {r["split"]: r["n"] for r in numbered.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    shards = sum(-(-n // rows) for n in sizes.values())
+    dealt = numbered.repartition(max(1, shards), "split", "_shard").sortWithinPartitions("split", "_shard", "_number").drop("_number")
+    dealt.write.mode("overwrite").partitionBy("split", "_shard").option("ignoreNullFields", False).option("writeNonAsciiCharacterAsCodePoint", True).json(path)
+    fs, at = _files(df.sparkSession, path)
+    by_folder = {f"split={'__HIVE_DEFAULT_PARTITION__' if k is None else k}": n for k, n in sizes.items()}
+    for folder in _names(fs, at("")):
+        if folder.startswith("split="):
+            _collect_shards(df.sparkSession, f"{path}/{folder}", f"{path}/{folder}", stem, by_folder.get(folder, 0), rows)
+
+
+def write_shards(df: DataFrame, path: str, rows: int = SHARD_ROWS, stem: str = "part-") -> None:
+    """JSON lines of exactly rows documents a file, but the last; every row is written."""
+    spark = df.sparkSession
+    write_splits(df.withColumn("split", F.lit("all")), path, rows, stem)
+    fs, at = _files(spark, path)
+    for name in _names(fs, at("split=all")) if fs.exists(at("split=all")) else []:
+        fs.rename(at(f"split=all/{name}"), at(name))
+    fs.delete(at("split=all"), True)
 
 
 def write_index(df: DataFrame, column: str, path: str) -> None:

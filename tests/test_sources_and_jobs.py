@@ -101,6 +101,20 @@ def test_shards_have_names_in_order(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).count() == 23
 
 
+def test_shards_are_full_whatever_the_tasks(spark, tmp_path):
+    """Rows of uneven tasks make full shards in the rows' order; digits follow the number of shards."""
+    rows = [(f"{k:06}", "train" if k % 7 else "test") for k in range(3500)]
+    df = spark.createDataFrame(rows, "text string, split string").repartitionByRange(5, "text").sortWithinPartitions("text").where("text < '000100' OR text > '000300'")
+    sinks.write_splits(df, str(tmp_path / "out"), rows=500, stem="x")
+    files = sorted((tmp_path / "out/split=train").glob("*.jsonl"))
+    want = [t for t, s in rows if s == "train" and not "000100" <= t <= "000300"]
+    assert [f.name for f in files] == [f"x{k:04}.jsonl" for k in range(-(-len(want) // 500))]
+    assert [json.loads(line)["text"] for f in files for line in f.read_text().splitlines()] == want
+    assert [sinks.shard_name("x", 7, n, 2) for n in (0, 19_997, 19_998)] == ["x0007.jsonl", "x0007.jsonl", "x00007.jsonl"]
+    sizes = [len(f.read_text().splitlines()) for f in sorted((tmp_path / "out/split=train").glob("*.jsonl"))]
+    assert set(sizes[:-1]) == {500} and sum(sizes) == len(want) and len(list((tmp_path / "out").glob("**/_shard*"))) == 0
+
+
 def test_stats_are_replaced_by_language(spark, tmp_path):
     for rows in ([("a", 1), ("b", 2)], [("b", 3)]):
         sinks.upsert_stats(spark.createDataFrame(rows, "lang string, files int"), str(tmp_path / "s"))
