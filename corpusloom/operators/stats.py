@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import numerical_density
@@ -46,18 +46,45 @@ def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
 
 
 class Pager:
-    """Looks at a DataFrame's rows n at a time from either end of an order."""
+    """Looks at a DataFrame's rows n at a time from either end of the order of some columns, nulls being the least.
 
-    def __init__(self, df: DataFrame, *order: Column):
-        self.df, self.order, self.at = df, order, {"head": 0, "tail": 0}
+    A page begins after the last key seen, which is a predicate on the columns, so pages before it are not sorted again
+    and rows that are added before it meanwhile shift nothing. Rows of one key are in order of a hash of the whole row;
+    only rows that repeat are skipped by number.
+    """
+
+    def __init__(self, df: DataFrame, *order: str):
+        self.df, self.order, self.seen = df, [*order, "_tie"], {"head": (None, 0), "tail": (None, 0)}
 
     def head(self, n: int = 1) -> list:
-        return self._next("head", self.order, n)
+        return self._next("head", n)
 
     def tail(self, n: int = 1) -> list:
-        return self._next("tail", [F.desc(c) if isinstance(c, str) else c.desc() for c in self.order], n)
-
-    def _next(self, end: str, order, n: int) -> list:
-        at = self.at[end]
-        self.at[end] += n
-        return self.df.orderBy(*order).offset(at).limit(n).collect()
+        return self._next("tail", n)
+
+    def _from(self, key: tuple, up: bool) -> Column:
+        """Rows of this key, and those after it."""
+        after, same = F.lit(False), F.lit(True)
+        for name, value in zip(self.order, key):
+            c = F.col(name)
+            if value is None:
+                beyond = c.isNotNull() if up else F.lit(False)
+            else:
+                beyond = c > F.lit(value) if up else (c < F.lit(value)) | c.isNull()
+            after = after | (same & beyond)
+            same = same & c.eqNullSafe(F.lit(value))
+        return after | same
+
+    def _next(self, end: str, n: int) -> list:
+        key, times = self.seen[end]
+        up = end == "head"
+        hashed = self.df.withColumn("_tie", F.xxhash64(*self.df.columns))
+        rows = hashed if key is None else hashed.where(self._from(key, up))
+        keys = F.struct(*self.order).alias("_key")
+        by = [F.asc_nulls_first(c) if up else F.desc_nulls_last(c) for c in self.order]
+        page = rows.orderBy(*by).offset(times).limit(n).select("*", keys).collect()
+        if page:
+            last = tuple(page[-1]["_key"])
+            repeats = sum(tuple(r["_key"]) == last for r in page)
+            self.seen[end] = last, repeats + (times if last == key else 0)
+        return [Row(**{c: r[c] for c in self.df.columns}) for r in page]

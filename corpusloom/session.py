@@ -26,6 +26,11 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/corpusloom-{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder in scratch space."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to scratch space and read it back.
 
@@ -33,7 +38,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     readers get column pruning, which a checkpoint lacks.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -371,6 +371,23 @@ def test_notebooks_in_the_jvm_follow_the_rules_of_the_python_function(spark):
     assert [tuple(r) for r in rows] == [("```\na\n```\n\n    1\n", True), ("twice\n", True)]
 
 
+def test_pager_with_ties_and_a_changing_table(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, 1, 2, 3]), rng.choice(["a", "b", None]), k) for k in range(60)]
+    df = spark.createDataFrame(rows, "x int, y string, k int").repartition(1)
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")
+    pager, seen = stats.Pager(df, "x", "y"), []
+    while page := pager.head(7):
+        seen += map(tuple, page)
+    assert [order(r) for r in seen] == sorted(map(order, rows)) and sorted(seen, key=str) == sorted(rows, key=str)
+    assert [order(r) for r in pager.tail(25) + pager.tail(40)] == sorted(map(order, rows), reverse=True)
+    numbers = spark.range(10, 20).toDF("k")
+    pager = stats.Pager(numbers, "k")
+    assert [r.k for r in pager.head(3)] == [10, 11, 12]
+    pager.df = numbers.union(spark.range(5).toDF("k"))  # rows before the cursor come too late and shift nothing
+    assert [r.k for r in pager.head(3)] == [13, 14, 15]
+
+
 def test_stats_views(spark):
     df = spark.createDataFrame([(k, "a" * (k % 5), "x" if k % 2 else None) for k in range(10)], "k int, t string, repo string")
     pager = stats.Pager(df, "k")
