@@ -16,7 +16,7 @@ SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0
 
 
 def digits(text: Column) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, "0123456789", ""))
+    return F.regexp_count(text, F.lit("[0-9]"))
 
 
 def solid_length(text: Column) -> Column:
@@ -30,8 +30,8 @@ def numerical_density(text: Column) -> Column:
 
 
 def dense(text: Column, most: float) -> Column:
-    """numerical_density(text) <= most, with each count made once; true for blank text."""
-    return digits(text) <= most * solid_length(text)
+    """numerical_density(text) <= most; true for blank text. Only of texts with a digit, white space is counted."""
+    return F.when(digits(text) == 0, True).otherwise(digits(text) <= most * solid_length(text))
 
 
 def is_blank(text: Column) -> Column:

@@ -5,17 +5,23 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 
 def _counted(load: Callable[[], Callable[[str], int]]):
-    def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """An Arrow function; each distinct text of a batch is encoded once, and only one text is a Python string at a time."""
+
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         n = load()
-        for texts in parts:
-            yield texts.map(lambda t: n(t) if t else 0).astype("int64")
+        for batch in batches:
+            texts = batch.dictionary_encode()
+            made = np.fromiter((n(t.as_py()) for t in texts.dictionary), np.int64, len(texts.dictionary))
+            counts = pa.array(made).take(texts.indices)  # null where the text is
+            yield counts.fill_null(0)
 
-    return F.pandas_udf(count, "bigint")
+    return F.arrow_udf(count, "bigint")
 
 
 def ranks_counter(path: str, pattern: str | None = None):

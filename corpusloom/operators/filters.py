@@ -64,7 +64,9 @@ def python_reason(text: Column) -> Column:
 
 
 def python(text: Column) -> Column:
-    return ~python_reason(text).isin("standard", "notebook", "not found")
+    """What python_reason finds keywords for; most files have none, so these are looked for first."""
+    first = F.regexp_extract(text, f"^{WHITESPACE}*([^\\x00])", 1)
+    return contains_any(text, python_keywords()) & (first != "{") & standard(text)
 
 
 def c(text: Column, fused: bool = False) -> Column:

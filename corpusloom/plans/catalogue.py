@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import language, notebook, text, tokens
 from corpusloom.operators import catalog, decontam, dedup, filters, segments, splits, stats
-from corpusloom.session import stored, table
+from corpusloom.session import spread, stored, table
 from corpusloom.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,7 +137,7 @@ _python_sql = f"CASE WHEN NOT {_standard('t')} THEN 'standard' WHEN regexp_extra
 
 @query("rule_python", f"SELECT doc_id, {_python_sql} AS reason FROM (SELECT doc_id, t, list_filter({_list(filters.python_keywords())}, lambda k: contains(t, k)) AS found FROM (SELECT doc_id, {_pick_sql(_PYTHON)} || text AS t FROM documents))")
 def rule_python(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", filters.python_reason(F.concat(_pick(_PYTHON), F.col("text"))).alias("reason"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", filters.python_reason(F.concat(_pick(_PYTHON), F.col("text"))).alias("reason"))
 
 
 def _dedup(size: int) -> None:
@@ -244,7 +244,7 @@ def source_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pieces = tokens.ranks_counter(tokens.public_path("byte_bpe_50k.tiktoken")), tokens.pieces_counter(tokens.public_path("piece_bpe_32k.model"))
-    return table(spark, sf_dir, "documents").select("doc_id", ranks("text").alias("num_tokens"), pieces("text").alias("llama_tokens"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", ranks("text").alias("num_tokens"), pieces("text").alias("llama_tokens"))
 
 
 @query("token_total")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import notebook, text
 from corpusloom.operators import catalog, decontam, dedup, filters, segments, splits, stats, substrings
 from corpusloom.operators.running import running_sum
+from corpusloom.session import spread
 
 
 def values(spark, texts, *columns):
@@ -388,6 +389,23 @@ def test_pager_with_ties_and_a_changing_table(spark):
     assert [r.k for r in pager.head(3)] == [13, 14, 15]
 
 
+def test_python_rule_is_the_reason_that_names_keywords(spark):
+    rng = random.Random(6)
+    pieces = ["import numpy", "from scipy", "{", "1 2 3 4 5 6", " ", "\n", "\u00a0", "x = a", "import os", "\u0663"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(6))) for _ in range(400)] + ["", "import numpy" + "9" * 30]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    rows = df.select(filters.python(t).alias("kept"), filters.python_reason(t).alias("why")).collect()
+    assert all(r.kept == (r.why not in ("standard", "notebook", "not found")) for r in rows) and 20 < sum(r.kept for r in rows) < 390
+
+
+def test_spread(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
+    spark.range(100).repartition(9).write.parquet(f"{tmp_path}/many")
+    plans = [spread(spark.read.parquet(f"{tmp_path}/{x}"))._jdf.queryExecution().executedPlan().toString() for x in ("one", "many")]
+    assert ["Exchange" in p for p in plans] == [True, False]
+
+
 def test_stats_views(spark):
     df = spark.createDataFrame([(k, "a" * (k % 5), "x" if k % 2 else None) for k in range(10)], "k int, t string, repo string")
     pager = stats.Pager(df, "k")
