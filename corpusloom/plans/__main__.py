@@ -59,7 +59,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--held-out", help="folder with JSON lists of held-out statements")
 
     p = job("steps", "split training text of modules", counts=True)
-    p.add_argument("--steps", required=True, help="JSON lines of module and text")
+    which = p.add_mutually_exclusive_group(required=True)
+    which.add_argument("--steps", help="JSON lines of module and text")
+    which.add_argument("--modules", help="folder with Lean modules, for each of which --command is run")
+    p.add_argument("--root", default="Mathlib", help="folder of modules in their names")
+    p.add_argument("--command", nargs="+", default=["lake", "exe", "training_data", "{}", "--proofstep"], help="program and arguments; {} is the module")
+    p.add_argument("--cwd", help="folder that the program runs in, on every executor")
     p.add_argument("--seed", type=int, default=7)
 
     p = job("languages", "train a model of languages", counts=False)
@@ -117,7 +122,11 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> DataFrame:
     if a.job == "proofs":
         return jobs.proof_corpus(spark, a.traces, a.held_out, a.out).agg(F.count("*").alias("proofs"))
     if a.job == "steps":
-        return jobs.step_corpus(spark, readers.json_lines(spark, a.steps, "module string, text string"), counter, a.out, a.seed)
+        if a.steps:
+            steps = readers.json_lines(spark, a.steps, "module string, text string")
+        else:
+            steps = jobs.extracted_steps(readers.module_names(spark, a.modules, a.root), f"{a.out}-failed", a.command, a.cwd)
+        return jobs.step_corpus(spark, steps, counter, a.out, a.seed)
     return jobs.line_corpus(spark, a.path, a.out)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions import external
 from corpusloom.functions.language import language_of, read_model
 from corpusloom.functions.notebook import convert_notebooks
 from corpusloom.operators import decontam, filters, splits, stats
@@ -80,6 +81,16 @@ def proof_corpus(spark: SparkSession, folders: list[str], held_out: str | None,
     return spark.read.schema(result.schema).json(out)
 
 
+def extracted_steps(modules: DataFrame, out: str, command: list[str], cwd: str | None = None, seconds: float = external.SECONDS) -> DataFrame:
+    """(module, text) of what a program prints for each module; the modules that it fails for are written to out with the error.
+
+    The results are stored before they are divided, so no module is run twice.
+    """
+    made = stored(external.through_program(modules, "module", command, cwd, seconds=seconds), "steps")
+    made.where("error IS NOT NULL").select("module", "code", "error").write.mode("overwrite").json(out)
+    return made.where("error IS NULL").select("module", "text")
+
+
 def step_corpus(spark: SparkSession, steps: DataFrame, counter, out: str, seed: int = 7) -> DataFrame:
     """Training text of modules (module, text), each drawn to a split by itself; returns the split sizes."""
     rows = steps.select("text", F.struct(F.col("module").alias("mathlib_filename"), counter(F.col("text")).alias("llama_tokens")).alias("meta"), "module")

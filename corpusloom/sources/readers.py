@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import io
-import tarfile
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import theory_of
+from corpusloom.sources.archives import members
 
 
 # The columns of a code file.
@@ -28,6 +25,7 @@ COMMIT = "author string, repo string, sha string, committed timestamp"
 TRACE = "translations array<array<string>>"
 HELD_OUT_STATEMENTS = "array<array<string>>"
 HELD_OUT_NAMES = "array<struct<file_path:string,full_name:string>>"
+#: What the command line skips unless told otherwise.
 MAX_ARCHIVE_BYTES = 1_000_000_000
 
 
@@ -65,28 +63,10 @@ def _quoted(s: str) -> str:
     return r"\Q" + s + r"\E"
 
 
-def archives(spark: SparkSession, path: str, extension: str, max_bytes: int = MAX_ARCHIVE_BYTES) -> DataFrame:
-    """(archive, path, text) of the files in tar archives; archives beyond max_bytes are skipped whole.
-
-    One archive is one row of one task, so that bound is also the task's.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tar.gz").load(path)
-
-    def read(batches):
-        for b in batches:
-            for name, content in zip(b.column("path").to_pylist(), b.column("content")):
-                rows: list[tuple[str, str]] = []
-                with tarfile.open(fileobj=io.BytesIO(content.as_py())) as tar:
-                    for m in tar:
-                        if m.isfile() and m.name.endswith(extension):
-                            try:
-                                rows.append((m.name, tar.extractfile(m).read().decode("utf-8")))
-                            except UnicodeDecodeError:
-                                continue
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], ["archive", "path", "text"])
-
-    found = files.where(F.col("length") <= max_bytes).select("path", "content").mapInArrow(read, "archive string, path string, text string")
-    return found.withColumn("text", F.regexp_replace("text", "\r\n?", "\n"))
+def archives(spark: SparkSession, path: str, extension: str, max_bytes: int | None = None) -> DataFrame:
+    """(archive, path, text) of the files in tar archives of any size (see sources/archives.py); those beyond max_bytes, if given, are skipped whole."""
+    found = members(spark, path, extension, max_bytes).where("path IS NOT NULL")
+    return found.select("archive", "path", F.regexp_replace("text", "\r\n?", "\n").alias("text"))
 
 
 def _json_files(spark: SparkSession, path: str, schema: str, pattern: str) -> DataFrame:

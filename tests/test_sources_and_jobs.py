@@ -8,11 +8,11 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.functions import language, tokens
+from corpusloom.functions import external, language, tokens
 from corpusloom.operators import decontam, filters
 from corpusloom.plans import __main__ as command_line
 from corpusloom.plans import jobs
-from corpusloom.sources import readers, sinks
+from corpusloom.sources import archives, readers, sinks
 from corpusloom.streaming import feeds
 
 
@@ -50,6 +50,69 @@ def test_archives(spark, tmp_path):
     assert readers.archives(spark, str(tmp_path), ".v", max_bytes=5).count() == 0
 
 
+def test_archives_are_streams(spark, tmp_path):
+    """240 MB of members pass in less than 40 MB; a cut archive gives what is before the cut, and its error."""
+    import random
+    import tracemalloc
+
+    rng = random.Random(1)
+    big = tmp_path / "in/big.tar.gz"
+    big.parent.mkdir()
+    unit = bytes(rng.choices(b"abcdef \n", k=1 << 16))
+    with tarfile.open(big, mode="w:gz", compresslevel=1) as tar:
+        for k in range(240):
+            info = tarfile.TarInfo(f"r/{k}.v")
+            info.size = 16 * len(unit)
+            tar.addfile(info, io.BytesIO(unit * 16))
+    tracemalloc.start()
+    rows = 0
+    for batch in archives.ArchiveReader([str(big)], ".v").read(archives.ArchivePartition(str(big))):
+        rows += batch.num_rows
+        del batch
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 240 and peak < 40 << 20
+    raw = big.read_bytes()
+    put(tmp_path / "in/cut.tar.gz", raw[: len(raw) // 2])
+    put(tmp_path / "in/none.tar.gz", b"no archive")
+    got = {r.archive.rsplit("/", 1)[-1]: (r.n, r.error) for r in archives.members(spark, str(tmp_path / "in"), ".v").groupBy("archive").agg(F.count("path").alias("n"), F.max("error").alias("error")).collect()}
+    assert got["big.tar.gz"] == (240, None) and 100 < got["cut.tar.gz"][0] < 140 and "EOFError" in got["cut.tar.gz"][1]
+    assert got["none.tar.gz"][0] == 0 and "BadGzipFile" in got["none.tar.gz"][1]
+
+
+STUB = """#!/bin/sh
+case "$1" in
+fails) echo half; echo broken >&2; exit 3;;
+hangs) echo half; sleep 100;;
+floods) yes;;
+binary) printf '\\377';;
+quiet) ;;
+*) echo "steps of $1, $2"; yes error 2>/dev/null | head -c 300000 >&2;;
+esac
+"""
+
+
+def test_steps_by_an_external_program(spark, tmp_path, counter):
+    program = tmp_path / "stub"
+    put(program, STUB)
+    program.chmod(0o755)
+    names = ["A.B", "fails", "hangs", "floods", "binary", "quiet", "a b; echo x", None]
+    df = spark.createDataFrame([(n,) for n in names], "module string").repartition(4)
+    command = [str(program), "{}", "--x"]
+    got = {r.module: (r.text, r.code, r.error) for r in external.through_program(df, "module", command, max_output=1 << 20, seconds=3).collect()}
+    assert got["A.B"] == ("steps of A.B, --x\n", 0, None) and got["quiet"] == ("", 0, None) and got["a b; echo x"][0] == "steps of a b; echo x, --x\n"
+    assert got["fails"] == (None, 3, "broken\n") and "after 3 s" in got["hangs"][2] and "more than" in got["floods"][2] and "decode" in got["binary"][2] and got[None][2] == "no key"
+    assert "FileNotFoundError" in external.run_one([str(tmp_path / "absent")], None, 10, 1.0)[2]
+    steps = jobs.extracted_steps(df.where("module IN ('A.B', 'fails', 'quiet')"), str(tmp_path / "failed"), command)
+    assert sorted(r.module for r in steps.collect()) == ["A.B", "quiet"]
+    assert [(r.module, r.code) for r in spark.read.json(str(tmp_path / "failed")).collect()] == [("fails", 3)]
+    for n in ("Mathlib/A.lean", "Mathlib/fails.lean"):
+        put(tmp_path / "tree" / n, "x")
+    pieces = tokens.public_path("piece_bpe_32k.model")
+    rows = command_line.run(spark, ["steps", "--modules", str(tmp_path / "tree"), "--command", str(program), "{}", "--out", str(tmp_path / "out"), "--pieces", pieces]).collect()
+    assert sum(r["rows"] for r in rows) == 2
+
+
 def test_json_readers(spark, tmp_path):
     put(tmp_path / "t/2022-12-06_thys_A.thy_output.json", json.dumps({"translations": [["", "lemma x"]], "more": 1}))
     put(tmp_path / "t/b.thy_output.json", json.dumps({"other": []}))
