@@ -321,9 +321,15 @@ def _dated(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t == "date"})
 
 
-@query("week_intervals", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS \"left\", CAST(least(CAST(d AS DATE) + 7, DATE '2023-04-01') AS VARCHAR) AS \"right\" FROM (SELECT unnest(generate_series(TIMESTAMP '2009-01-01', TIMESTAMP '2023-04-01', INTERVAL 7 DAY)) AS d)")
+@query("week_intervals", """
+WITH b AS (SELECT min(CAST(ts AS DATE)) AS first, max(CAST(ts AS DATE)) AS last FROM events)
+SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS "left", CAST(least(CAST(d AS DATE) + 7, last) AS VARCHAR) AS "right"
+FROM (SELECT unnest(generate_series(CAST(first AS TIMESTAMP), CAST(last AS TIMESTAMP), INTERVAL 7 DAY)) AS d, last FROM b)""")
 def week_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dated(catalog.week_intervals(spark, "2009-01-01", "2023-04-01"))
+    """The weeks from the first event to the last."""
+    day = F.to_date("ts")
+    first, last = table(spark, sf_dir, "events").agg(F.min(day).cast("string"), F.max(day).cast("string")).first()
+    return _dated(catalog.week_intervals(spark, first, last))
 
 
 @query("events_by_week", """

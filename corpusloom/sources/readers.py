@@ -25,6 +25,8 @@ COMMIT = "author string, repo string, sha string, committed timestamp"
 TRACE = "translations array<array<string>>"
 HELD_OUT_STATEMENTS = "array<array<string>>"
 HELD_OUT_NAMES = "array<struct<file_path:string,full_name:string>>"
+#: Rows of repositories that are broadcast (about 300 bytes each).
+REPOSITORIES_AT_ONCE = 100_000
 #: What the command line skips unless told otherwise.
 MAX_ARCHIVE_BYTES = 1_000_000_000
 
@@ -50,12 +52,16 @@ def extracted(spark: SparkSession, path: str, extension: str, repos: DataFrame)
     """(text, meta): files of local checkouts, with the repository whose save_path holds each.
 
     A file belongs to the repository named by the directory right below path, so the join is on
-    an equal key.
+    an equal key. Repositories are broadcast up to REPOSITORIES_AT_ONCE of them, and else meet the files' paths first, which are
+    short; texts then join by their path, so a large repository is no single task.
     """
     tree = source_tree(spark, path, extension)
     top = F.regexp_extract("path", r"(?:^|/)" + _quoted(path.rstrip("/").rsplit("/", 1)[-1]) + r"/([^/]+)/", 1)
     held = repos.withColumn("_top", F.element_at(F.split("save_path", "/"), -1))
-    joined = tree.withColumn("_top", top).join(held, "_top")
+    if held.count() <= REPOSITORIES_AT_ONCE:
+        joined = tree.withColumn("_top", top).join(F.broadcast(held), "_top")
+    else:
+        joined = tree.join(tree.select("path", top.alias("_top")).join(held, "_top"), "path")
     return joined.select("text", F.struct("author", "repo", "sha", "save_path", "path").alias("meta"))
 
 

@@ -50,6 +50,16 @@ def test_archives(spark, tmp_path):
     assert readers.archives(spark, str(tmp_path), ".v", max_bytes=5).count() == 0
 
 
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_extracted_joins_repositories(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(readers, "REPOSITORIES_AT_ONCE", most)
+    for n in ("one/a.v", "one/b/c.v", "two/a.v", "other/a.v"):
+        put(tmp_path / "trees" / n, n)
+    repos = spark.createDataFrame([("x", "one", "s", "up/one"), ("y", "two", "t", "up/two")], "author string, repo string, sha string, save_path string")
+    rows = readers.extracted(spark, str(tmp_path / "trees"), ".v", repos).collect()
+    assert sorted((r.meta.author, r.text) for r in rows) == [("x", "one/a.v"), ("x", "one/b/c.v"), ("y", "two/a.v")]
+
+
 def test_archives_are_streams(spark, tmp_path):
     """240 MB of members pass in less than 40 MB; a cut archive gives what is before the cut, and its error."""
     import random
