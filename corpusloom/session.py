@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,11 +52,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _written[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What stored() has written, by the calls of settled() that are under way; the last list is that of the innermost.
+_written: list[list[str]] = [[]]
+
+
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The result of make(), stored; all that make() itself has stored is deleted, as the result needs nothing of it.
+
+    When the outermost call ends, the JVM is asked to collect its garbage, so that Spark drops shuffle files that no plan needs.
+    """
+    _written.append([])
+    try:
+        result = stored(make(), name)
+    finally:
+        inner = _written.pop()
+    *gone, kept = inner
+    jvm = spark.sparkContext._jvm
+    for path in gone:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _written[-1].append(kept)
+    if len(_written) == 1:
+        gc.collect()
+        jvm.java.lang.System.gc()
+    return result
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all that stored() has written in this application; its results must be read by then."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    del _written[0][:]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import notebook, text
 from corpusloom.operators import catalog, decontam, dedup, filters, segments, splits, stats, substrings
 from corpusloom.operators.running import running_sum
-from corpusloom.session import spread
+from corpusloom.session import scratch_root, settled, spread, stored
 
 
 def values(spark, texts, *columns):
@@ -406,6 +406,24 @@ def test_spread(spark, tmp_path):
     assert ["Exchange" in p for p in plans] == [True, False]
 
 
+def test_settled_keeps_the_result_only(spark):
+    names = lambda: {f.getPath().getName().rsplit("-", 1)[0] for f in fs.listStatus(folder)}
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    outside = stored(spark.range(3), "settled-outside")
+
+    def make():
+        inner = settled(spark, "settled-inner", lambda: stored(outside, "settled-deepest").where("id > 0"))
+        assert "settled-inner" in names() and "settled-deepest" not in names()
+        return stored(inner, "settled-more").union(inner)
+
+    result = settled(spark, "settled-result", make)
+    assert sorted(r.id for r in result.collect()) == [1, 1, 2, 2]
+    assert {n for n in names() if n.startswith("settled")} == {"settled-outside", "settled-result"}
+    with pytest.raises(ZeroDivisionError):
+        settled(spark, "settled-not", lambda: 1 / 0)
+
+
 def test_stats_views(spark):
     df = spark.createDataFrame([(k, "a" * (k % 5), "x" if k % 2 else None) for k in range(10)], "k int, t string, repo string")
     pager = stats.Pager(df, "k")
