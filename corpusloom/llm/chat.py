@@ -16,7 +16,7 @@ The marks that open and close a turn, where they occur in a text or name, get a
 Turns are ordered by turn number (null first), then role, then text. Repeated rows are repeated
 turns. A null role is the participant ``unknown``; a null text is empty; rows with a null
 conversation id form one conversation. A conversation of system turns only has no participants
-and no rendering. Other columns are ignored.
+and no rendering. Other columns are ignored. A row holds one rendered part, hence one very long text whole.
 """
 
 from __future__ import annotations

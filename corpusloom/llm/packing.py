@@ -10,6 +10,7 @@ The sort moves keys only. The tokens move once, when each document meets its pos
 
 A null text counts as empty, and an empty one is the single end id. Repeated rows are packed
 each for itself. No rows give no pieces. Other columns are ignored, whatever their names.
+A task holds the tokens of a slice of 4 MB of text at a time, or of one longer text.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ lambda and K come from the scores of non-toxic documents, and the text's best se
 scale, is calibrated to a probability.
 
 A null text counts as empty and gets the lowest probability. Without toxic labels every score is 0.
+A task holds some arrays of 8 bytes for each byte of a slice of 4 MB of text, or of one longer text.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ from elsewhere: it finds the program tables, checks continuity counters, reassem
 packets, and lists timestamps and random-access points. Damage is counted, not fatal.
 
 A null payload counts as empty. A null or empty stream has no programs. Repeated rows give equal
-streams.
+streams. A task holds some copies of a slice of 1 MB of text and its streams, or of one longer text.
 """
 
 from __future__ import annotations
