@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators import stats
+from corpusloom.operators import segments, stats
 from corpusloom.plans.catalogue import query
 from corpusloom.session import scratch_path, table
 from corpusloom.sources import readers, sinks
@@ -81,6 +81,44 @@ def tree_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.source_tree(spark, path, ".txt").select("text")
 
 
+def _named_files(df: DataFrame, path: str) -> None:
+    """Write (name, value) as one text file each; only names pass the driver."""
+    spark = df.sparkSession
+    df.repartition("name").write.partitionBy("name").text(f"{path}-parts")
+    jvm = spark.sparkContext._jvm
+    folder, to = jvm.org.apache.hadoop.fs.Path(f"{path}-parts"), jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(to)
+    for found in fs.listStatus(folder):
+        if found.isDirectory():
+            (part,) = (f.getPath() for f in fs.listStatus(found.getPath()) if f.getPath().getName().startswith("part-"))
+            fs.rename(part, jvm.org.apache.hadoop.fs.Path(to, found.getPath().getName().removeprefix("name=")))
+
+
+@query("trace_files_read", """
+WITH n AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS segment FROM conversations)
+SELECT conv_id || '_' || segment AS theory, count(*) AS steps, md5(string_agg(role || ' ' || text, '|' ORDER BY turn)) AS digest FROM n GROUP BY conv_id, segment""")
+def trace_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of conversations as files of proof traces, and the traces read from the folder."""
+    path = scratch_path(spark, "traces")
+    rows = segments.numbered_segments(table(spark, sf_dir, "conversations"), "conv_id", "turn", F.col("role") == "user")
+    pairs = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: F.array(x["role"], x["text"]))
+    traces = rows.groupBy("conv_id", "segment").agg(F.to_json(F.struct(pairs.alias("translations"))).alias("value"))
+    name = F.concat(F.lit("2022-12-06_thys_"), F.concat_ws("_", F.col("conv_id").cast("string"), F.col("segment").cast("string")), F.lit(".thy_output.json"))
+    _named_files(traces.select(name.alias("name"), "value"), path)
+    steps = F.transform("translations", lambda x: F.concat_ws(" ", x))
+    return readers.proof_traces(spark, path).select("theory", F.size("translations").cast("bigint").alias("steps"), F.md5(F.array_join(steps, "|")).alias("digest"))
+
+
+@query("module_files_read", "SELECT 'Mathlib.Item' || item_id AS module FROM benchmark")
+def module_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark texts as files of modules, and the modules' names found in the tree."""
+    path = scratch_path(spark, "modules")
+    items = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("Item"), "item_id", F.lit(".lean")).alias("name"), F.col("text").alias("value"))
+    _named_files(items, f"{path}/Mathlib")
+    return readers.module_names(spark, path, "Mathlib")
+
+
 @query("pages_by_number", "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 250")
 def pages_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five pages of fifty documents, each read from the key of the one before."""

@@ -55,3 +55,16 @@ def test_dedup_shuffles_no_text(spark):
 def test_antijoin_joins_on_a_key(spark):
     p = plan(catalogue.QUERIES["decontam_antijoin"](spark, SF))
     assert "BroadcastHashJoin" in p and "NestedLoop" not in p and "Cartesian" not in p
+
+
+def test_optional_parts_are_left_out_if_something_is_missing(monkeypatch):
+    """Whether the parts themselves or a package that they need can't be imported, the core's queries stay."""
+    import __spark_entry__ as entry
+
+    for missing in ("corpusloom.llm", "numpy"):
+
+        def fails(name, missing=missing):
+            raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
+
+        monkeypatch.setattr(entry, "import_module", fails)
+        assert set(entry.queries()) == set(catalogue.QUERIES) and set(entry.oracle_sql()) == set(catalogue.ORACLES)
