@@ -54,7 +54,7 @@ def _density(t: str) -> str:
     return f"(CAST(length(regexp_replace({t}, '[^0-9]', '', 'g')) AS DOUBLE) / greatest(1, {_solid(t)}))"
 
 
-def _standard(t: str, density: float = 0.5, size: int = 1_048_575, blank: str = "false") -> str:
+def standard_sql(t: str, density: float = 0.5, size: int = 1_048_575, blank: str = "false") -> str:
     return f"(octet_length(encode({t})) <= {size} AND CASE WHEN {_solid(t)} = 0 THEN {blank} ELSE {_density(t)} <= {density} END)"
 
 
@@ -62,13 +62,13 @@ def _any(t: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({t}, {_lit(w)})" for w in words) + ")"
 
 
-@query("corpus_summary", f"SELECT lang, count(*) AS files, CAST(sum(octet_length(encode(text))) AS BIGINT) AS size FROM documents WHERE {_standard('text', 0.01, 8192)} GROUP BY lang")
+@query("corpus_summary", f"SELECT lang, count(*) AS files, CAST(sum(octet_length(encode(text))) AS BIGINT) AS size FROM documents WHERE {standard_sql('text', 0.01, 8192)} GROUP BY lang")
 def corpus_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = table(spark, sf_dir, "documents").where(filters.standard(F.col("text"), 0.01, 8192))
     return kept.groupBy("lang").agg(F.count("*").alias("files"), F.sum(F.octet_length("text")).alias("size"))
 
 
-@query("std_filter", f"SELECT doc_id, {_standard('text', 0.01, 8192)} AS kept FROM documents")
+@query("std_filter", f"SELECT doc_id, {standard_sql('text', 0.01, 8192)} AS kept FROM documents")
 def std_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", filters.standard(F.col("text"), 0.01, 8192).alias("kept"))
 
@@ -107,13 +107,13 @@ def _rule(name: str, rule: Callable[..., Column], sql: str, before: list[str] =
 
 
 _WS = text.WHITESPACE
-_rule("r", filters.r, f"{_standard('t')} AND NOT contains(t, '/* Resource fork') AND NOT regexp_matches(t, {_lit('Requirement' + _WS + '+\\{' + _WS + '+Identifier')}) AND NOT starts_with(t, '<?xml') AND NOT starts_with(t, '{{')".replace("{{", "{"), ["", "/* Resource fork", "Requirement {\n Identifier", "Requirement\u00a0{\u2028Identifier", "<?xml ", " <?xml", "{", "x <- 1\n"])
-_rule("maple", filters.maple, f"{_standard('t', size=100_000)} AND NOT starts_with(t, '<?xml')", ["", "<?xml", "with(LinearAlgebra);", "9" * 3000])
-_rule("standard", filters.standard, _standard("t"), ["", "1 2 3 4 5 6 7 8 9 " * 40, "٣" * 900, "\x1c\u00a0\u2028" * 300 + "7" * 500])
-_rule("haskell", filters.haskell, f"{_standard('t')} AND regexp_matches(t, {_lit('import' + _WS + '+(qualified' + _WS + '+)?(' + '|'.join(filters.HASKELL_PACKAGES) + ')')})", ["", "import Statistics\n", "import  qualified \t Data.Complex\n", "Statistics ", "import NumericXLinearAlgebra\n", "import qualified Data.List\n"])
-_rule("c", filters.c, f"{_standard('t')} AND {_any('t', filters.C_INCLUDES)}", ["", "#include <fftw3.h>\n", "#include <gsl/gsl_math.h>\n", "#include <stdio.h>\n", "#include  <blas.h>\n", "#include <petsc.h>\n", "#include <fftw3.h>#include <rfftw.h>"])
-_rule("c_fused", lambda t: filters.c(t, fused=True), f"{_standard('t')} AND {_any('t', filters.C_INCLUDES_FUSED)}", ["", "#include <fftw3.h>\n", "#include <fftw3.h>#include <rfftw.h>", "#include <gsl/gsl_math.h>\n"])
-_rule("cpp", filters.cpp, f"{_standard('t', 0.1)} AND {_any('t', filters.CPP_INCLUDES)}", ["", "#include <Eigen/Dense>\n", "#include <boost/math.hpp>\n", "#include <vector>\n", "#include <mtl/mtl.h>\n" + "12345 " * 60])
+_rule("r", filters.r, f"{standard_sql('t')} AND NOT contains(t, '/* Resource fork') AND NOT regexp_matches(t, {_lit('Requirement' + _WS + '+\\{' + _WS + '+Identifier')}) AND NOT starts_with(t, '<?xml') AND NOT starts_with(t, '{{')".replace("{{", "{"), ["", "/* Resource fork", "Requirement {\n Identifier", "Requirement\u00a0{\u2028Identifier", "<?xml ", " <?xml", "{", "x <- 1\n"])
+_rule("maple", filters.maple, f"{standard_sql('t', size=100_000)} AND NOT starts_with(t, '<?xml')", ["", "<?xml", "with(LinearAlgebra);", "9" * 3000])
+_rule("standard", filters.standard, standard_sql("t"), ["", "1 2 3 4 5 6 7 8 9 " * 40, "٣" * 900, "\x1c\u00a0\u2028" * 300 + "7" * 500])
+_rule("haskell", filters.haskell, f"{standard_sql('t')} AND regexp_matches(t, {_lit('import' + _WS + '+(qualified' + _WS + '+)?(' + '|'.join(filters.HASKELL_PACKAGES) + ')')})", ["", "import Statistics\n", "import  qualified \t Data.Complex\n", "Statistics ", "import NumericXLinearAlgebra\n", "import qualified Data.List\n"])
+_rule("c", filters.c, f"{standard_sql('t')} AND {_any('t', filters.C_INCLUDES)}", ["", "#include <fftw3.h>\n", "#include <gsl/gsl_math.h>\n", "#include <stdio.h>\n", "#include  <blas.h>\n", "#include <petsc.h>\n", "#include <fftw3.h>#include <rfftw.h>"])
+_rule("c_fused", lambda t: filters.c(t, fused=True), f"{standard_sql('t')} AND {_any('t', filters.C_INCLUDES_FUSED)}", ["", "#include <fftw3.h>\n", "#include <fftw3.h>#include <rfftw.h>", "#include <gsl/gsl_math.h>\n"])
+_rule("cpp", filters.cpp, f"{standard_sql('t', 0.1)} AND {_any('t', filters.CPP_INCLUDES)}", ["", "#include <Eigen/Dense>\n", "#include <boost/math.hpp>\n", "#include <vector>\n", "#include <mtl/mtl.h>\n" + "12345 " * 60])
 _lines = "(length(t) - length(replace(t, chr(10), '')) + 1)"
 _tests = "CAST(floor((length(t) - length(replace(t, '@test', ''))) / 5.0) AS BIGINT)"
 _julia = f"t <> '' AND NOT (substr(t, 1, 1) IN ('%', '{{', '[')) AND CASE WHEN CAST(size AS BIGINT) >= 100000 THEN {_tests} > 0 AND CAST({_tests} AS DOUBLE) / {_lines} >= 0.1 AND {_density('t')} <= 0.5 ELSE true END".replace("{{", "{")
@@ -123,16 +123,16 @@ _rule("julia", lambda t, size: filters.julia(t, size.cast("bigint")), _julia, _J
 _WORD = r"[\p{L}\p{M}\p{Nd}\p{Pc}\x{200c}\x{200d}\x{24b6}-\x{24e9}\p{Nl}]"
 _NOT_WORD = "[^" + _WORD[1:]
 _rule("julia_strict", lambda t, size: filters.julia_strict(t, size.cast("bigint")), f"{_julia} AND regexp_matches(t, {_lit(_NOT_WORD + '(' + '|'.join(filters.JULIA_WORDS) + ')' + _NOT_WORD)})", _JULIA, size=_SIZES)
-_rule("tex", lambda t, ext, path, lang: filters.tex(t, ext, path, lang == "en"), f"ext = 'tex' AND {_standard('t', size=10_000_000)} AND NOT contains(path, 'latex/') AND NOT contains(t, 'gnuplot') AND {_any('t', filters.TEX_SECTIONS)} AND lang = 'en'", ["", "\\section{A}\n", "\\paragraph*{A}\n", "\\chapter*{gnuplot}\n", "\\subsubsection*{B}\n"], ext=["tex", "sty", "tex"], path=["a/b.tex", "latex/a.tex", "x/latex/y.tex", "c.tex"], lang=["en", "en", "de"])
+_rule("tex", lambda t, ext, path, lang: filters.tex(t, ext, path, lang == "en"), f"ext = 'tex' AND {standard_sql('t', size=10_000_000)} AND NOT contains(path, 'latex/') AND NOT contains(t, 'gnuplot') AND {_any('t', filters.TEX_SECTIONS)} AND lang = 'en'", ["", "\\section{A}\n", "\\paragraph*{A}\n", "\\chapter*{gnuplot}\n", "\\subsubsection*{B}\n"], ext=["tex", "sty", "tex"], path=["a/b.tex", "latex/a.tex", "x/latex/y.tex", "c.tex"], lang=["en", "en", "de"])
 _rule("notebook", filters.notebook, _any("lower(t)", filters.NOTEBOOK_WORDS), ["", "IMPORT SYMPY\n", "\\Begin{Equation}", "\\begin{align*}", "from sympy import *"])
-_rule("coq", filters.coq, f"{_standard('t', blank='true')} AND {_any('t', filters.COQ_WORDS)} AND NOT {_any('t', filters.VERILOG_WORDS)} AND NOT contains(t, 'This file was automatically generated')", ["", "Theorem a : b.\n", "Proof. Qed. wire", "Fixpoint\nThis file was automatically generated", "endmodule", "Definition d := 1.\n"])
-_rule("lean", filters.lean, f"{_standard('t', blank='true')} AND {_any('t', filters.LEAN_WORDS)} AND NOT (repo IN ('ProofNet', 'miniF2F')) AND NOT contains(path, '_target/deps/')", ["", "theorem a : b\n", "lemma\n", "example : c\n"], repo=["mathlib", "miniF2F", "miniF2F-extra", "ProofNet", "x"], path=["src/a.lean", "_target/deps/m/a.lean", "b.lean"])
-_rule("isabelle", filters.isabelle, f"{_standard('t', blank='true')} AND {_any('t', filters.ISABELLE_WORDS)} AND NOT starts_with(repo, 'mirror-afp-2')", ["", "theorem x: y\n", "lemma z: w\n"], repo=["a", "mirror-afp-2021", "mirror-afp-devel", "x-mirror-afp-2021"])
-_rule("matlab", filters.matlab, f"{_standard('t', blank='true')} AND NOT {_any('t', [*filters.OBJECTIVE_C_WORDS, '#include'])} AND NOT regexp_matches(t, ' main\\([^\\n]*\\{{\\n?\\z')".replace("{{", "{"), ["", "#import <a.h>\n", "function y = f(x)\n", "@interface A\n", "#include <a>\n"], ["", " int main(void){", " int main(void){\n", " int main(void){\r", " main(){\nx"])
+_rule("coq", filters.coq, f"{standard_sql('t', blank='true')} AND {_any('t', filters.COQ_WORDS)} AND NOT {_any('t', filters.VERILOG_WORDS)} AND NOT contains(t, 'This file was automatically generated')", ["", "Theorem a : b.\n", "Proof. Qed. wire", "Fixpoint\nThis file was automatically generated", "endmodule", "Definition d := 1.\n"])
+_rule("lean", filters.lean, f"{standard_sql('t', blank='true')} AND {_any('t', filters.LEAN_WORDS)} AND NOT (repo IN ('ProofNet', 'miniF2F')) AND NOT contains(path, '_target/deps/')", ["", "theorem a : b\n", "lemma\n", "example : c\n"], repo=["mathlib", "miniF2F", "miniF2F-extra", "ProofNet", "x"], path=["src/a.lean", "_target/deps/m/a.lean", "b.lean"])
+_rule("isabelle", filters.isabelle, f"{standard_sql('t', blank='true')} AND {_any('t', filters.ISABELLE_WORDS)} AND NOT starts_with(repo, 'mirror-afp-2')", ["", "theorem x: y\n", "lemma z: w\n"], repo=["a", "mirror-afp-2021", "mirror-afp-devel", "x-mirror-afp-2021"])
+_rule("matlab", filters.matlab, f"{standard_sql('t', blank='true')} AND NOT {_any('t', [*filters.OBJECTIVE_C_WORDS, '#include'])} AND NOT regexp_matches(t, ' main\\([^\\n]*\\{{\\n?\\z')".replace("{{", "{"), ["", "#import <a.h>\n", "function y = f(x)\n", "@interface A\n", "#include <a>\n"], ["", " int main(void){", " int main(void){\n", " int main(void){\r", " main(){\nx"])
 _rule("generated", filters.generated, "contains(t, 'generated') OR starts_with(t, '.')", ["", ".hidden", "my-generated-code", "a."])
 
 _PYTHON = ["", "import numpy\nfrom scipy import x\n", "  {", "import sagemaker\n", "\u00a0\n{\"cells\": []", "from jax import numpy\nimport jax\n", "1 " * 20000]
-_python_sql = f"CASE WHEN NOT {_standard('t')} THEN 'standard' WHEN regexp_extract(t, {_lit('^' + _WS + '*([^' + chr(92) + 'x00])')}, 1) = '{{' THEN 'notebook' WHEN len(found) = 0 THEN 'not found' ELSE array_to_string(found, ',') END".replace("{{", "{")
+_python_sql = f"CASE WHEN NOT {standard_sql('t')} THEN 'standard' WHEN regexp_extract(t, {_lit('^' + _WS + '*([^' + chr(92) + 'x00])')}, 1) = '{{' THEN 'notebook' WHEN len(found) = 0 THEN 'not found' ELSE array_to_string(found, ',') END".replace("{{", "{")
 
 
 @query("rule_python", f"SELECT doc_id, {_python_sql} AS reason FROM (SELECT doc_id, t, list_filter({_list(filters.python_keywords())}, lambda k: contains(t, k)) AS found FROM (SELECT doc_id, {_pick_sql(_PYTHON)} || text AS t FROM documents))")

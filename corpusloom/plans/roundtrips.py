@@ -81,7 +81,7 @@ def tree_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.source_tree(spark, path, ".txt").select("text")
 
 
-def _named_files(df: DataFrame, path: str) -> None:
+def named_files(df: DataFrame, path: str) -> None:
     """Write (name, value) as one text file each; only names pass the driver."""
     spark = df.sparkSession
     df.repartition("name").write.partitionBy("name").text(f"{path}-parts")
@@ -105,7 +105,7 @@ def trace_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: F.array(x["role"], x["text"]))
     traces = rows.groupBy("conv_id", "segment").agg(F.to_json(F.struct(pairs.alias("translations"))).alias("value"))
     name = F.concat(F.lit("2022-12-06_thys_"), F.concat_ws("_", F.col("conv_id").cast("string"), F.col("segment").cast("string")), F.lit(".thy_output.json"))
-    _named_files(traces.select(name.alias("name"), "value"), path)
+    named_files(traces.select(name.alias("name"), "value"), path)
     steps = F.transform("translations", lambda x: F.concat_ws(" ", x))
     return readers.proof_traces(spark, path).select("theory", F.size("translations").cast("bigint").alias("steps"), F.md5(F.array_join(steps, "|")).alias("digest"))
 
@@ -115,7 +115,7 @@ def module_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts as files of modules, and the modules' names found in the tree."""
     path = scratch_path(spark, "modules")
     items = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("Item"), "item_id", F.lit(".lean")).alias("name"), F.col("text").alias("value"))
-    _named_files(items, f"{path}/Mathlib")
+    named_files(items, f"{path}/Mathlib")
     return readers.module_names(spark, path, "Mathlib")
 
 

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from corpusloom.plans import catalogue, roundtrips  # noqa: F401
+from corpusloom.plans import catalogue, jobqueries, roundtrips  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
