@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -52,12 +53,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    _written[-1].append(path)
+    _calls()[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: What stored() has written, by the calls of settled() that are under way; the last list is that of the innermost.
-_written: list[list[str]] = [[]]
+_thread = threading.local()
+
+
+def _calls() -> list[list[str]]:
+    """What stored() has written in this thread, by the calls of settled() that are under way; the last list is that of the innermost."""
+    if not hasattr(_thread, "calls"):
+        _thread.calls = [[]]
+    return _thread.calls
 
 
 def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
@@ -65,18 +72,19 @@ def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> Da
 
     When the outermost call ends, the JVM is asked to collect its garbage, so that Spark drops shuffle files that no plan needs.
     """
-    _written.append([])
+    calls = _calls()
+    calls.append([])
     try:
         result = stored(make(), name)
     finally:
-        inner = _written.pop()
+        inner = calls.pop()
     *gone, kept = inner
     jvm = spark.sparkContext._jvm
     for path in gone:
         folder = jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-    _written[-1].append(kept)
-    if len(_written) == 1:
+    calls[-1].append(kept)
+    if len(calls) == 1:
         gc.collect()
         jvm.java.lang.System.gc()
     return result
@@ -87,4 +95,4 @@ def clear_scratch(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    del _written[0][:]
+    del _calls()[0][:]
