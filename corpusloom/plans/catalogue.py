@@ -162,7 +162,8 @@ for _size in (2048, 512, 128):
 
 @query("decontam_antijoin", "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text <> '' AND contains(d.text, b.text))")
 def decontam_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.without_containing(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).select("doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return decontam.without_containing(docs, table(spark, sf_dir, "benchmark")).select("doc_id")
 
 
 _removed = """
@@ -391,7 +392,7 @@ b AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY score
 SELECT doc_id, b.lang AS language FROM documents LEFT JOIN b USING (doc_id) WHERE r = 1 OR r IS NULL""")
 def language_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language from its text, by a model of the labelled documents of even number."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     model = language.LanguageModel(stored(language.train(docs.where("doc_id % 2 = 0")), "language-model").toArrow())
     return docs.select("doc_id", language.language_of(F.col("text"), model, spark).alias("language"))
 
@@ -453,7 +454,7 @@ r AS (SELECT doc_id, t, list_reduce(list_prepend(t, (SELECT list(name ORDER BY n
 SELECT doc_id, text, text <> t AS was_transformed FROM r""")
 def isabelle_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages from the beginnings of benchmark texts on, and from two fixed names, are removed."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(_pick(_STATED), F.col("text")).alias("text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", F.concat(_pick(_STATED), F.col("text")).alias("text")))
     fixed = spark.createDataFrame([(n,) for n in _NAMES], "name string")
     names = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", _BEGINNING, 0).alias("name")).union(fixed)
     return decontam.without_statements(docs, names, "text")
@@ -465,7 +466,8 @@ SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM held WHERE s <> '
 def decontam_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the first two words of any benchmark text."""
     held = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", r"^\S+ \S+", 0).alias("s"))
-    return decontam.without_containing(table(spark, sf_dir, "documents").select("doc_id", "text"), held, needle="s").select("doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return decontam.without_containing(docs, held, needle="s").select("doc_id")
 
 
 @query("statement_names", "SELECT DISTINCT split_part(text, '.', 1) AS x, split_part(split_part(text, '.', 1), ':', 1) || ':' AS name FROM benchmark")
