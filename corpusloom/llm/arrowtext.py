@@ -73,7 +73,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) <= n:
-        size = max(n + 1, SLICE_BYTES + 1)
+        size = n + 1 + n // 8  # as many as slices need, lest every Python worker hold those of the largest
         for k, b in enumerate((_BASE, _INVERSE)):
             x = np.full(size, b, np.uint64)
             x[0] = 1

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrowtext import counts_by, mix, over_texts, shingles, words_of
-from corpusloom.session import stored, table
+from corpusloom.session import settled, stored, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bands and registers of a band: similar texts at 0.8 share a band with probability 1 - 3e-6.
@@ -238,9 +238,10 @@ def near_classes(texts: DataFrame, sig: DataFrame, similarity: float = SIMILARIT
     sig = sig.where("bands IS NOT NULL")
     members = _shared(sig.select("id", F.explode("bands").alias("bucket")))
     pairs = stored(members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
-    roots = components(verified(pairs, texts, similarity))
+    spark = texts.sparkSession
+    links = lambda some: settled(spark, "links", lambda: verified(some, texts, similarity))
+    roots = settled(spark, "roots", lambda: components(links(pairs)))
     for turn in range(TURNS + 1):
-        roots = stored(roots, "roots")
         classes = stored(members.select("bucket", "id").join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("class")), "bucket-classes")
         # in a bucket of two texts, the pair has been compared; one whose texts are all in one class has nothing to add
         spread = classes.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"), F.min_by(F.struct("id", "class"), F.xxhash64("id", "bucket", F.lit(turn))).alias("centre"))
@@ -251,15 +252,16 @@ def near_classes(texts: DataFrame, sig: DataFrame, similarity: float = SIMILARIT
         new = members.where(F.col("class") != F.col("centre.class")).select(F.greatest("id", "centre.id").alias("a"), F.least("id", "centre.id").alias("b"))
         new = stored(new.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
         pairs = pairs.union(new)
-        found = stored(verified(new, texts, similarity), "links")
+        found = links(new)
         if found.isEmpty():
             break
-        roots = components(found, roots)
+        before = roots
+        roots = settled(spark, "roots", lambda found=found, before=before: components(found, before))
     some = stored(members.select("id", "class").distinct(), "open")
     if some.isEmpty():
         return roots
-    new = stored(prefix_pairs(some, texts, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    found = stored(verified(new, texts, similarity), "links")
+    new = settled(spark, "pairs", lambda: prefix_pairs(some, texts, similarity).join(pairs, ["a", "b"], "left_anti"))
+    found = links(new)
     return roots if found.isEmpty() else components(found, roots)
 
 
@@ -366,8 +368,7 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     null keys are ignored unless the class has no other.
     """
     rows = _numbered(docs.select(key, text), text)
-    classed = rows.select("row", F.col("c0").alias("key")).join(_classes(rows), "row")
-    classed = stored(classed, "classes")
+    classed = settled(docs.sparkSession, "classes", lambda: rows.select("row", F.col("c0").alias("key")).join(_classes(rows), "row"))
     out = classed.join(stored(_heads(classed), "heads"), "root")  # stored, so that AQE may split a class of very many
     return out.select(F.col("key").alias(key), "class_id", (F.col("row") == F.col("head")).alias("is_representative"), "class_size")
 
@@ -380,9 +381,10 @@ def _heads(classed: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs, same columns, with one document of each class: the one of the least key."""
     rows = _numbered(docs, text)
-    classed = rows.select("row", F.col(f"c{docs.columns.index(key)}").alias("key")).join(_classes(rows), "row")
-    heads = _heads(classed).select(F.col("head").alias("row"))
-    return rows.join(heads, "row", "left_semi").select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
+    keys = rows.select("row", F.col(f"c{docs.columns.index(key)}").alias("key"))
+    heads = settled(docs.sparkSession, "heads", lambda: _heads(keys.join(_classes(rows), "row")).select(F.col("head").alias("row")))
+    few = heads.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(heads) if few else heads, "row", "left_semi").select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
