@@ -82,17 +82,8 @@ def tree_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def named_files(df: DataFrame, path: str) -> None:
-    """Write (name, value) as one text file each; only names pass the driver."""
-    spark = df.sparkSession
-    df.repartition("name").write.partitionBy("name").text(f"{path}-parts")
-    jvm = spark.sparkContext._jvm
-    folder, to = jvm.org.apache.hadoop.fs.Path(f"{path}-parts"), jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(to)
-    for found in fs.listStatus(folder):
-        if found.isDirectory():
-            (part,) = (f.getPath() for f in fs.listStatus(found.getPath()) if f.getPath().getName().startswith("part-"))
-            fs.rename(part, jvm.org.apache.hadoop.fs.Path(to, found.getPath().getName().removeprefix("name=")))
+    """Write (name, value) as one text file each."""
+    sinks.write_named(df.repartition("name").sortWithinPartitions("name"), path)
 
 
 @query("trace_files_read", """

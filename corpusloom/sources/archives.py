@@ -30,6 +30,11 @@ SCHEMA = "archive string, path string, text string, error string"
 _BROKEN = (tarfile.TarError, EOFError, OSError, zlib.error)
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """pyarrow's file system of path, and the path in it."""
+    return pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
+
+
 class ArchivePartition(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -52,7 +57,7 @@ class ArchiveReader(DataSourceReader):
         rows: list[tuple[str, str]] = []
         held, error = 0, None
         try:
-            fs, path = pafs.FileSystem.from_uri(partition.path) if ":" in partition.path else (pafs.LocalFileSystem(), partition.path)
+            fs, path = file_system(partition.path)
             with fs.open_input_stream(path, compression=None) as raw, gzip.GzipFile(fileobj=raw) as plain, tarfile.open(fileobj=plain, mode="r|") as tar:
                 for member in tar:
                     if member.isfile() and member.name.endswith(self.extension):

@@ -76,8 +76,8 @@ def archives(spark: SparkSession, path: str, extension: str, max_bytes: int | No
 
 
 def _json_files(spark: SparkSession, path: str, schema: str, pattern: str) -> DataFrame:
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path)
-    return raw.select(F.col("_metadata.file_name").alias("file"), F.from_json("value", schema).alias("json"))
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return raw.select(F.substring_index("path", "/", -1).alias("file"), F.from_json(F.col("content").cast("string"), schema).alias("json"))
 
 
 def proof_traces(spark: SparkSession, path: str) -> DataFrame:

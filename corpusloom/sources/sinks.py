@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.running import row_numbers
+from corpusloom.sources.archives import file_system
 
 SHARD_ROWS = 50_000
 
@@ -46,6 +51,77 @@ def _collect_shards(spark: SparkSession, path: str, into: str, stem: str, n: int
         fs.delete(at(name), True)
 
 
+def _known(path: str) -> bool:
+    """Whether pyarrow's file systems know the scheme of path."""
+    try:
+        return file_system(path) is not None
+    except (pa.ArrowException, OSError):
+        return False
+
+
+def write_named(df: DataFrame, path: str) -> None:
+    """Write (name, value) as one text file a name, below path, a row a line; a name may have folders.
+
+    Rows of a name must be next to each other in one partition. Tasks write the files themselves, each under a hidden name
+    until it is whole, so nothing passes the driver. Only in a store that pyarrow's file systems don't know, Spark's
+    writer makes a folder of every name and the driver moves its file.
+    """
+    rows = df.select(F.coalesce("name", F.lit("__HIVE_DEFAULT_PARTITION__")).alias("name"), F.col("value").cast("string").cast("binary").alias("value"))
+    fs, at = _files(df.sparkSession, path)
+    fs.mkdirs(at(""))
+    if not _known(path):
+        _moved_by_driver(rows, path)
+        return
+
+    def write(batches):
+        store, root = file_system(path)
+        root, made, name, out, hidden = root.rstrip("/"), set(), None, None, None
+
+        def end():
+            out.close()
+            store.move(hidden, f"{root}/{name}")
+
+        try:
+            for batch in batches:
+                for its, value in zip(batch.column("name").to_pylist(), batch.column("value")):
+                    if its != name:
+                        if out:
+                            end()
+                            out = None
+                        folder, _, last = f"{root}/{its}".rpartition("/")
+                        if folder not in made:
+                            store.create_dir(folder, recursive=True)
+                            made.add(folder)
+                        name, hidden = its, f"{folder}/_{uuid.uuid4().hex}"
+                        out = store.open_output_stream(hidden, compression=None, buffer_size=1 << 16)
+                    out.write((value.as_py() or b"") + b"\n")
+            if out:
+                end()
+                out = None
+        finally:
+            if out:
+                out.close()
+                store.delete_file(hidden)
+        yield from ()
+
+    rows.mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
+
+
+def _moved_by_driver(rows: DataFrame, path: str) -> None:
+    """The files of write_named() by Spark's writer and the driver, one after the other; only names pass the driver."""
+    rows.select("name", F.col("value").cast("string").alias("value")).write.partitionBy("name").text(f"{path}-parts")
+    fs, at = _files(rows.sparkSession, f"{path}-parts")
+    _, to = _files(rows.sparkSession, path)
+    for folder in _names(fs, at("")):
+        if folder.startswith("name="):
+            (part,) = (x for x in _names(fs, at(folder)) if x.startswith("part-"))
+            target = to(unquote(folder.removeprefix("name=")))
+            fs.mkdirs(target.getParent())
+            if not fs.rename(at(f"{folder}/{part}"), target):
+                raise OSError(f"can't rename {folder}/{part} in {path}-parts")
+    fs.delete(at(""), True)
+
+
 def write_splits(df: DataFrame, path: str, rows: int = SHARD_ROWS, stem: str = "part-") -> None:
     """JSON lines in a folder split=NAME for each split; every shard but a split's last has exactly rows documents.
 
