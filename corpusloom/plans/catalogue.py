@@ -244,8 +244,8 @@ def source_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks, pieces = tokens.ranks_counter(tokens.public_path("byte_bpe_50k.tiktoken")), tokens.pieces_counter(tokens.public_path("piece_bpe_32k.model"))
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", ranks("text").alias("num_tokens"), pieces("text").alias("llama_tokens"))
+    count = tokens.counters(num_tokens=tokens.ranks_of(tokens.public_path("byte_bpe_50k.tiktoken")), llama_tokens=tokens.pieces_of(tokens.public_path("piece_bpe_32k.model")))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", count("text").alias("n")).select("doc_id", "n.num_tokens", "n.llama_tokens")
 
 
 @query("token_total")

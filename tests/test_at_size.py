@@ -52,3 +52,16 @@ def test_json_files_of_any_content(spark, tmp_path):
     for name, content in (("x 1", json.dumps({"translations": [["é", "\n"]]}).encode()), ("empty", b""), ("broken", b"{"), ("binary", b"\xff\xfe")):
         (tmp_path / f"t/{name}.thy_output.json").write_bytes(content)
     assert [(r.file, r.translations) for r in readers.proof_traces(spark, str(tmp_path / "t")).collect()] == [("x 1.thy_output.json", [["é", "\n"]])]
+
+
+def test_both_counts_in_one_worker(spark, monkeypatch):
+    df = catalogue.QUERIES["token_counts"](spark, SF)
+    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(50).collect()] + [None, "", "a"]
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 3000)
+    import pyarrow as pa
+
+    for some in (texts, texts[:1], [None], []):
+        parts = list(tokens._slices(pa.array(some, pa.string())))
+        assert [t for p in parts for t in p.to_pylist()] == some
+        assert all(len(p) <= 1 or sum(len((t or "").encode()) for t in p.to_pylist()) <= 3000 for p in parts)
