@@ -13,6 +13,9 @@ from corpusloom.session import scratch_path, stored, table
 from corpusloom.sources import readers
 from corpusloom.streaming import feeds
 
+#: Text of a file that a stream reads, however many files that makes.
+STREAM_FILE_BYTES = 16 << 20
+
 
 def _words(text: Column) -> Column:
     return F.size(F.split(text, " ")).cast("bigint")
@@ -57,10 +60,14 @@ def program_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_kept", f"SELECT doc_id FROM documents WHERE {standard_sql('text')}")
 def stream_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as a stream of files through the rule of a language, in batches of two files."""
+    """Documents as a stream of files through the rule of a language, in batches of two files, or of a file for each core."""
     path = scratch_path(spark, "stream")
-    table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content")).repartition(5, "doc_id").write.parquet(f"{path}/in")
-    kept = feeds.kept_stream(feeds.document_stream(spark, f"{path}/in", "doc_id bigint, content string", 2), "gap")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    size = docs.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    files = max(5, -(-size // STREAM_FILE_BYTES))
+    docs.repartition(files, "doc_id").write.parquet(f"{path}/in")
+    at_once = 2 if files == 5 else max(2, spark.sparkContext.defaultParallelism)
+    kept = feeds.kept_stream(feeds.document_stream(spark, f"{path}/in", "doc_id bigint, content string", at_once), "gap")
     feeds.write_stream(kept.select("doc_id"), f"{path}/out", f"{path}/state").awaitTermination()
     return spark.read.schema("doc_id bigint").parquet(f"{path}/out")
 

@@ -65,3 +65,12 @@ def test_both_counts_in_one_worker(spark, monkeypatch):
         parts = list(tokens._slices(pa.array(some, pa.string())))
         assert [t for p in parts for t in p.to_pylist()] == some
         assert all(len(p) <= 1 or sum(len((t or "").encode()) for t in p.to_pylist()) <= 3000 for p in parts)
+
+
+def test_streamed_files_follow_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobqueries, "STREAM_FILE_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(jobqueries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    size = spark.read.parquet(f"{SF}/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0]
+    got = [r.doc_id for r in jobqueries.stream_kept(spark, SF).collect()]
+    assert len(got) == len(set(got)) > 0
+    assert len(list((tmp_path / "stream/in").glob("*.parquet"))) > max(5, size / 40_000)
