@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Callable
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -13,6 +15,8 @@ from corpusloom.operators.running import row_numbers
 from corpusloom.sources.archives import file_system
 
 SHARD_ROWS = 50_000
+#: Rows that a task writes if shards are smaller.
+TASK_ROWS = 10_000
 
 
 def as_documents(df: DataFrame, content: str = "content") -> DataFrame:
@@ -32,23 +36,19 @@ def _names(fs, folder) -> list[str]:
     return sorted(f.getPath().getName() for f in fs.listStatus(folder))
 
 
+def _digits(n: int, rows: int) -> int:
+    return max(4, len(str(n // rows + 1)))
+
+
 def shard_name(stem: str, shard: int, n: int, rows: int) -> str:
     """Name of a shard of n documents, rows in each: four digits, or as many as the number of shards has."""
-    return f"{stem}{shard:0{max(4, len(str(n // rows + 1)))}}.jsonl"
+    return f"{stem}{shard:0{_digits(n, rows)}}.jsonl"
 
 
-def _collect_shards(spark: SparkSession, path: str, into: str, stem: str, n: int, rows: int) -> None:
-    """Move the one file of each folder _shard=K in path to into/stemK.jsonl; only names pass the driver."""
-    fs, at = _files(spark, path)
-    _, to = _files(spark, into)
-    for name in _names(fs, at("")) if fs.exists(at("")) else []:
-        if not name.startswith("_shard="):
-            continue
-        (part,) = (x for x in _names(fs, at(name)) if x.startswith("part-"))
-        target = to(shard_name(stem, int(name.removeprefix("_shard=")), n, rows))
-        if not fs.rename(at(f"{name}/{part}"), target):
-            raise OSError(f"can't rename {name}/{part} in {path}")
-        fs.delete(at(name), True)
+def _folder_name(split: str | None) -> str:
+    """split=NAME as Spark names the folder of a partition; null and empty names are one."""
+    escaped = re.sub(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", split or "__HIVE_DEFAULT_PARTITION__")
+    return f"split={escaped}/"
 
 
 def _known(path: str) -> bool:
@@ -126,28 +126,33 @@ def write_splits(df: DataFrame, path: str, rows: int = SHARD_ROWS, stem: str = "
     """JSON lines in a folder split=NAME for each split; every shard but a split's last has exactly rows documents.
 
     Rows are numbered within their split in two passes, and dealt to tasks by number div rows, so a shard is
-    one file of one task. Shards are named after stem and a running number, of four digits or as many as the split's shards need.
+    one file of one task; small shards share a task. Shards are named after stem and a running number, of four digits or as many as the split's shards need.
     """
-    numbered = row_numbers(df, "split", "_number").withColumn("_shard", F.floor(F.col("_number") / rows))
-    sizes = {r["split"]: r["n"] for r in numbered.groupBy("split").agg(F.count("*").alias("n")).collect()}
-    shards = sum(-(-n // rows) for n in sizes.values())
-    dealt = numbered.repartition(max(1, shards), "split", "_shard").sortWithinPartitions("split", "_shard", "_number").drop("_number")
-    dealt.write.mode("overwrite").partitionBy("split", "_shard").option("ignoreNullFields", False).option("writeNonAsciiCharacterAsCodePoint", True).json(path)
-    fs, at = _files(df.sparkSession, path)
-    by_folder = {f"split={'__HIVE_DEFAULT_PARTITION__' if k is None else k}": n for k, n in sizes.items()}
-    for folder in _names(fs, at("")):
-        if folder.startswith("split="):
-            _collect_shards(df.sparkSession, f"{path}/{folder}", f"{path}/{folder}", stem, by_folder.get(folder, 0), rows)
+    _write_shards(df, path, rows, stem, _folder_name)
 
 
 def write_shards(df: DataFrame, path: str, rows: int = SHARD_ROWS, stem: str = "part-") -> None:
     """JSON lines of exactly rows documents a file, but the last; every row is written."""
-    spark = df.sparkSession
-    write_splits(df.withColumn("split", F.lit("all")), path, rows, stem)
+    _write_shards(df.withColumn("split", F.lit("all")), path, rows, stem, lambda split: "")
+
+
+def _write_shards(df: DataFrame, path: str, rows: int, stem: str, folder: Callable[[str | None], str]) -> None:
+    spark, split = df.sparkSession, F.col("split").cast("string")
+    numbered = row_numbers(df.withColumn("split", F.when(split != "", split)), "split", "_number")
+    sizes = [(r["split"], r["n"]) for r in numbered.groupBy("split").agg(F.count("*").alias("n")).collect()]
+    shards, total = sum(-(-n // rows) for _, n in sizes), sum(n for _, n in sizes)
+    begins = spark.createDataFrame([(k, folder(k) + stem, _digits(n, rows)) for k, n in sizes], "_split string, _begin string, _digits int")
+    named = numbered.join(F.broadcast(begins), F.col("split").eqNullSafe(F.col("_split")))
+    shard = F.floor(F.col("_number") / rows).cast("string")
+    name = F.concat("_begin", F.lpad(shard, F.greatest("_digits", F.length(shard)), F.lit("0")), F.lit(".jsonl"))
+    line = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns if c != "split")), {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint": "true"})
+    tasks = max(1, min(shards, max(spark.sparkContext.defaultParallelism, -(-total // TASK_ROWS))))
+    dealt = named.select(name.alias("name"), line.alias("value"), "_number").repartition(tasks, "name").sortWithinPartitions("name", "_number")
     fs, at = _files(spark, path)
-    for name in _names(fs, at("split=all")) if fs.exists(at("split=all")) else []:
-        fs.rename(at(f"split=all/{name}"), at(name))
-    fs.delete(at("split=all"), True)
+    fs.delete(at(""), True)
+    write_named(dealt, path)
+    fs.create(at("_SUCCESS")).close()
+
 
 
 def write_index(df: DataFrame, column: str, path: str) -> None:

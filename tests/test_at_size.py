@@ -54,6 +54,36 @@ def test_json_files_of_any_content(spark, tmp_path):
     assert [(r.file, r.translations) for r in readers.proof_traces(spark, str(tmp_path / "t")).collect()] == [("x 1.thy_output.json", [["é", "\n"]])]
 
 
+def contents(path):
+    return {str(f.relative_to(path)): f.read_text() for f in path.rglob("*") if f.is_file() and f.name[0] not in "._"}
+
+
+def test_shards_cost_the_driver_nothing(spark, tmp_path, monkeypatch):
+    calls = []
+    for n in (4, 60):
+        df = spark.range(n).select(F.col("id").cast("string").alias("text"), (F.col("id") % 2).alias("split"))
+        with driver_calls(spark, monkeypatch) as made:
+            sinks.write_splits(df, str(tmp_path / f"s{n}"), rows=1, stem="x")
+        calls.append(made[0])
+        assert len(contents(tmp_path / f"s{n}")) == n
+    assert calls[1] < calls[0] + 112
+
+
+def test_splits_of_any_name(spark, tmp_path, monkeypatch):
+    """Null and empty names are one split, as they are one folder; a store that only Spark knows gets the same files."""
+    names = ["a:b/c", "é %", "", None, "plain"]
+    df = spark.createDataFrame([(k, names[k % 5]) for k in range(35)], "id int, split string").coalesce(1)
+    sinks.write_splits(df, str(tmp_path / "one"), rows=4, stem="x")
+    one = contents(tmp_path / "one")
+    assert {len(t.splitlines()) for f, t in one.items() if f.startswith("split=__HIVE")} == {4, 2}
+    assert sorted((json.loads(line)["id"]) for t in one.values() for line in t.splitlines()) == list(range(35))
+    read = spark.read.option("basePath", str(tmp_path / "one")).json(str(tmp_path / "one"))
+    assert sorted((r.id, r.split or "") for r in read.collect()) == sorted((k, names[k % 5] or "") for k in range(35))
+    monkeypatch.setattr(sinks, "_known", lambda path: False)
+    sinks.write_splits(df, str(tmp_path / "two"), rows=4, stem="x")
+    assert contents(tmp_path / "two") == one
+
+
 def test_both_counts_in_one_worker(spark, monkeypatch):
     df = catalogue.QUERIES["token_counts"](spark, SF)
     assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
