@@ -6,6 +6,8 @@ slice limit or by its longest text, whichever is more.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -156,10 +158,19 @@ def over_texts(df: DataFrame, keep: list[str], added: str, make: Callable[[], Ca
         for part in slices(batches, column, limit):
             made = each(part)
             yield pa.RecordBatch.from_arrays([part.column(c) if c in keep else made[c].cast(types[c]) for c in names], names)
+        each = part = made = None
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give what a task has freed back to the system: a Python worker lives on, and counts to its executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def words_of(column: pa.Array):
     """words() of an Arrow column, with the number of texts at the end."""
     data, at = text_bytes(column)

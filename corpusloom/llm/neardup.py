@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrowtext import counts_by, mix, over_texts, shingles, words_of
-from corpusloom.session import settled, stored, table
+from corpusloom.llm.arrowtext import counts_by, mix, over_texts, release, shingles, words_of
+from corpusloom.session import settled, small_batches, stored, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bands and registers of a band: similar texts at 0.8 share a band with probability 1 - 3e-6.
@@ -42,6 +42,8 @@ TURNS = 2
 SALTED = 1024
 #: Texts of which elements are listed at once.
 TEXTS_AT_ONCE = 256
+#: Bytes of text that a worker hashes at once.
+SLICE = 1 << 19
 #: Ids are broadcast up to this many (16 MB).
 BROADCAST_IDS = 2_000_000
 
@@ -140,7 +142,7 @@ def banded(texts: DataFrame, keep: list[str], text: str = "text", bands: int = B
 
         return each
 
-    return over_texts(texts, keep, "bands array<bigint>", make, text, limit=1 << 20)
+    return over_texts(texts, keep, "bands array<bigint>", make, text, limit=SLICE)
 
 
 def elements(texts: DataFrame, keep: list[str], text: str = "text", width: int = SHINGLE) -> DataFrame:
@@ -162,7 +164,7 @@ def elements(texts: DataFrame, keep: list[str], text: str = "text", width: int =
 
         return each
 
-    return over_texts(texts, keep, "elements binary", make, text, limit=1 << 20)
+    return over_texts(texts, keep, "elements binary", make, text, limit=SLICE)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> float:
@@ -196,6 +198,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
                 keep.append(min(len(a), len(b)) >= similarity * max(len(a), len(b)) - 1e-6 and overlap(a, b) >= similarity)
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in "ab"], ["a", "b"])
+        release()
 
     return both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a bigint, b bigint")
 
@@ -290,6 +293,7 @@ def _prefixes(listed: DataFrame, similarity: float) -> DataFrame:
                 values, size = _packed(part.column("elements"))
                 who = pa.array(np.repeat(np.arange(len(size)), size))
                 yield pa.RecordBatch.from_arrays([part.column("id").take(who), pa.array(np.repeat(size, size), pa.int32()), pa.array(values)], ["id", "size", "element"])
+        release()
 
     rows = listed.select("id", "elements").mapInArrow(each, "id bigint, size int, element bigint")
     often = rows.groupBy("element").agg(F.count("*").alias("texts")).where("texts > 1")
@@ -367,8 +371,9 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     class_id is the least key of the class, and the representative is a document of that key;
     null keys are ignored unless the class has no other.
     """
-    rows = _numbered(docs.select(key, text), text)
-    classed = settled(docs.sparkSession, "classes", lambda: rows.select("row", F.col("c0").alias("key")).join(_classes(rows), "row"))
+    with small_batches(docs.sparkSession):
+        rows = _numbered(docs.select(key, text), text)
+        classed = settled(docs.sparkSession, "classes", lambda: rows.select("row", F.col("c0").alias("key")).join(_classes(rows), "row"))
     out = classed.join(stored(_heads(classed), "heads"), "root")  # stored, so that AQE may split a class of very many
     return out.select(F.col("key").alias(key), "class_id", (F.col("row") == F.col("head")).alias("is_representative"), "class_size")
 
@@ -380,9 +385,10 @@ def _heads(classed: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs, same columns, with one document of each class: the one of the least key."""
-    rows = _numbered(docs, text)
-    keys = rows.select("row", F.col(f"c{docs.columns.index(key)}").alias("key"))
-    heads = settled(docs.sparkSession, "heads", lambda: _heads(keys.join(_classes(rows), "row")).select(F.col("head").alias("row")))
+    with small_batches(docs.sparkSession):
+        rows = _numbered(docs, text)
+        keys = rows.select("row", F.col(f"c{docs.columns.index(key)}").alias("key"))
+        heads = settled(docs.sparkSession, "heads", lambda: _heads(keys.join(_classes(rows), "row")).select(F.col("head").alias("row")))
     few = heads.count() <= BROADCAST_IDS
     return rows.join(F.broadcast(heads) if few else heads, "row", "left_semi").select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
 

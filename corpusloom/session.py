@@ -6,7 +6,8 @@ import gc
 import tempfile
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +58,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What a task sends to a Python worker at once, within small_batches().
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+_batches = threading.Lock()
+_before: list[dict[str, str]] = []
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Tables that are stored meanwhile send Python workers BATCH_CONF at once, as an executor holds a batch several times over.
+
+    The session's own settings are back when the last of the calls that are under way ends.
+    """
+    with _batches:
+        _before.append(_before[-1] if _before else {k: spark.conf.get(k) for k in BATCH_CONF})
+        for k, v in BATCH_CONF.items():
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        with _batches:
+            before = _before.pop()
+            for k, v in before.items() if not _before else ():
+                spark.conf.set(k, v)
+
+
 _thread = threading.local()
 
 

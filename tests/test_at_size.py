@@ -104,3 +104,14 @@ def test_streamed_files_follow_the_table(spark, tmp_path, monkeypatch):
     got = [r.doc_id for r in jobqueries.stream_kept(spark, SF).collect()]
     assert len(got) == len(set(got)) > 0
     assert len(list((tmp_path / "stream/in").glob("*.parquet"))) > max(5, size / 40_000)
+
+
+def test_near_dedup_sends_workers_small_batches(spark):
+    from corpusloom import session
+
+    before = {k: spark.conf.get(k) for k in session.BATCH_CONF}
+    with session.small_batches(spark), session.small_batches(spark):
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 1000
+        sizes = spark.range(3000, numPartitions=1).mapInArrow(lambda batches: batches, "id bigint")
+        assert sizes.count() == 3000
+    assert {k: spark.conf.get(k) for k in session.BATCH_CONF} == before
