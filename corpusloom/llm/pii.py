@@ -15,8 +15,8 @@ one, and where kinds disagree the longer span stays. Pattern spans always stay;
 that overlap none of them, that have the digits of their kind and, of a card, the check digit, of an address, four parts.
 
 A null text counts as empty and has no spans. Offsets are code points, ends exclusive.
-Repeated rows get equal spans. A task holds a slice of 4 MB of text, or one longer text, and decodes 2048 windows
-at a time, though it keeps the tags of all windows of one text. If no text of the sample has a digit or ``@``, the network adds nothing.
+Repeated rows get equal spans. A task holds a slice of 1 MB of text, or one longer text, and decodes 256 windows
+at a time, though it keeps the tags (a byte a character) of up to 2048 windows, or of all windows of one text. If no text of the sample has a digit or ``@``, the network adds nothing.
 """
 
 from __future__ import annotations
@@ -48,6 +48,8 @@ _GATE = "[0-9@]"
 
 #: Characters of a window, and from one to the next.
 WINDOW, STRIDE = 96, 32
+#: Windows that are decoded at once, and bytes of text that a worker holds at once.
+DECODED, SLICE = 256, 1 << 20
 #: At most so many windows of about so many documents train the network, and so many that something is put into.
 TRAIN_WINDOWS, TRAIN_DOCS, MADE_WINDOWS = 4096, 4000, 4096
 EMBED, HIDDEN, STEPS, BATCH, RATE, SEED = 8, 24, 400, 32, 0.03, 5
@@ -205,9 +207,9 @@ def best_tags(emissions: np.ndarray, step: np.ndarray) -> np.ndarray:
     score, back = emissions[0], []
     for t in range(1, len(emissions)):
         way = score[:, :, None] + step
-        back.append(way.argmax(1))
+        back.append(way.argmax(1).astype(np.uint8))
         score = way.max(1) + emissions[t]
-    best = [score.argmax(1)]
+    best = [score.argmax(1).astype(np.uint8)]
     for b in reversed(back):
         best.append(np.take_along_axis(b, best[-1][:, None], 1)[:, 0])
     return np.stack(best[::-1], 1)
@@ -233,8 +235,8 @@ class Tagger:
             p[f"c{d}"][HIDDEN : 2 * HIDDEN] = 1  # remember at first
         return Tagger(p)
 
-    def _lstm(self, x: np.ndarray, d: str):
-        """x is time x windows x EMBED; returns the outputs and what the way back needs."""
+    def _lstm(self, x: np.ndarray, d: str, learn: bool = True):
+        """x is time x windows x EMBED; returns the outputs and, to learn, what the way back needs."""
         steps, n, _ = x.shape
         pre = x @ self.p[f"x{d}"] + self.p[f"c{d}"]
         h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
@@ -246,7 +248,8 @@ class Tagger:
             i, f, o = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
             was, c = c, f * c + i * g
             tc = np.tanh(c)
-            memory.append((i, f, o, g, was, tc, h))
+            if learn:
+                memory.append((i, f, o, g, was, tc, h))
             h = o * tc
             out[t] = h
         return out, memory
@@ -266,17 +269,18 @@ class Tagger:
             dh, dc = dz @ self.p[f"h{d}"].T, dc * f
         return dx
 
-    def emissions(self, seen: np.ndarray):
+    def emissions(self, seen: np.ndarray, learn: bool = True):
         """Scores of the tags, time x windows x N_TAGS, of windows of codes."""
         x = self.p["embed"][seen.T]
-        f, mf = self._lstm(x, "f")
-        b, mb = self._lstm(x[::-1], "b")
+        f, mf = self._lstm(x, "f", learn)
+        b, mb = self._lstm(x[::-1], "b", learn)
         both = np.concatenate((f, b[::-1]), 2)
         return both @ self.p["out"] + self.p["bias"], (x, both, mf, mb)
 
     def decode(self, seen: np.ndarray) -> np.ndarray:
         """The best tag sequence of each window, of those that enter a span's inside from that kind only."""
-        return best_tags(self.emissions(seen)[0], self.p["step"] + BARRED)
+        step = self.p["step"] + BARRED
+        return np.concatenate([best_tags(self.emissions(seen[k : k + DECODED], False)[0], step) for k in range(0, max(1, len(seen)), DECODED)])
 
     def gradient(self, seen: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of the tags under the CRF, and its gradient."""
@@ -464,7 +468,7 @@ def find_spans(docs: DataFrame, model: Tagger | None, keep: list[str], text: str
 
         return each
 
-    return over_texts(docs, keep, "base string, spans string, redacted string", make, text)
+    return over_texts(docs, keep, "base string, spans string, redacted string", make, text, SLICE)
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:

@@ -116,6 +116,20 @@ def test_decoding_equals_all_sequences():
     assert all(row[k - 1] in (row[k] - 1, row[k]) for row, some in zip(tags, inside) for k in np.flatnonzero(some) if k)
 
 
+def test_decoding_holds_some_windows_at_once():
+    """Beyond the windows and their tags, memory doesn't follow their number; the tags are those of fewer windows."""
+    import tracemalloc
+
+    seen, model, peaks = np.random.default_rng(6).integers(0, P.N_CODES, (2048, P.WINDOW)).astype(np.uint8), P.Tagger.fresh(), []
+    for n in (512, 2048):
+        tracemalloc.start()
+        tags = model.decode(seen[:n])
+        peaks.append(tracemalloc.get_traced_memory()[1] / 2**20)
+        tracemalloc.stop()
+    assert peaks[1] < peaks[0] + 4 and peaks[1] < 64
+    assert tags.shape == seen.shape and (tags[500:530] == model.decode(seen[500:530])).all()
+
+
 def test_windows_left_out_can_add_nothing():
     rng, model = np.random.default_rng(4), P.Tagger.fresh()  # untrained, so it sees spans everywhere
     for _ in range(20):
