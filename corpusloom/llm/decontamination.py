@@ -29,7 +29,7 @@ WINDOW = 13
 #: A block of the benchmark is broadcast; it holds about so many bytes of text.
 BLOCK_BYTES = 4 << 20
 #: Bytes of text of a shard, or one longer text.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SPANS = "array<struct<begin:bigint,end:bigint>>"
 MATCHES = "array<struct<item_id:string,doc_word:bigint,item_word:bigint,n_words:bigint>>"
 

@@ -33,7 +33,7 @@ LANGUAGES_AT_ONCE = 512
 #: Rates of so many labels are broadcast.
 BROADCAST_LABELS = 100_000
 #: Bytes of text that a task turns into n-grams at once, or one longer text.
-SLICE = 1 << 19
+SLICE = 1 << 18
 #: Long texts count as if they had this many n-grams, so that scores don't all saturate.
 EVIDENCE = 60.0
 SMOOTHING = 0.5

@@ -10,12 +10,13 @@ The sort moves keys only. The tokens move once, when each document meets its pos
 
 A null text counts as empty, and an empty one is the single end id. Repeated rows are packed
 each for itself. No rows give no pieces. Other columns are ignored, whatever their names.
-A task holds the tokens of a slice of 4 MB of text at a time, or of one longer text.
+A task holds a slice of 1 MB of text, or of tokens, at a time, or one longer text.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +25,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrowtext import mix, over_texts
-from corpusloom.session import stored, table
+from corpusloom.llm.arrowtext import mix, over_texts, release, slices
+from corpusloom.session import small_batches, stored, table
 
 MAX_TOKENS, END_ID = 1024, 0
 #: Dimensions, bits of each (so many quantile cells), and buckets of the hashed document vectors.
 DIMENSIONS, BITS, BUCKETS = 4, 7, 1 << 14
 #: Runs without a break of this many characters go to the library whose time doesn't grow with their square.
 LONG_RUN = 2000
+#: Bytes of text, and of tokens, that a worker holds at once.
+SLICE = 1 << 20
 
 
 def default_vocabulary() -> str:
@@ -103,7 +106,7 @@ def tokenized(docs: DataFrame, keep: list[str], text: str, vocabulary: str, end_
 
         return each
 
-    return over_texts(docs, keep, "n_tokens bigint, ids binary, place array<float>", make, text)
+    return over_texts(docs, keep, "n_tokens bigint, ids binary, place array<float>", make, text, SLICE)
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -185,6 +188,37 @@ def sequence_edges(total: int, max_tokens: int) -> np.ndarray:
     return np.array([*edges, total], np.int64)
 
 
+def pieces_of(batches: Iterator[pa.RecordBatch], total: int, max_tokens: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of each document of the batches, a slice of its tokens at a time; total is the tokens of all documents."""
+    tail, whole = sequence_edges(total, max_tokens), total // max_tokens
+    for b in slices(batches, "ids", SLICE):
+        out: dict[str, list] = {c: [] for c in ("source", "start", "length", "ids", "sequence_id", "offset")}
+        ids, n, begin = b.column("ids"), b.column("n_tokens").to_numpy(), b.column("begin").to_numpy()
+        for k in range(b.num_rows):
+            raw, size, g = ids[k].as_py(), int(n[k]), int(begin[k])
+            x = np.frombuffer(raw, "<u2" if len(raw) == 2 * size else "<u4").astype("<u4").tobytes()
+            done = 0
+            while done < size:
+                p = g + done
+                if p < whole * max_tokens:
+                    s, offset = divmod(p, max_tokens)
+                    room = max_tokens - offset
+                else:
+                    j = int(np.searchsorted(tail, p, "right")) - 1
+                    s, offset, room = whole + j, p - int(tail[j]), int(tail[j + 1]) - p
+                length = min(room, size - done)
+                for c, v in zip(out, (k, done, length, x[4 * done : 4 * (done + length)], s, offset)):
+                    out[c].append(v)
+                done += length
+        source = pa.array(out.pop("source"), pa.int64())
+        made = {c: pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in out.items()}
+        taken = {c: pc.take(b.column(c), source) for c in ("name", "key")} | {"doc_tokens": pc.take(b.column("n_tokens"), source)}
+        names = ["name", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "key"]
+        yield pa.RecordBatch.from_arrays([(made | taken)[c] for c in names], names)
+    b = out = ids = made = taken = None
+    release()
+
+
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", max_tokens: int = MAX_TOKENS, vocabulary: str | None = None) -> DataFrame:
     """The pieces that documents are cut into.
 
@@ -193,39 +227,12 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", max_tokens: i
     """
     vocabulary = vocabulary or default_vocabulary()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("name"), F.col(f"`{text}`").alias("text"))
-    rows = stored(tokenized(rows, ["row", "name"], "text", vocabulary), "tokens")
+    with small_batches(docs.sparkSession):
+        rows = stored(tokenized(rows, ["row", "name"], "text", vocabulary), "tokens")
     at, total = positions(curve_order(rows))
-    tail, whole = sequence_edges(total, max_tokens), total // max_tokens
-
-    def cut(batches):
-        for b in batches:
-            out: dict[str, list] = {c: [] for c in ("source", "start", "length", "ids", "sequence_id", "offset")}
-            ids, n, begin = b.column("ids"), b.column("n_tokens").to_numpy(), b.column("begin").to_numpy()
-            for k in range(b.num_rows):
-                raw, size, g = ids[k].as_py(), int(n[k]), int(begin[k])
-                x = np.frombuffer(raw, "<u2" if len(raw) == 2 * size else "<u4").astype("<u4").tobytes()
-                done = 0
-                while done < size:
-                    p = g + done
-                    if p < whole * max_tokens:
-                        s, offset = divmod(p, max_tokens)
-                        room = max_tokens - offset
-                    else:
-                        j = int(np.searchsorted(tail, p, "right")) - 1
-                        s, offset, room = whole + j, p - int(tail[j]), int(tail[j + 1]) - p
-                    length = min(room, size - done)
-                    for c, v in zip(out, (k, done, length, x[4 * done : 4 * (done + length)], s, offset)):
-                        out[c].append(v)
-                    done += length
-            source = pa.array(out.pop("source"), pa.int64())
-            made = {c: pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in out.items()}
-            taken = {c: pc.take(b.column(c), source) for c in ("name", "key")} | {"doc_tokens": pc.take(b.column("n_tokens"), source)}
-            names = ["name", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "key"]
-            yield pa.RecordBatch.from_arrays([(made | taken)[c] for c in names], names)
-
     placed = rows.select("row", "name", "n_tokens", "ids").join(at, "row").select("name", "n_tokens", "ids", "key", "begin")
     kind = placed.schema["name"].dataType.simpleString()
-    pieces = placed.mapInArrow(cut, f"name {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, key bigint")
+    pieces = placed.mapInArrow(lambda batches: pieces_of(batches, total, max_tokens), f"name {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, key bigint")
     return pieces.withColumnsRenamed({"name": key, "key": "curve_key"})
 
 

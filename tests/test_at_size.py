@@ -115,3 +115,43 @@ def test_near_dedup_sends_workers_small_batches(spark):
         sizes = spark.range(3000, numPartitions=1).mapInArrow(lambda batches: batches, "id bigint")
         assert sizes.count() == 3000
     assert {k: spark.conf.get(k) for k in session.BATCH_CONF} == before
+
+
+def test_workers_hold_slices_of_a_batch():
+    """What language ID, decontamination and packing need beside a batch of 6 MB doesn't follow the batch."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusloom.llm import decontamination, langid, packing
+    from corpusloom.llm.arrowtext import slices
+
+    rng = np.random.default_rng(3)
+    words = np.array(["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(2000)])
+    texts = pa.RecordBatch.from_arrays([pa.array([" ".join(rng.choice(words, 300)) for _ in range(2800)])], ["text"])
+    windows = decontamination.Windows(["a"], [texts.column("text")[5].as_py()])
+    ids = [rng.integers(0, 50_000, 700).astype("<u2") for _ in range(2800)]
+    sizes = np.array([len(x) for x in ids])
+    columns = {"name": pa.array(range(2800)), "n_tokens": pa.array(sizes), "ids": pa.array([x.tobytes() for x in ids], pa.binary()), "key": pa.array(range(2800)), "begin": pa.array(np.cumsum(sizes) - sizes)}
+    tokens = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    def language():
+        for part in slices([texts], limit=langid.SLICE):
+            langid.grams(part.column("text"))
+
+    def decontaminated():
+        for part in slices([texts], limit=decontamination.SHARD_BYTES):
+            windows.search(part.column("text"))
+
+    def peak(f):
+        tracemalloc.start()
+        f()
+        most = tracemalloc.get_traced_memory()[1] / 2**20
+        tracemalloc.stop()
+        return most
+
+    pieces = []
+    held = [peak(language), peak(decontaminated), peak(lambda: pieces.extend(b for b in packing.pieces_of([tokens], int(sizes.sum()), 1024)))]
+    assert held[0] < 50 and held[1] < 60 and held[2] < 8, held
+    assert len(pieces) == 4 and b"".join(x for b in pieces for x in b.column("ids").to_pylist()) == np.concatenate(ids).astype("<u4").tobytes()
